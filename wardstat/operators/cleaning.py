@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType
 from ..functions import exprs as X
 from ..functions import stats
 from ..functions import vocab as V
+from ..session import cut_lineage
 from ..sources.fixture import ORDER_COL
 
 
@@ -265,10 +266,14 @@ def iqr_report(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def clean_full(raw: DataFrame, bmi_imputation: str = "median") -> DataFrame:
     """C02-C30. Statistics: pass 1 medians + modes (after range nulling),
-    pass 2 quartiles on imputed values."""
-    df = clean_rules(raw)
+    pass 2 quartiles on imputed values.
+
+    The rule-cleaned table is written once to the checkpoint folder before the
+    statistics passes (each pass would otherwise re-run the regex projection and
+    the dedup shuffle), and again after imputation."""
+    df = cut_lineage(clean_rules(raw))
     numeric = [c for c in V.NUMERIC_COLUMNS if not (c == "bmi" and bmi_imputation == "mode")]
     categorical = list(V.CATEGORICAL_COLUMNS) + (["bmi"] if bmi_imputation == "mode" else [])
     df = impute_median(df, numeric)
-    df = impute_mode(df, categorical, cast_back={"bmi": "double"})
+    df = cut_lineage(impute_mode(df, categorical, cast_back={"bmi": "double"}))
     return iqr_cap(df, V.IQR_COLUMNS)

@@ -12,6 +12,7 @@ from ..functions import exprs as X
 from ..functions import vocab as V
 from ..operators import cleaning as C
 from ..operators import features as FE
+from ..session import cut_lineage
 from ..sources import tables as T
 from ..sources.fixture import ORDER_COL
 from . import sql_suite as S
@@ -34,7 +35,7 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def engineered(spark: SparkSession, sf: str) -> DataFrame:
-    return FE.engineer_full(cleaned(spark, sf))
+    return FE.engineer_full(cut_lineage(cleaned(spark, sf)))
 
 
 RAW_TO_CANON = {"Age": "age", "Weight_kg": "weight_kg", "Height_cm": "height_cm", "BMI": "bmi",
@@ -160,7 +161,7 @@ def recompute_bmi(spark, sf):
 @register("impute_median")
 def impute_median(spark, sf):
     from ..functions import stats
-    return stats.exact_quantiles(C.clean_rules(raw(spark, sf)), V.NUMERIC_COLUMNS, [0.5]).select(
+    return stats.exact_quantiles(cut_lineage(C.clean_rules(raw(spark, sf))), V.NUMERIC_COLUMNS, [0.5]).select(
         "column", F.col("value").alias("median"))
 
 
@@ -172,8 +173,8 @@ def impute_mode(spark, sf):
 
 @register("iqr_cap")
 def iqr_cap(spark, sf):
-    df = C.clean_rules(raw(spark, sf))
-    df = C.impute_mode(C.impute_median(df, V.NUMERIC_COLUMNS), V.CATEGORICAL_COLUMNS)
+    df = cut_lineage(C.clean_rules(raw(spark, sf)))
+    df = cut_lineage(C.impute_mode(C.impute_median(df, V.NUMERIC_COLUMNS), V.CATEGORICAL_COLUMNS))
     return C.iqr_report(df, V.IQR_COLUMNS)
 
 

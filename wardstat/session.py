@@ -26,6 +26,8 @@ def get_spark(master: str | None = None, app: str = "wardstat",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        conf.setdefault("spark.driver.memory", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
