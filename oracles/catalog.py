@@ -109,3 +109,19 @@ for key, sql in (("outcome_distribution", S.Q01), ("effectiveness_by_age", S.Q02
 add("query_suite", with_ctes(["clean_det"], " UNION ALL ".join(
     f"SELECT '{qid}' AS query_id, {_q(title)} AS title, {i + 1} AS position, CAST(count(*) AS BIGINT) AS n_rows FROM ({sql})"
     for i, (qid, title, sql) in enumerate(S.CATALOG)), extra=_PAT))
+
+# Features on the C31 table.
+for key, cols in (("kidney_stage", "egfr, kidney_stage"), ("bmi_category", "bmi, bmi_category"),
+                  ("age_group", "age, age_group"), ("liver_risk", "alt_enzyme, ast_enzyme, liver_risk"),
+                  ("polypharmacy", "concurrent_drugs, polypharmacy"),
+                  ("elderly_high_dose", "age, dosage_mg, elderly_high_dose"),
+                  ("safe_ratio_capped", "alt_enzyme, ast_enzyme, de_ritis_ratio")):
+    add(key, with_ctes(["engineered"], f"SELECT patient_id, {cols} FROM engineered"))
+add("feature_summary", with_ctes(["engineered"], """
+SELECT 'kidney_stage' AS feature, kidney_stage AS value, count(*) AS n FROM engineered GROUP BY 2
+UNION ALL SELECT 'bmi_category', bmi_category, count(*) FROM engineered GROUP BY 2
+UNION ALL SELECT 'age_group', age_group, count(*) FROM engineered GROUP BY 2
+UNION ALL SELECT 'liver_risk', '1', CAST(sum(liver_risk) AS BIGINT) FROM engineered
+UNION ALL SELECT 'polypharmacy', '1', CAST(sum(polypharmacy) AS BIGINT) FROM engineered
+UNION ALL SELECT 'elderly_high_dose', '1', CAST(sum(elderly_high_dose) AS BIGINT) FROM engineered"""))
+add("engineer_full", with_ctes(["engineered"], "SELECT * EXCLUDE (row_ord) FROM engineered"))

@@ -24,18 +24,31 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
     return T.patients_raw(spark, sf)
 
 
+_MEMO: dict = {}
+
+
+def _memo(spark: SparkSession, sf: str, name: str, build):
+    """Derived tables are written once per session to the checkpoint folder and reused
+    by later queries (like a stored intermediate table)."""
+    k = (id(spark), sf, name)
+    if k not in _MEMO:
+        _MEMO[k] = cut_lineage(build())
+    return _MEMO[k]
+
+
 def patients(spark: SparkSession, sf: str) -> DataFrame:
     """The stored 31-column ``patients`` table (C32 output)."""
-    return C.clean_deterministic(raw(spark, sf)).drop(ORDER_COL)
+    return _memo(spark, sf, "patients", lambda: C.clean_deterministic(raw(spark, sf)).drop(ORDER_COL))
 
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     """C31 output (31 columns)."""
-    return C.clean_full(raw(spark, sf)).drop(ORDER_COL)
+    return _memo(spark, sf, "cleaned", lambda: C.clean_full(raw(spark, sf)).drop(ORDER_COL))
 
 
 def engineered(spark: SparkSession, sf: str) -> DataFrame:
-    return FE.engineer_full(cut_lineage(cleaned(spark, sf)))
+    """F09 output (38 columns)."""
+    return _memo(spark, sf, "engineered", lambda: FE.engineer_full(cleaned(spark, sf)))
 
 
 RAW_TO_CANON = {"Age": "age", "Weight_kg": "weight_kg", "Height_cm": "height_cm", "BMI": "bmi",
@@ -206,3 +219,29 @@ register("rates_by_dosage")(_catalog(S.Q06))
 @register("query_suite")
 def query_suite(spark, sf):
     return S.query_suite(spark, patients(spark, sf))
+
+
+# ------------------------------------------------------------------ features F01-F09
+def _feat(cols):
+    def q(spark, sf):
+        return engineered(spark, sf).select("patient_id", *cols)
+    return q
+
+
+register("kidney_stage")(_feat(["egfr", "kidney_stage"]))
+register("bmi_category")(_feat(["bmi", "bmi_category"]))
+register("age_group")(_feat(["age", "age_group"]))
+register("liver_risk")(_feat(["alt_enzyme", "ast_enzyme", "liver_risk"]))
+register("polypharmacy")(_feat(["concurrent_drugs", "polypharmacy"]))
+register("elderly_high_dose")(_feat(["age", "dosage_mg", "elderly_high_dose"]))
+register("safe_ratio_capped")(_feat(["alt_enzyme", "ast_enzyme", "de_ritis_ratio"]))
+
+
+@register("feature_summary")
+def feature_summary(spark, sf):
+    return FE.feature_summary(engineered(spark, sf))
+
+
+@register("engineer_full")
+def engineer_full(spark, sf):
+    return engineered(spark, sf)
