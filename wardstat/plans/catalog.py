@@ -1,3 +1,4 @@
 """Imports every query module so that their ``register`` calls run."""
 from . import clinical  # noqa: F401
 from . import profiling  # noqa: F401
+from . import splits  # noqa: F401
