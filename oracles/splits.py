@@ -120,3 +120,4 @@ add("labelled_filter", with_ctes(["clean_full"], """
 SELECT CAST(sum(CASE WHEN treatment_outcome IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS kept,
        CAST(sum(CASE WHEN treatment_outcome IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS removed FROM clean_full"""))
 add("leakage_projection", with_ctes(["engineered"], "SELECT * EXCLUDE (row_ord, " + ", ".join(V.LEAKAGE_COLUMNS) + ") FROM engineered"))
+add("stream_prediction_counts", logq("SELECT count(*) AS prediction_count FROM log"))

@@ -107,9 +107,9 @@ def fit(train: DataFrame) -> FittedStats:
     return FittedStats(med, mode, lim_row, fstats)
 
 
-def apply(df: DataFrame, st: FittedStats) -> DataFrame:
+def apply(df: DataFrame, st: FittedStats, extra_ok=("patient_id",)) -> DataFrame:
     """Normalize -> impute -> cap -> 7 engineered features (33 predictors + key)."""
-    base = normalize(validate_predictors(df))
+    base = normalize(validate_predictors(df, extra_ok))
     clipped = _clip(_impute(base, st.medians, st.modes), st.iqr)
     return FE.apply_features(clipped, st.features)
 
