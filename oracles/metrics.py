@@ -79,10 +79,10 @@ add("pr_curve", mq("SELECT model, split, prob AS threshold, CASE WHEN tp_at + fp
                    "CASE WHEN pos_total = 0 THEN 0.0 ELSE tp_at / pos_total END AS recall FROM cum"))
 add("classification_report", mq("""
 SELECT * FROM per
-UNION ALL SELECT model, split, 'accuracy', NULL, NULL, (SELECT accuracy FROM tm WHERE tm.model = per.model AND tm.split = per.split), sum(support) FROM per GROUP BY model, split
-UNION ALL SELECT model, split, 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM per GROUP BY model, split
+UNION ALL SELECT model, split, 'accuracy', NULL, NULL, (SELECT accuracy FROM tm WHERE tm.model = per.model AND tm.split = per.split), CAST(sum(support) AS BIGINT) FROM per GROUP BY model, split
+UNION ALL SELECT model, split, 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM per GROUP BY model, split
 UNION ALL SELECT model, split, 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
-                 sum(f1 * support) / sum(support), sum(support) FROM per GROUP BY model, split""").replace(
+                 sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM per GROUP BY model, split""").replace(
     "\nSELECT * FROM per", """, per AS (
 SELECT model, split, '1' AS label, CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision,
   CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall,
@@ -112,8 +112,9 @@ SELECT model, roc_auc, f1, roc_auc - runner AS gap_to_runner_up FROM (
 add("rank_models", mq("SELECT model, roc_auc, CAST(rank() OVER (ORDER BY roc_auc DESC) AS INTEGER) AS rank FROM summary WHERE split = 'validation'"))
 add("always_zero", mq("""
 SELECT 'always_zero' AS model, split,
-  avg(CASE WHEN y = 0 THEN 1.0 ELSE 0.0 END) AS accuracy, 0.0 AS precision, 0.0 AS recall, 0.0 AS f1,
-  CASE WHEN sum(y) = 0 OR sum(1 - y) = 0 THEN NULL ELSE 0.5 END AS roc_auc,
+  CAST(avg(CASE WHEN y = 0 THEN 1.0 ELSE 0.0 END) AS DOUBLE) AS accuracy, CAST(0.0 AS DOUBLE) AS precision,
+  CAST(0.0 AS DOUBLE) AS recall, CAST(0.0 AS DOUBLE) AS f1,
+  CAST(CASE WHEN sum(y) = 0 OR sum(1 - y) = 0 THEN NULL ELSE 0.5 END AS DOUBLE) AS roc_auc,
   avg(CAST(y AS DOUBLE)) AS average_precision
 FROM scores WHERE model = 'price' GROUP BY split"""))
 

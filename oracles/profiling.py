@@ -86,7 +86,8 @@ add("integer_key", with_ctes(["patients_raw"], checks([
     ("non_integer_keys", "sum(CASE WHEN patient_id_1 IS NOT NULL AND patient_id_1 % 1 <> 0 THEN 1 ELSE 0 END)", "0", "patients_raw"),
     ("non_numeric_keys", "0", "0", None)])))
 add("shape_expectation", """
-SELECT s.dataset, s.n_rows, s.n_cols, e.exp_rows, e.exp_cols,
+SELECT s.dataset, s.n_rows, CAST(s.n_cols AS BIGINT) AS n_cols, CAST(e.exp_rows AS BIGINT) AS exp_rows,
+       CAST(e.exp_cols AS BIGINT) AS exp_cols,
        CAST((e.exp_rows IS NULL OR s.n_rows = e.exp_rows) AND (e.exp_cols IS NULL OR s.n_cols = e.exp_cols) AS INTEGER) AS passed
 FROM (SELECT 'region' AS dataset, (SELECT count(*) FROM region) AS n_rows, 2 AS n_cols
       UNION ALL SELECT 'nation', (SELECT count(*) FROM nation), 3

@@ -60,7 +60,7 @@ add("join_scores", """
 SELECT o_orderkey AS key, CAST(o_orderkey % 3 = 0 AS INTEGER) AS y,
        round(o_totalprice / 500000.0, 2) AS price_probability,
        round((o_custkey % 100) / 100.0, 2) AS customer_probability,
-       CASE WHEN starts_with(o_orderpriority, '1') THEN 0.9 ELSE 0.2 END AS priority_probability
+       CAST(CASE WHEN starts_with(o_orderpriority, '1') THEN 0.9 ELSE 0.2 END AS DOUBLE) AS priority_probability
 FROM orders""")
 add("split_summary", j05("""
 SELECT split, count(*) AS rows, CAST(sum(CASE WHEN treatment_outcome = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_zero,
@@ -97,7 +97,7 @@ add("stream_validate_requests", f"WITH req AS ({_REQ}) SELECT request_id, status
 _LOG = [("req", _REQ), ("st", _STATUS), ("log", f"""
 SELECT CAST(row_number() OVER (ORDER BY received_at, s.patient_id, request_id) AS BIGINT) AS prediction_id,
        s.patient_id, '{V.MODEL_NAME}' AS model_name, '{V.MODEL_VERSION}' AS model_version,
-       score_hint / 50.0 AS probability_effective, 0.5 AS cutoff,
+       score_hint / 50.0 AS probability_effective, CAST(0.5 AS DOUBLE) AS cutoff,
        CAST(score_hint / 50.0 >= 0.5 AS INTEGER) AS predicted_class,
        CASE WHEN score_hint / 50.0 >= 0.5 THEN 'Effective' ELSE 'Ineffective' END AS predicted_outcome,
        received_at AS predicted_at

@@ -14,9 +14,12 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Broadcast only the small sides we size-check ourselves (stats rows, lookup
-    # tables); everything else goes through sort-merge / shuffled-hash joins.
-    "spark.sql.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
+    # No broadcast from static size estimates: explicit hints mark the sides that are
+    # small by construction (one-row stats, one row per column/class/group); AQE may
+    # still broadcast a side whose *measured* shuffle output is small.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
 }
 
 
