@@ -126,8 +126,10 @@ def one_hot_pipeline(cat_cols=V.FEATURE_CATEGORICAL, num_cols=V.FEATURE_NUMERIC)
     last slot of ``handleInvalid='keep'`` is the unknown bucket), numeric first."""
     idx = StringIndexer(inputCols=cat_cols, outputCols=[f"{c}__idx" for c in cat_cols],
                         handleInvalid="keep", stringOrderType="alphabetAsc")
+    # The indexer's extra "unknown" index is the encoder's last category; dropLast
+    # removes exactly that slot (the encoder itself must not add another one).
     ohe = OneHotEncoder(inputCols=[f"{c}__idx" for c in cat_cols], outputCols=[f"{c}__ohe" for c in cat_cols],
-                        dropLast=True, handleInvalid="keep")
+                        dropLast=True)
     asm = VectorAssembler(inputCols=list(num_cols) + [f"{c}__ohe" for c in cat_cols], outputCol="features")
     return Pipeline(stages=[idx, ohe, asm])
 
