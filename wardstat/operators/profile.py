@@ -158,9 +158,22 @@ def key_profile(df: DataFrame, key: str, exclude: list[str] | None = None) -> Da
 
 
 def constant_columns(df: DataFrame) -> DataFrame:
-    """Columns with <= 1 distinct value, NULL counted as a value."""
+    """Columns with <= 1 distinct value, NULL counted as a value.
+
+    One aggregate, no value shuffle: a column has at most one distinct value exactly
+    when it is all-NULL, or has no NULLs and min = max. ``n_values`` is exact for the
+    reported (constant) columns."""
     cols = df.columns
-    lv = stats.long_values(df, cols, cast="string", keep_nulls=True)
-    d = (lv.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
-         .groupBy("column").agg(F.count(F.lit(1)).cast("long").alias("n_values")))
-    return d.where(F.col("n_values") <= 1).select("column", "n_values")
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for c in cols:
+        x = F.col(f"`{c}`")
+        aggs += [F.count(x).alias(f"{c}__nn"), F.min(x).cast("string").alias(f"{c}__lo"),
+                 F.max(x).cast("string").alias(f"{c}__hi")]
+    row = df.agg(*aggs)
+    structs = ", ".join(
+        f"named_struct('column', '{c}', 'nn', `{c}__nn`, 'lo', `{c}__lo`, 'hi', `{c}__hi`, 'n', __n)" for c in cols)
+    r = row.select(F.expr(f"inline(array({structs}))"))
+    has_null = F.col("n") > F.col("nn")
+    n_values = (F.when(F.col("nn") == 0, 0).when(F.col("lo") == F.col("hi"), 1).otherwise(2)
+                + F.when(has_null, 1).otherwise(0))
+    return r.select("column", n_values.cast("long").alias("n_values")).where(F.col("n_values") <= 1)

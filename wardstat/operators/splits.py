@@ -21,6 +21,9 @@ from ..functions import vocab as V
 from .cleaning import attach_row
 
 
+MAX_HASH_DIGITS = 5
+
+
 def labelled_filter(df: DataFrame, target: str = V.TARGET) -> tuple[DataFrame, DataFrame]:
     """Rows with a known target, plus a (kept, removed) report row."""
     kept = df.where(F.col(target).isNotNull())
@@ -63,7 +66,9 @@ def stratified_select(df: DataFrame, key: str, label: str, fraction: float, seed
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # one row per class
     quotas = class_quotas(spark, counts, fraction)
     n = max(sum(counts.values()), 1)
-    digits = int(min(8, max(1, round(math.log(math.sqrt(n), 16)))))
+    # 16^L ~ sqrt(N) buckets, capped at 16^5 so the broadcast status table stays
+    # <= classes x 1,048,576 rows at any N (boundary buckets then hold N / 16^5 rows).
+    digits = int(min(MAX_HASH_DIGITS, max(1, round(math.log(math.sqrt(n), 16)))))
     h = split_hash(key, seed, stage)
     tagged = df.withColumn("__h", h).withColumn("__b", F.substring("__h", 1, digits))
     qdf = spark.createDataFrame([(k, int(v)) for k, v in quotas.items()],
@@ -78,7 +83,7 @@ def stratified_select(df: DataFrame, key: str, label: str, fraction: float, seed
                       .when(F.col("__before") < F.col("__quota"), F.lit("boundary"))
                       .otherwise(F.lit("none")).alias("__status"),
                       (F.col("__quota") - F.col("__before")).alias("__take")))
-    # status has at most classes x 16^L rows (~ classes x sqrt(N)): bounded broadcast.
+    # status has at most classes x 16^L <= classes x 16^5 rows: bounded broadcast.
     j = tagged.join(F.broadcast(status), [label, "__b"])
     plain = j.where(F.col("__status") != "boundary").withColumn("selected", F.col("__status") == "full")
     wb = Window.partitionBy(label, "__b").orderBy("__h")
