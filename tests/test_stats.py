@@ -49,3 +49,17 @@ def test_ordering_prefix_matches_cumsum(spark):
     exp = pdf.sort_values(["k", "id"]).reset_index(drop=True)
     assert list(out["id"]) == list(exp["id"])
     assert list(out["cum_v"]) == list(exp["v"].cumsum())
+
+
+def test_sketch_bracket_path_is_exact(spark, monkeypatch):
+    """Force the sketch path (n > ACCURACY) and compare with pandas."""
+    monkeypatch.setattr(stats, "ACCURACY", 200)
+    rng = np.random.default_rng(11)
+    n = 5000
+    pdf = pd.DataFrame({"a": np.round(rng.normal(0, 1, n), 2), "b": np.where(rng.random(n) < 0.4, 3.0, rng.random(n))})
+    df = spark.createDataFrame(pdf)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {(r["column"], r["p"]): r["value"] for r in stats.exact_quantiles(df, ["a", "b"], probs).collect()}
+    for col in "ab":
+        for p in probs:
+            assert got[(col, p)] == pytest.approx(_pd_quantile(pdf[col], p), abs=1e-12)

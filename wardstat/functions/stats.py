@@ -54,6 +54,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
     err = [max(1.0, counts[c] / ACCURACY) for c in cols]
     sketch_cols, fracs = [], {}
     for c, e in zip(cols, err):
+        if counts[c] <= ACCURACY:
+            continue          # small column: rank all its values exactly, no sketch pass needed
         qs = []
         for (tc, p, lo, hi, _, n) in targets:
             if tc != c or n == 0:
@@ -66,7 +68,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
     bounds = df.agg(*sketch_cols).first().asDict() if sketch_cols else {}
     rows = []
     for c in cols:
-        if c not in fracs:
+        if counts[c] == 0:
+            continue
+        if c not in fracs:    # bracket = every value of the column (at most ACCURACY of them)
+            for (tc, p, lo, hi, frac, n) in [t for t in targets if t[0] == c]:
+                rows.append((c, p, float("-inf"), float("inf"), lo, hi, float(frac)))
             continue
         vals = bounds[c]
         tlist = [t for t in targets if t[0] == c and t[5] > 0]
