@@ -18,6 +18,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 ACCURACY = 100_000          # sketch rank error <= n / ACCURACY
 _MARGIN = 2                 # bracket half-width in sketch error units
 
@@ -119,7 +121,9 @@ def quantile_row(df: DataFrame, cols: list[str], probs: list[float], names=None)
         for p in probs:
             nm = names.get((c, p), f"{c}__q{int(round(p * 100))}")
             aggs.append(F.max(F.when((F.col("column") == c) & (F.col("p") == float(p)), F.col("value"))).alias(nm))
-    return q.agg(*aggs)
+    # A statistics layer is materialized when computed (one tiny file): later layers and
+    # every apply() read it instead of re-deriving it from its lineage.
+    return cut_lineage(q.agg(*aggs))
 
 
 def modes(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -136,4 +140,4 @@ def modes(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def mode_row(df: DataFrame, cols: list[str], suffix: str = "__mode") -> DataFrame:
     m = modes(df, cols)
-    return m.agg(*[F.max(F.when(F.col("column") == c, F.col("mode"))).alias(c + suffix) for c in cols])
+    return cut_lineage(m.agg(*[F.max(F.when(F.col("column") == c, F.col("mode"))).alias(c + suffix) for c in cols]))

@@ -235,7 +235,7 @@ def _limits_row(limits: DataFrame, cols: list[str]) -> DataFrame:
     for c in cols:
         for f in ("lower", "upper"):
             aggs.append(F.max(F.when(F.col("column") == c, F.col(f))).alias(f"{c}__{f}"))
-    return limits.agg(*aggs)
+    return cut_lineage(limits.agg(*aggs))
 
 
 def clip(c, lower, upper):
@@ -271,7 +271,11 @@ def clean_full(raw: DataFrame, bmi_imputation: str = "median") -> DataFrame:
     The rule-cleaned table is written once to the checkpoint folder before the
     statistics passes (each pass would otherwise re-run the regex projection and
     the dedup shuffle), and again after imputation."""
-    df = cut_lineage(clean_rules(raw))
+    return impute_and_cap(cut_lineage(clean_rules(raw)), bmi_imputation)
+
+
+def impute_and_cap(df: DataFrame, bmi_imputation: str = "median") -> DataFrame:
+    """C28-C30 on a rule-cleaned (C02-C27) table that is already materialized."""
     numeric = [c for c in V.NUMERIC_COLUMNS if not (c == "bmi" and bmi_imputation == "mode")]
     categorical = list(V.CATEGORICAL_COLUMNS) + (["bmi"] if bmi_imputation == "mode" else [])
     df = impute_median(df, numeric)

@@ -104,7 +104,9 @@ def fit(train: DataFrame) -> FittedStats:
     lim_row = _limits_row(lim, V.IQR_COLUMNS)
     clipped = _clip(imputed, lim_row)
     fstats = FE.feature_stats(clipped)                    # T04
-    return FittedStats(med, mode, lim_row, fstats)
+    # Materialize the four one-row frames once: every later apply() (validation, test,
+    # each streaming micro-batch) then reads a tiny file instead of re-deriving them.
+    return FittedStats(*[cut_lineage(x) for x in (med, mode, lim_row, fstats)])
 
 
 def apply(df: DataFrame, st: FittedStats, extra_ok=("patient_id",)) -> DataFrame:

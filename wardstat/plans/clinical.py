@@ -36,14 +36,24 @@ def _memo(spark: SparkSession, sf: str, name: str, build):
     return _MEMO[k]
 
 
+def prepared(spark: SparkSession, sf: str) -> DataFrame:
+    """Consolidated, de-duplicated, canonically named raw table (C04-C08, C02): the one
+    shuffle of the cleaning job, materialized once and shared by C31 and C32."""
+    return _memo(spark, sf, "prepared", lambda: C._prepared(raw(spark, sf)))
+
+
 def patients(spark: SparkSession, sf: str) -> DataFrame:
     """The stored 31-column ``patients`` table (C32 output)."""
-    return _memo(spark, sf, "patients", lambda: C.clean_deterministic(raw(spark, sf)).drop(ORDER_COL))
+    return _memo(spark, sf, "patients", lambda: C.normalize_values(
+        prepared(spark, sf), bounded_bmi=True, binary=X.binary_from_any).drop(ORDER_COL))
 
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     """C31 output (31 columns)."""
-    return _memo(spark, sf, "cleaned", lambda: C.clean_full(raw(spark, sf)).drop(ORDER_COL))
+    def build():
+        rules = cut_lineage(C.normalize_values(prepared(spark, sf), bounded_bmi=False, binary=X.binary_from_text))
+        return C.impute_and_cap(rules).drop(ORDER_COL)
+    return _memo(spark, sf, "cleaned", build)
 
 
 def engineered(spark: SparkSession, sf: str) -> DataFrame:
