@@ -33,10 +33,12 @@ def random_forest(num_trees=200, max_depth=12, min_leaf=5) -> RandomForestClassi
                                   seed=42)
 
 
-def weighted_gbt(max_iter=200, max_depth=6, step=0.1) -> GBTClassifier:
-    """row/column subsampling 0.8 (column sampling is per node in Spark)."""
+def weighted_gbt(max_iter=200, max_depth=6, step=0.1, subsample=0.8, colsample=0.8,
+                 min_leaf=1) -> GBTClassifier:
+    """row/column subsampling 0.8 (column sampling is per node in Spark); no L1/L2/gamma."""
     return GBTClassifier(labelCol=LABEL, featuresCol="features", weightCol="weight", maxIter=max_iter,
-                         maxDepth=max_depth, stepSize=step, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
+                         maxDepth=max_depth, stepSize=step, subsamplingRate=subsample,
+                         featureSubsetStrategy=str(colsample), minInstancesPerNode=min_leaf, seed=42)
 
 
 def balanced_gbt(max_iter=100, max_depth=3) -> GBTClassifier:
