@@ -12,7 +12,7 @@ from ..functions import exprs as X
 from ..functions import vocab as V
 from ..operators import cleaning as C
 from ..operators import features as FE
-from ..session import cut_lineage
+from ..session import cut_lineage, write_table
 from ..sources import tables as T
 from ..sources.fixture import ORDER_COL
 from . import sql_suite as S
@@ -27,12 +27,15 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
 _MEMO: dict = {}
 
 
+_CLUSTER = {"patients": "patient_id", "cleaned": "patient_id", "engineered": "patient_id"}
+
+
 def _memo(spark: SparkSession, sf: str, name: str, build):
-    """Derived tables are written once per session to the checkpoint folder and reused
-    by later queries (like a stored intermediate table)."""
+    """Derived tables are written once per session as parquet tables in the checkpoint
+    folder and reused by later queries (scans of them prune columns and push filters)."""
     k = (id(spark), sf, name)
     if k not in _MEMO:
-        _MEMO[k] = cut_lineage(build())
+        _MEMO[k] = write_table(build(), name, _CLUSTER.get(name))
     return _MEMO[k]
 
 

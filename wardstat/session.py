@@ -60,3 +60,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_table(df: DataFrame, name: str, cluster_by: str | None = None) -> DataFrame:
+    """Materialize a derived table as parquet in the shared checkpoint folder and read it
+    back. Unlike an RDD checkpoint, later queries get column pruning, predicate pushdown
+    and row-group skipping. ``cluster_by`` range-partitions and sorts the files on that key
+    so an equality / range filter on it skips whole files and row groups."""
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    out = df
+    if cluster_by:
+        out = out.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
+    out.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
