@@ -129,3 +129,16 @@ def test_invalid_probabilities_never_reach_the_log(spark):
     df = spark.createDataFrame([(1, float("nan")), (2, float("inf")), (3, 1.2), (4, -0.1), (5, 0.7)], "i int, p double")
     ok = [r["i"] for r in df.where(RQ.valid_probability(F.col("p"))).collect()]
     assert ok == [5]
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    """Dedup and modes stay exact when one key / value holds a third of all rows."""
+    from wardstat.functions import stats
+    n = 3000
+    rows = [(0 if i % 3 == 0 else i, i, f"v{i % 5}") for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, row_ord long, v string").repartition(6)
+    d = C.dedup_keep_first(df, "k")
+    assert d.count() == n - n // 3 + 1
+    assert d.where("k = 0").collect()[0]["row_ord"] == 0
+    hot = spark.createDataFrame([("hot" if i % 3 == 0 else f"c{i % 50}",) for i in range(n)], "g string")
+    assert stats.modes(hot, ["g"]).first()["mode"] == "hot"
