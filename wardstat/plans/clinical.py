@@ -27,7 +27,7 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
 _MEMO: dict = {}
 
 
-_CLUSTER = {"patients": "patient_id", "cleaned": "patient_id", "engineered": "patient_id"}
+_CLUSTER = {"patients": "patient_id"}   # the stored table served by point lookups (J16)
 
 
 def _memo(spark: SparkSession, sf: str, name: str, build):
