@@ -15,7 +15,7 @@ from pyspark.sql.types import StringType
 from ..functions import exprs as X
 from ..functions import stats
 from ..functions import vocab as V
-from ..session import cut_lineage
+from ..session import cut_lineage, write_table
 from ..sources.fixture import ORDER_COL
 
 
@@ -268,10 +268,10 @@ def clean_full(raw: DataFrame, bmi_imputation: str = "median") -> DataFrame:
     """C02-C30. Statistics: pass 1 medians + modes (after range nulling),
     pass 2 quartiles on imputed values.
 
-    The rule-cleaned table is written once to the checkpoint folder before the
+    The rule-cleaned table is written once (parquet, checkpoint folder) before the
     statistics passes (each pass would otherwise re-run the regex projection and
     the dedup shuffle), and again after imputation."""
-    return impute_and_cap(cut_lineage(clean_rules(raw)), bmi_imputation)
+    return impute_and_cap(write_table(clean_rules(raw), "clean_rules"), bmi_imputation)
 
 
 def impute_and_cap(df: DataFrame, bmi_imputation: str = "median") -> DataFrame:
@@ -279,5 +279,5 @@ def impute_and_cap(df: DataFrame, bmi_imputation: str = "median") -> DataFrame:
     numeric = [c for c in V.NUMERIC_COLUMNS if not (c == "bmi" and bmi_imputation == "mode")]
     categorical = list(V.CATEGORICAL_COLUMNS) + (["bmi"] if bmi_imputation == "mode" else [])
     df = impute_median(df, numeric)
-    df = cut_lineage(impute_mode(df, categorical, cast_back={"bmi": "double"}))
+    df = write_table(impute_mode(df, categorical, cast_back={"bmi": "double"}), "imputed")
     return iqr_cap(df, V.IQR_COLUMNS)

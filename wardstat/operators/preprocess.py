@@ -95,11 +95,11 @@ def fit_modes(train: DataFrame) -> DataFrame:
 
 def fit(train: DataFrame) -> FittedStats:
     """T01-T04 on the train split only."""
-    from ..session import cut_lineage
-    base = cut_lineage(normalize(validate_predictors(train)))
+    from ..session import cut_lineage, write_table
+    base = write_table(normalize(validate_predictors(train)), "train_base")
     med = fit_medians(base)
     mode = fit_modes(base)
-    imputed = cut_lineage(_impute(base, med, mode))
+    imputed = write_table(_impute(base, med, mode), "train_imputed")
     lim = iqr_limits(imputed, V.IQR_COLUMNS)              # T03
     lim_row = _limits_row(lim, V.IQR_COLUMNS)
     clipped = _clip(imputed, lim_row)

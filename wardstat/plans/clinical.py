@@ -54,7 +54,8 @@ def patients(spark: SparkSession, sf: str) -> DataFrame:
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     """C31 output (31 columns)."""
     def build():
-        rules = cut_lineage(C.normalize_values(prepared(spark, sf), bounded_bmi=False, binary=X.binary_from_text))
+        rules = write_table(C.normalize_values(prepared(spark, sf), bounded_bmi=False, binary=X.binary_from_text),
+                            "clean_rules")
         return C.impute_and_cap(rules).drop(ORDER_COL)
     return _memo(spark, sf, "cleaned", build)
 
@@ -187,7 +188,7 @@ def recompute_bmi(spark, sf):
 @register("impute_median")
 def impute_median(spark, sf):
     from ..functions import stats
-    return stats.exact_quantiles(cut_lineage(C.clean_rules(raw(spark, sf))), V.NUMERIC_COLUMNS, [0.5]).select(
+    return stats.exact_quantiles(write_table(C.clean_rules(raw(spark, sf)), "clean_rules"), V.NUMERIC_COLUMNS, [0.5]).select(
         "column", F.col("value").alias("median"))
 
 
@@ -199,8 +200,8 @@ def impute_mode(spark, sf):
 
 @register("iqr_cap")
 def iqr_cap(spark, sf):
-    df = cut_lineage(C.clean_rules(raw(spark, sf)))
-    df = cut_lineage(C.impute_mode(C.impute_median(df, V.NUMERIC_COLUMNS), V.CATEGORICAL_COLUMNS))
+    df = write_table(C.clean_rules(raw(spark, sf)), "clean_rules")
+    df = write_table(C.impute_mode(C.impute_median(df, V.NUMERIC_COLUMNS), V.CATEGORICAL_COLUMNS), "imputed")
     return C.iqr_report(df, V.IQR_COLUMNS)
 
 
