@@ -5,7 +5,7 @@ from wardstat.functions import vocab as V
 from wardstat.sources.fixture import RAW_COLUMNS
 
 from .catalog import add
-from .clinical import fin, ph, with_ctes
+from .clinical import ph, with_ctes
 
 LNUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 

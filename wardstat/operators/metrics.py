@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ordering import global_prefix
-from .cleaning import attach_row
 
 GROUP = ["model", "split"]
 

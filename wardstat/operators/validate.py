@@ -6,24 +6,22 @@ differences are anti-joins (shuffled on the key), never Python sets.
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from .cleaning import attach_row
 from .profile import null_profile
 
 
 def _checks(row: DataFrame, checks: list[tuple[str, str, object]]) -> DataFrame:
-    """row: one-row frame; checks: (name, observed column, expected literal or column name)."""
-    parts = []
+    """row: one-row frame; checks: (name, observed column, expected literal or column name).
+    One ``inline`` over the single row, so the aggregate behind it is evaluated once."""
+    structs = []
     for name, obs, exp in checks:
-        e = F.col(exp) if isinstance(exp, str) else F.lit(exp)
-        parts.append(row.select(F.lit(name).alias("check"), F.col(obs).cast("long").alias("observed"),
-                                e.cast("long").alias("expected")))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+        e = f"`{exp}`" if isinstance(exp, str) else repr(exp)
+        structs.append(f"named_struct('check', '{name}', 'observed', CAST(`{obs}` AS BIGINT), "
+                       f"'expected', CAST({e} AS BIGINT))")
+    out = row.select(F.expr(f"inline(array({', '.join(structs)}))"))
     return out.withColumn("passed", F.coalesce((F.col("observed") == F.col("expected")), F.lit(False)).cast("int"))
 
 
@@ -80,35 +78,42 @@ def value_disagreements(a: DataFrame, b: DataFrame, key: str, col: str, n: int =
     return j.where(~F.col("value_a").eqNullSafe(F.col("value_b"))).orderBy(key).limit(n)
 
 
+def _per_column(df: DataFrame, cols: list[str], metrics: dict) -> DataFrame:
+    """One aggregate over all columns (a single scan), unpivoted to one row per column.
+    ``metrics``: name -> fn(column name) -> aggregate Column (cast to BIGINT)."""
+    aggs = [fn(c).cast("long").alias(f"{c}__{m}") for c in cols for m, fn in metrics.items()]
+    structs = ", ".join("named_struct('column', '{0}', {1})".format(
+        c, ", ".join(f"'{m}', `{c}__{m}`" for m in metrics)) for c in cols)
+    return df.agg(*aggs).select(F.expr(f"inline(array({structs}))"))
+
+
+def _count_if(cond):
+    return F.sum(F.when(cond, 1).otherwise(0))
+
+
 def conversion_failures(df: DataFrame, cols: list[str], convert) -> DataFrame:
     """Non-null originals whose conversion yields NULL, per column."""
-    return reduce(lambda x, y: x.unionByName(y), [
-        df.agg(F.sum(F.when(F.col(c).isNotNull() & convert(F.col(c)).isNull(), 1).otherwise(0))
-               .cast("long").alias("failures")).select(F.lit(c).alias("column"), "failures") for c in cols])
+    return _per_column(df, cols, {"failures": lambda c: _count_if(F.col(c).isNotNull() & convert(F.col(c)).isNull())})
 
 
 def non_finite_values(df: DataFrame, cols: list[str]) -> DataFrame:
     """Non-null values that are NaN or +-inf, per column."""
-    return reduce(lambda x, y: x.unionByName(y), [
-        df.agg(F.sum(F.when(F.col(c).isNotNull() & (F.isnan(c) | F.col(c).isin(float("inf"), float("-inf"))), 1)
-                     .otherwise(0)).cast("long").alias("non_finite")).select(F.lit(c).alias("column"), "non_finite")
-        for c in cols])
+    return _per_column(df, cols, {"non_finite": lambda c: _count_if(
+        F.col(c).isNotNull() & (F.isnan(c) | F.col(c).isin(float("inf"), float("-inf"))))})
 
 
 def domain_check(df: DataFrame, cols: list[str], allowed=(0, 1)) -> DataFrame:
     """Values outside {allowed, NULL}, per column."""
-    return reduce(lambda x, y: x.unionByName(y), [
-        df.agg(F.sum(F.when(F.col(c).isNotNull() & ~F.col(c).isin(*allowed), 1).otherwise(0))
-               .cast("long").alias("outside")).select(F.lit(c).alias("column"), "outside") for c in cols])
+    return _per_column(df, cols, {"outside": lambda c: _count_if(F.col(c).isNotNull() & ~F.col(c).isin(*allowed))})
 
 
 def text_length_check(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     """Max length per text column vs its limit, number of values over it."""
-    return reduce(lambda x, y: x.unionByName(y), [
-        df.agg(F.max(F.length(c)).cast("long").alias("max_length"),
-               F.sum(F.when(F.length(c) > lim, 1).otherwise(0)).cast("long").alias("over_limit"))
-        .select(F.lit(c).alias("column"), F.lit(lim).cast("long").alias("limit"), "max_length", "over_limit")
-        for c, lim in limits.items()])
+    out = _per_column(df, list(limits), {
+        "max_length": lambda c: F.max(F.length(c)),
+        "over_limit": lambda c: _count_if(F.length(c) > limits[c])})
+    lim = F.create_map(*[x for c, v in limits.items() for x in (F.lit(c), F.lit(v))])
+    return out.select("column", lim[F.col("column")].cast("long").alias("limit"), "max_length", "over_limit")
 
 
 def date_only_check(df: DataFrame, col: str) -> DataFrame:
@@ -131,11 +136,9 @@ def null_profile_diff(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def binary_distribution(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count of 0 / 1 / NULL per binary column."""
-    return reduce(lambda x, y: x.unionByName(y), [
-        df.agg(F.sum(F.when(F.col(c) == 0, 1).otherwise(0)).cast("long").alias("n_zero"),
-               F.sum(F.when(F.col(c) == 1, 1).otherwise(0)).cast("long").alias("n_one"),
-               F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("long").alias("n_null"))
-        .select(F.lit(c).alias("column"), "n_zero", "n_one", "n_null") for c in cols])
+    return _per_column(df, cols, {"n_zero": lambda c: _count_if(F.col(c) == 0),
+                                  "n_one": lambda c: _count_if(F.col(c) == 1),
+                                  "n_null": lambda c: _count_if(F.col(c).isNull())})
 
 
 def load_parity(source: DataFrame, stored: DataFrame, key: str, binary_cols: list[str]) -> DataFrame:

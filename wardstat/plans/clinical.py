@@ -12,7 +12,7 @@ from ..functions import exprs as X
 from ..functions import vocab as V
 from ..operators import cleaning as C
 from ..operators import features as FE
-from ..session import cut_lineage, write_table
+from ..session import write_table
 from ..sources import tables as T
 from ..sources.fixture import ORDER_COL
 from . import sql_suite as S

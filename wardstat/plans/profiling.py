@@ -4,7 +4,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T_
 
 from ..functions import exprs as X
 from ..functions import vocab as V
@@ -14,8 +13,8 @@ from ..operators.cleaning import attach_row
 from ..session import ensure_checkpoint_dir
 from ..sources import io as IO
 from ..sources import tables as T
-from ..sources.fixture import ORDER_COL, RAW_COLUMNS
-from .clinical import cleaned, engineered, patients, raw
+from ..sources.fixture import ORDER_COL
+from .clinical import cleaned, patients, raw
 from .registry import register
 
 LINEITEM_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
