@@ -52,8 +52,10 @@ def test_ordering_prefix_matches_cumsum(spark):
 
 
 def test_sketch_bracket_path_is_exact(spark, monkeypatch):
-    """Force the sketch path (n > ACCURACY) and compare with pandas."""
-    monkeypatch.setattr(stats, "ACCURACY", 200)
+    """Force the sketch path (n > SMALL_EXACT) with a coarse sketch and compare with pandas."""
+    monkeypatch.setattr(stats, "SMALL_EXACT", 100)
+    monkeypatch.setattr(stats, "MIN_ACCURACY", 200)
+    monkeypatch.setattr(stats, "MAX_ACCURACY", 200)
     rng = np.random.default_rng(11)
     n = 5000
     pdf = pd.DataFrame({"a": np.round(rng.normal(0, 1, n), 2), "b": np.where(rng.random(n) < 0.4, 3.0, rng.random(n))})

@@ -5,8 +5,8 @@
 * ``exact_quantiles``: exact linear-interpolated quantiles (pandas / ``percentile_cont``
   definition) without gathering a column into one task. A mergeable sketch
   (``percentile_approx``, bounded memory, partial aggregation) brackets each target
-  rank; only rows inside the bracket (about 2*n/ACCURACY + 4 of them) are counted per
-  distinct value and ranked exactly.
+  rank; only rows inside the bracket (about 4*n/accuracy, kept near BRACKET_TARGET by
+  an accuracy chosen per column) are counted per distinct value and ranked exactly.
 * ``modes``: most frequent value, ties -> smallest, as two partial aggregations
   (per-value counts, then max count per column) and a broadcast of the
   one-row-per-column maximum.
@@ -20,10 +20,18 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-ACCURACY = 100_000          # sketch rank error <= n / ACCURACY
+SMALL_EXACT = 100_000       # columns with at most this many values are ranked directly
+BRACKET_TARGET = 100_000    # rows the exact step should see per target, whatever n is
+MIN_ACCURACY = 10_000       # sketch accuracy bounds (rank error <= n / accuracy)
+MAX_ACCURACY = 1_000_000
 _MARGIN = 2                 # bracket half-width in sketch error units
 
 
+def sketch_accuracy(n: int) -> int:
+    """Accuracy so that the bracket (~4 n / accuracy rows) stays near BRACKET_TARGET."""
+    return int(min(MAX_ACCURACY, max(MIN_ACCURACY, math.ceil(4 * n / BRACKET_TARGET))))
+
+
 def long_values(df: DataFrame, cols: list[str], cast: str | None = "double",
                 keep_nulls: bool = False, key: str | None = None) -> DataFrame:
     """Unpivot ``cols`` into (column, value) (plus ``key`` if given)."""
@@ -53,11 +61,12 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
             lo = int(math.floor(h))
             targets.append((c, float(p), lo, min(lo + 1, n - 1), h - lo, n))
     # One sketch pass over all columns brackets every target rank.
-    err = [max(1.0, counts[c] / ACCURACY) for c in cols]
     sketch_cols, fracs = [], {}
-    for c, e in zip(cols, err):
-        if counts[c] <= ACCURACY:
+    for c in cols:
+        if counts[c] <= SMALL_EXACT:
             continue          # small column: rank all its values exactly, no sketch pass needed
+        acc = sketch_accuracy(counts[c])
+        e = max(1.0, counts[c] / acc)
         qs = []
         for (tc, p, lo, hi, _, n) in targets:
             if tc != c or n == 0:
@@ -66,13 +75,13 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
             qs.append(min(1.0, (hi + _MARGIN * e + 1) / n))
         if qs:
             fracs[c] = qs
-            sketch_cols.append(F.percentile_approx(F.col(c).cast("double"), qs, ACCURACY).alias(c))
+            sketch_cols.append(F.percentile_approx(F.col(c).cast("double"), qs, acc).alias(c))
     bounds = df.agg(*sketch_cols).first().asDict() if sketch_cols else {}
     rows = []
     for c in cols:
         if counts[c] == 0:
             continue
-        if c not in fracs:    # bracket = every value of the column (at most ACCURACY of them)
+        if c not in fracs:    # bracket = every value of the column (at most SMALL_EXACT of them)
             for (tc, p, lo, hi, frac, n) in [t for t in targets if t[0] == c]:
                 rows.append((c, p, float("-inf"), float("inf"), lo, hi, float(frac)))
             continue
