@@ -94,3 +94,11 @@ add("standard_scale", tq("SELECT t.patient_id, " + ", ".join(
     f"(t.{c} - s.{c}_m) / CASE WHEN s.{c}_s = 0 THEN 1.0 ELSE s.{c}_s END AS {c}" for c in _FN)
     + " FROM tefeat t, (SELECT " + ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in _FN)
     + " FROM trfeat) s"))
+
+# Vector size = numeric features + one slot per train category; non-zeros = non-zero
+# numeric values + categories of the row that were seen in train.
+_NFEAT = " + ".join([str(len(_FN))] + [f"(SELECT count(DISTINCT {c}) FROM trfeat)" for c in _FC])
+_NNZ = " + ".join([f"CASE WHEN t.{c} <> 0 THEN 1 ELSE 0 END" for c in _FN] +
+                  [f"CASE WHEN t.{c} IN (SELECT DISTINCT {c} FROM trfeat) THEN 1 ELSE 0 END" for c in _FC])
+add("assemble_features", tq(f"SELECT t.patient_id, CAST({_NFEAT} AS INTEGER) AS n_features, "
+                            f"CAST({_NNZ} AS INTEGER) AS nnz FROM tefeat t"))
