@@ -144,7 +144,7 @@ def modes(df: DataFrame, cols: list[str]) -> DataFrame:
               .groupBy("column").agg(F.min("value").alias("mode")))
     spark = df.sparkSession
     all_cols = spark.createDataFrame([(c,) for c in cols], "column string")
-    return F.broadcast(all_cols).join(picked, "column", "left")
+    return all_cols.join(F.broadcast(picked), "column", "left")   # one row per column on both sides
 
 
 def mode_row(df: DataFrame, cols: list[str], suffix: str = "__mode") -> DataFrame:

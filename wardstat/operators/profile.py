@@ -48,7 +48,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     meta = spark.createDataFrame([(f.name, role(f.dataType), i) for i, f in enumerate(df.schema.fields)],
                                  "column string, role string, position int")
-    return (F.broadcast(meta).join(distinct, "column", "left")
+    return (meta.join(F.broadcast(distinct), "column", "left")   # one row per column on both sides
             .select("column", "role", F.coalesce("non_null", F.lit(0)).cast("long").alias("non_null"),
                     F.coalesce("n_distinct", F.lit(0)).cast("long").alias("n_distinct")))
 
