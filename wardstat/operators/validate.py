@@ -142,17 +142,17 @@ def binary_distribution(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def load_parity(source: DataFrame, stored: DataFrame, key: str, binary_cols: list[str]) -> DataFrame:
-    """Row count, distinct keys, null counts and 0/1/NULL distributions equal on both sides."""
+    """Row count, distinct keys, null counts and 0/1/NULL distributions equal on both
+    sides. Each side is one aggregate (one scan) unpivoted to (metric, value)."""
     def metrics(df):
-        base = df.agg(F.count(F.lit(1)).cast("long").alias("rows"),
-                      F.countDistinct(key).cast("long").alias("distinct_keys"))
-        m = base.select(F.expr("stack(2, 'rows', rows, 'distinct_keys', distinct_keys) AS (metric, value)"))
-        nulls = null_profile(df).select(F.concat(F.lit("nulls:"), "column").alias("metric"),
-                                        F.col("missing").alias("value"))
-        bd = binary_distribution(df, binary_cols)
-        dist = bd.select(F.expr("stack(3, concat(column, ':0'), n_zero, concat(column, ':1'), n_one, "
-                                "concat(column, ':null'), n_null) AS (metric, value)"))
-        return m.unionByName(nulls).unionByName(dist)
+        named = [("rows", F.count(F.lit(1))), ("distinct_keys", F.countDistinct(key))]
+        named += [(f"nulls:{c}", _count_if(F.col(f"`{c}`").isNull())) for c in df.columns]
+        for c in binary_cols:
+            named += [(f"{c}:0", _count_if(F.col(c) == 0)), (f"{c}:1", _count_if(F.col(c) == 1)),
+                      (f"{c}:null", _count_if(F.col(c).isNull()))]
+        row = df.agg(*[e.cast("long").alias(f"m{i}") for i, (_, e) in enumerate(named)])
+        structs = ", ".join(f"named_struct('metric', '{n}', 'value', m{i})" for i, (n, _) in enumerate(named))
+        return row.select(F.expr(f"inline(array({structs}))"))
     s = metrics(source).withColumnRenamed("value", "source_value")
     t = metrics(stored).withColumnRenamed("value", "stored_value")
     return s.join(t, "metric", "full").select(
