@@ -40,6 +40,7 @@ K = 20
 TABLES = 2
 TARGET = 0.95
 FIRST = 0.1                        # share of all points that the first round visits
+BOUND_HITS = 4                     # hits of the first round, in multiples of k + 1
 LEAST = 1000                       # points that every query visits at least
 POINTS = 500                       # points aimed at in a bucket
 CELLS = 3.5                        # occupied cells that one more projection gives, about
@@ -170,8 +171,10 @@ def search(df: DataFrame, k: int = K, id_col: str = "vec_id",
     placed = hashed.select("t", "code", F.pmod(F.xxhash64("id"), n_chunks).cast("int").alias("chunk"),
                            F.lit(0).alias("tag"), "id", F.lit(float("-inf")).alias("bound"), "v")
 
-    def round_of(asking: DataFrame, share: float, least: float) -> DataFrame:
-        """(qid, pid, score): hits of the queries (pid, bound, v) in the buckets they visit."""
+    def round_of(asking: DataFrame, share: float, least: float, per_point: float = math.inf) -> DataFrame:
+        """(qid, pid, score): hits of the queries (pid, bound, v) in the buckets they visit, at
+        most k + 1 of a chunk (no more can matter), and at most ``per_point`` for each of its
+        points where only a bound is wanted."""
         def visit():
             def run(b):
                 size = 256
@@ -221,9 +224,9 @@ def search(df: DataFrame, k: int = K, id_col: str = "vec_id",
                     cid, c = held[0]
                     bound = part["bound"].to_numpy(zero_copy_only=False)
                     score = v @ c.T
-                    if score.shape[1] > k + 1:                 # no more than k + 1 of a chunk can matter
-                        kth = np.partition(score, score.shape[1] - k - 1, axis=1)[:, -(k + 1)]
-                        bound = np.maximum(bound, kth)
+                    most = int(min(k + 1, math.ceil(per_point * len(cid)) if per_point < 1 else k + 1))
+                    if score.shape[1] > most:
+                        bound = np.maximum(bound, np.partition(score, score.shape[1] - most, axis=1)[:, -most])
                     qi, ci = np.nonzero(score >= bound[:, None])
                     yield pa.RecordBatch.from_arrays([pa.array(ids[qi]), pa.array(cid[ci]), pa.array(score[qi, ci])], names)
 
@@ -238,7 +241,10 @@ def search(df: DataFrame, k: int = K, id_col: str = "vec_id",
         return one.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k + 1)
 
     distinct = asked.select("pid", "v").distinct().withColumn("bound", F.lit(float("-inf")))
-    first = best(round_of(distinct, 0.0, max(FIRST * n, LEAST)))
+    # any k + 1 points bound the k-th neighbour from below, so the first round sends only a few
+    # times k + 1 hits a query, each chunk its best ones in proportion to its size
+    visited = max(FIRST * n, LEAST)
+    first = best(round_of(distinct, 0.0, visited, BOUND_HITS * (k + 1) / visited))
     # the last of k + 1 (the query's own point is among them) bounds the k-th neighbour; less a
     # rounding margin, as the scores of the two rounds come from different matrix products
     bounds = first.where(F.col("rn") == k + 1).select(F.col("qid").alias("pid"),
