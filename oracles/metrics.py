@@ -74,9 +74,11 @@ add("threshold_metrics", mq("SELECT * FROM tm"))
 add("roc_auc", mq("SELECT * FROM auc"))
 add("average_precision", mq("SELECT * FROM ap"))
 add("roc_curve", mq("SELECT model, split, prob AS threshold, CASE WHEN neg_total = 0 THEN 0.0 ELSE fp_at / neg_total END AS fpr, "
-                    "CASE WHEN pos_total = 0 THEN 0.0 ELSE tp_at / pos_total END AS tpr FROM cum"))
+                    "CASE WHEN pos_total = 0 THEN 0.0 ELSE tp_at / pos_total END AS tpr FROM cum "
+                    "UNION ALL SELECT DISTINCT model, split, CAST('Infinity' AS DOUBLE), 0.0, 0.0 FROM cum"))
 add("pr_curve", mq("SELECT model, split, prob AS threshold, CASE WHEN tp_at + fp_at = 0 THEN 0.0 ELSE tp_at / (tp_at + fp_at) END AS precision, "
-                   "CASE WHEN pos_total = 0 THEN 0.0 ELSE tp_at / pos_total END AS recall FROM cum"))
+                   "CASE WHEN pos_total = 0 THEN 0.0 ELSE tp_at / pos_total END AS recall FROM cum "
+                   "UNION ALL SELECT DISTINCT model, split, CAST('Infinity' AS DOUBLE), 1.0, 0.0 FROM cum"))
 add("classification_report", mq("""
 SELECT * FROM per
 UNION ALL SELECT model, split, 'accuracy', NULL, NULL, (SELECT accuracy FROM tm WHERE tm.model = per.model AND tm.split = per.split), CAST(sum(support) AS BIGINT) FROM per GROUP BY model, split

@@ -53,10 +53,11 @@ add("inf_profile", with_ctes(["patients_raw"], " UNION ALL ".join(
     for c in _RAWNUM)))
 add("seeded_sample", "SELECT * FROM orders ORDER BY md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR))) LIMIT 1000")
 add("histogram", " UNION ALL ".join(f"""
-SELECT '{c}' AS column, bin, lo + bin * (hi - lo) / 50 AS bin_start, count(*) AS count FROM (
-  SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor(({c} - lo) / ((hi - lo) / 50)), 49) END AS INTEGER) AS bin, lo, hi
-  FROM lineitem, (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem WHERE {c} IS NOT NULL AND NOT isnan({c}) AND NOT isinf({c}))
-  WHERE {c} IS NOT NULL AND NOT isnan({c}) AND NOT isinf({c})) GROUP BY bin, lo, hi""" for c in LNUM))
+SELECT '{c}' AS column, CAST(g.bin AS INTEGER) AS bin, lo + g.bin * (hi - lo) / 50 AS bin_start, count(v.bin) AS count
+FROM range(50) g(bin) CROSS JOIN (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem WHERE isfinite({c})) m
+LEFT JOIN (SELECT CASE WHEN hi = lo THEN 0 ELSE least(floor(({c} - lo) / ((hi - lo) / 50)), 49) END AS bin
+  FROM lineitem, (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem WHERE isfinite({c})) WHERE isfinite({c})) v
+ON v.bin = g.bin GROUP BY g.bin, lo, hi""" for c in LNUM))
 _pairs = [(a, b) for i, a in enumerate(LNUM) for b in LNUM[i + 1:]]
 add("corr_matrix", " UNION ALL ".join(
     [f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}, {b}) AS r FROM lineitem" for a, b in _pairs] +

@@ -84,3 +84,11 @@ def test_bmi_recompute_bounded_and_unbounded(spark):
 def test_snake_case(spark):
     got = _one(spark, ["  Hello World-2 ", "a__b  c"], X.snake_case, "string")
     assert got == ["hello_world2", "a_b_c"]
+
+
+def test_strip_takes_tabs_and_newlines(spark):
+    from wardstat.functions import exprs as X
+    df = spark.createDataFrame([("\tMale\n", "N/A\t", "\n yes ")], "g string, p string, b string")
+    r = df.select(X.canonical_gender("g").alias("g"), X.placeholder_to_null("p").alias("p"),
+                  X.binary_from_any("b").alias("b")).first()
+    assert (r["g"], r["p"], r["b"]) == (X.V.GENDER_MAP["male"], None, 1)

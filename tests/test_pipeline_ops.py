@@ -142,3 +142,39 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert d.where("k = 0").collect()[0]["row_ord"] == 0
     hot = spark.createDataFrame([("hot" if i % 3 == 0 else f"c{i % 50}",) for i in range(n)], "g string")
     assert stats.modes(hot, ["g"]).first()["mode"] == "hot"
+
+
+def test_missing_keys_and_labels_are_kept(spark):
+    from wardstat.operators import cleaning as C
+    from wardstat.operators import splits as S
+    df = spark.createDataFrame([(1, 0), (1, 1), (None, 2), (None, 3)], "k long, row_ord long")
+    assert sorted(r["row_ord"] for r in C.dedup_keep_first(df, "k", "row_ord").collect()) == [0, 2]
+    d = spark.range(1000).selectExpr("id AS k", "CASE WHEN id % 3 = 0 THEN NULL ELSE id % 2 END AS y")
+    out = S.stratified_select(d, "k", "y", 0.2, 42, "test")
+    assert out.count() == 1000 and out.where("selected").count() == 200
+
+
+def test_incomplete_scores_fail(spark):
+    import pytest
+    from wardstat.operators import splits as S
+    truth = spark.createDataFrame([(1, 0), (2, 1)], "key long, y int")
+    part = spark.createDataFrame([(1, 0, 0.5)], "key long, y int, prob double")
+    with pytest.raises(ValueError):
+        S.join_scores(truth, {"m": part}, ["key", "y"])
+
+
+def test_counts_beyond_32_bits(spark):
+    from wardstat.operators import association as A
+    from wardstat.operators import metrics as M
+    from wardstat.operators import validate as V
+    n = 4_000_000_000
+    cells = spark.createDataFrame([("p", "a", "x", n), ("p", "b", "y", n)], "pair string, a string, b string, n long")
+    assert abs(A._v_from_cells(cells, ["pair"]).first()["cramers_v"] - 1.0) < 1e-6
+    cum = spark.createDataFrame([("m", "s", 0.9, n, 0, n, n, 0, n), ("m", "s", 0.1, 0, n, n, n, 0, 0)],
+                                "model string, split string, prob double, n_pos long, n_neg long, pos_total long, "
+                                "neg_total long, pos_below long, neg_below long")
+    assert abs(M.roc_auc(None, cum).first()["roc_auc"] - 1.0) < 1e-6
+    bad = spark.createDataFrame([("12", "2024-01-01"), ("x1", "not a day"), ("1.5", "2024-01-01 10:00:00")], "k string, d string")
+    assert {r["check"]: r["observed"] for r in V.integer_key(bad, "k").collect()} == {
+        "non_integer_keys": 1, "non_numeric_keys": 1}
+    assert V.date_only_check(bad, "d").first()["conversion_failures"] == 1

@@ -51,17 +51,24 @@ def test_ordering_prefix_matches_cumsum(spark):
     assert list(out["cum_v"]) == list(exp["v"].cumsum())
 
 
-def test_sketch_bracket_path_is_exact(spark, monkeypatch):
-    """Force the sketch path (n > SMALL_EXACT) with a coarse sketch and compare with pandas."""
-    monkeypatch.setattr(stats, "SMALL_EXACT", 100)
-    monkeypatch.setattr(stats, "MIN_ACCURACY", 200)
-    monkeypatch.setattr(stats, "MAX_ACCURACY", 200)
+def test_few_bins_give_the_same_values(spark, monkeypatch):
+    monkeypatch.setattr(stats, "BINS", 64)
     rng = np.random.default_rng(11)
     n = 5000
-    pdf = pd.DataFrame({"a": np.round(rng.normal(0, 1, n), 2), "b": np.where(rng.random(n) < 0.4, 3.0, rng.random(n))})
+    pdf = pd.DataFrame({"a": np.round(rng.normal(0, 1, n), 2), "b": np.where(rng.random(n) < 0.4, 3.0, rng.random(n)),
+                        "c": np.exp(rng.normal(0, 60, n))})
     df = spark.createDataFrame(pdf)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {(r["column"], r["p"]): r["value"] for r in stats.exact_quantiles(df, ["a", "b"], probs).collect()}
-    for col in "ab":
+    got = {(r["column"], r["p"]): r["value"] for r in stats.exact_quantiles(df, ["a", "b", "c"], probs).collect()}
+    for col in "abc":
         for p in probs:
-            assert got[(col, p)] == pytest.approx(_pd_quantile(pdf[col], p), abs=1e-12)
+            assert got[(col, p)] == pytest.approx(_pd_quantile(pdf[col], p), rel=1e-12)
+
+
+def test_quantiles_with_nan_and_infinities(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(x,) for x in (1.0, 2.0, nan, nan, nan)], "x double")
+    assert stats.exact_quantiles(df, ["x"], [0.5]).first()["value"] == 1.5
+    df = spark.createDataFrame([(x,) for x in (-inf, 1.0, 2.0, 3.0, inf, 1.7e308, -1.7e308)], "x double")
+    got = [r["value"] for r in stats.exact_quantiles(df, ["x"], [0.0, 0.5, 1.0]).collect()]
+    assert got == [-inf, 2.0, inf]

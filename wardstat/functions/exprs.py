@@ -19,15 +19,23 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The white space that a text strip removes at both ends.
+STRIPPED = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029"
+
+
+def strip(c) -> Column:
+    return F.trim(col(c), F.lit(STRIPPED))
+
+
 def placeholder_to_null(c) -> Column:
     """Textual placeholders (after strip + lower) become NULL; other values are kept as is."""
     c = col(c)
-    return F.when(F.lower(F.trim(c)).isin(V.PLACEHOLDERS), F.lit(None).cast("string")).otherwise(c)
+    return F.when(F.lower(strip(c)).isin(V.PLACEHOLDERS), F.lit(None).cast("string")).otherwise(c)
 
 
 def normalize_text(c) -> Column:
     """Strip + lower."""
-    return F.lower(F.trim(col(c)))
+    return F.lower(strip(c))
 
 
 def dict_map(c, mapping: dict) -> Column:
@@ -70,14 +78,14 @@ def to_number(c) -> Column:
     """Text -> DOUBLE, anything that is not a plain decimal number -> NULL.
     (The regex guard keeps 'NaN', 'inf' and '12d' out; try_cast alone accepts them.)"""
     c = col(c)
-    return F.when(c.rlike(_NUMBER_RE), F.trim(c).try_cast("double"))
+    return F.when(c.rlike(_NUMBER_RE), strip(c).try_cast("double"))
 
 
 def extract_dosage(c) -> Column:
     """C17: '<number> mg' anywhere, else the whole stripped text if purely numeric, else NULL."""
     s = F.lower(col(c))
     mg = F.regexp_extract(s, V.DOSAGE_MG_PATTERN, 1)
-    stripped = F.trim(s)
+    stripped = strip(s)
     return (F.when(mg != "", mg.cast("double"))
             .when(stripped.rlike(V.PLAIN_NUMBER_PATTERN), stripped.cast("double")))
 
@@ -133,7 +141,7 @@ def parse_mixed_date(c, formats=None) -> Column:
 
 def binary_from_text(c) -> Column:
     """Strict label mapping."""
-    s = F.lower(F.trim(col(c)))
+    s = F.lower(strip(c))
     return F.when(s.isin(V.BINARY_ZERO), F.lit(0)).when(s.isin(V.BINARY_ONE), F.lit(1)).cast("int")
 
 
@@ -141,7 +149,7 @@ def binary_from_any(c) -> Column:
     """Numeric first (exactly 0/1 accepted, any other number rejected), then labels."""
     c = col(c)
     num = to_number(c)
-    s = F.lower(F.trim(c))
+    s = F.lower(strip(c))
     return (F.when(num.isNotNull(), F.when(num.isin(0.0, 1.0), num.cast("int")))
             .when(s.isin(V.BINARY_ZERO), F.lit(0)).when(s.isin(V.BINARY_ONE), F.lit(1))).cast("int")
 
@@ -154,7 +162,7 @@ def keep_zero_one(c) -> Column:
 
 def snake_case(c) -> Column:
     """lower/strip, whitespace -> '_', drop other characters, collapse '_'."""
-    s = F.lower(F.trim(col(c)))
+    s = F.lower(strip(c))
     s = F.regexp_replace(s, r"\s+", "_")
     s = F.regexp_replace(s, r"[^a-z0-9_]", "")
     return F.regexp_replace(s, r"_+", "_")

@@ -3,10 +3,11 @@
 * ``long_values``: wide columns -> (column, value) rows with ``stack`` (a generator,
   no shuffle), so one groupBy serves all columns.
 * ``exact_quantiles``: exact linear-interpolated quantiles (pandas / ``percentile_cont``
-  definition) without gathering a column into one task. A mergeable sketch
-  (``percentile_approx``, bounded memory, partial aggregation) brackets each target
-  rank; only rows inside the bracket (about 4*n/accuracy, kept near BRACKET_TARGET by
-  an accuracy chosen per column) are counted per distinct value and ranked exactly.
+  definition) by counting, the same plan at every size: each round counts the rows, the
+  smallest and the largest value of BINS equal bins of every interval that holds a wanted
+  rank, and goes on in that rank's bin between its own extremes, until the bin is a single
+  value. Bins are counted by partial aggregation, so no task sees a column, and the driver
+  gets at most columns x ranks x BINS rows a round.
 * ``modes``: most frequent value, ties -> smallest, as two partial aggregations
   (per-value counts, then max count per column) and a broadcast of the
   one-row-per-column maximum.
@@ -15,21 +16,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-SMALL_EXACT = 100_000       # columns with at most this many values are ranked directly
-BRACKET_TARGET = 100_000    # rows the exact step should see per target, whatever n is
-MIN_ACCURACY = 10_000       # sketch accuracy bounds (rank error <= n / accuracy)
-MAX_ACCURACY = 1_000_000
-_MARGIN = 2                 # bracket half-width in sketch error units
-
-
-def sketch_accuracy(n: int) -> int:
-    """Accuracy so that the bracket (~4 n / accuracy rows) stays near BRACKET_TARGET."""
-    return int(min(MAX_ACCURACY, max(MIN_ACCURACY, math.ceil(4 * n / BRACKET_TARGET))))
+BINS = 4096
+MAX_ROUNDS = 200            # a round divides an interval by BINS; doubles need far fewer
 
 
 def long_values(df: DataFrame, cols: list[str], cast: str | None = "double",
@@ -41,84 +34,84 @@ def long_values(df: DataFrame, cols: list[str], cast: str | None = "double",
     return out if keep_nulls else out.where(F.col("value").isNotNull())
 
 
+def _magnitude(c: str):
+    """A monotone scale over all finite doubles, even in the exponent."""
+    x = F.col(c)
+    return F.signum(x) * (F.log(F.greatest(F.abs(x), F.lit(5e-324))) + 746.0)
+
+
+def _select_ranks(lv: DataFrame, wanted: dict[str, set[int]], ranges: dict[str, tuple[float, float]]) -> dict:
+    """{(column, rank): value} of 0-based ranks among the finite values of (column, value)."""
+    spark = lv.sparkSession
+    found: dict[tuple[str, int], float] = {}
+    # (column, low, high) -> {rank: rows of the column below low}
+    open_ = {(c, *ranges[c]): dict.fromkeys(r, 0) for c, r in wanted.items() if r}
+    for _ in range(MAX_ROUNDS):
+        for key in [k for k in open_ if k[1] == k[2]]:
+            found.update({(key[0], r): key[1] for r in open_.pop(key)})
+        if not open_:
+            return found
+        keys = list(open_)
+        # one row per open interval: at most columns x ranks
+        table = spark.createDataFrame([(i, *k, not 0 < k[1] * k[2] or max(map(abs, k[1:])) > 2 * min(map(abs, k[1:])))
+                                       for i, k in enumerate(keys)],
+                                      "interval int, column string, low double, high double, wide boolean")
+        # an interval that spans magnitudes is cut by the logarithm, others evenly; halves
+        # first, as high - low may overflow
+        share = F.when(F.col("wide"), (_magnitude("value") - _magnitude("low")) /
+                       (_magnitude("high") - _magnitude("low"))) \
+            .otherwise((F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2))
+        rows = (lv.join(F.broadcast(table), "column").where(F.col("value").between(F.col("low"), F.col("high")))
+                .groupBy("interval", F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).collect())
+        bins: dict[int, list] = {}
+        for r in rows:
+            bins.setdefault(r["interval"], []).append((r["bin"], r["n"], r["low"], r["high"]))
+        after: dict = {}
+        for i, key in enumerate(keys):
+            for rank, below in open_[key].items():
+                for _, n, low, high in sorted(bins.get(i, [])):
+                    if rank < below + n:
+                        after.setdefault((key[0], low, high), {})[rank] = below
+                        break
+                    below += n
+                else:
+                    raise RuntimeError(f"rank {rank} of {key[0]} not found")
+        open_ = after
+    raise RuntimeError("quantile selection did not end")
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
     """Exact quantiles -> DataFrame(column, p, value); value NULL when a column has no values.
-
-    Two small driver round-trips carry only per-column counts and bracket bounds
-    (size = columns x probabilities); all row work stays on the executors.
-    """
-    spark = df.sparkSession
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first().asDict()
-    # Target 0-based ranks of the linear definition: h = (n-1)p, lo = floor(h), lo+1.
-    targets = []
+    NULL and NaN are missing; infinities take their place at the ends."""
+    lv = long_values(df, cols).where(~F.isnan("value"))
+    inf = float("inf")
+    finite = ~F.col("value").isin(inf, -inf)
+    stat = {r["column"]: r for r in lv.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") == -inf).alias("neg"), F.count_if(finite).alias("fin"),
+        F.min(F.when(finite, F.col("value"))).alias("low"), F.max(F.when(finite, F.col("value"))).alias("high")).collect()}
+    targets, wanted = [], {}
     for c in cols:
-        n = counts[c]
+        r = stat.get(c)
         for p in probs:
-            if n == 0:
-                targets.append((c, float(p), None, None, 0.0, n))
+            if r is None:
+                targets.append((c, p, None, None, 0.0))
                 continue
-            h = (n - 1) * p
+            h = (r["n"] - 1) * p
             lo = int(math.floor(h))
-            targets.append((c, float(p), lo, min(lo + 1, n - 1), h - lo, n))
-    # One sketch pass over all columns brackets every target rank.
-    sketch_cols, fracs = [], {}
-    for c in cols:
-        if counts[c] <= SMALL_EXACT:
-            continue          # small column: rank all its values exactly, no sketch pass needed
-        acc = sketch_accuracy(counts[c])
-        e = max(1.0, counts[c] / acc)
-        qs = []
-        for (tc, p, lo, hi, _, n) in targets:
-            if tc != c or n == 0:
-                continue
-            qs.append(max(0.0, (lo - _MARGIN * e - 1) / n))
-            qs.append(min(1.0, (hi + _MARGIN * e + 1) / n))
-        if qs:
-            fracs[c] = qs
-            sketch_cols.append(F.percentile_approx(F.col(c).cast("double"), qs, acc).alias(c))
-    bounds = df.agg(*sketch_cols).first().asDict() if sketch_cols else {}
-    rows = []
-    for c in cols:
-        if counts[c] == 0:
-            continue
-        if c not in fracs:    # bracket = every value of the column (at most SMALL_EXACT of them)
-            for (tc, p, lo, hi, frac, n) in [t for t in targets if t[0] == c]:
-                rows.append((c, p, float("-inf"), float("inf"), lo, hi, float(frac)))
-            continue
-        vals = bounds[c]
-        tlist = [t for t in targets if t[0] == c and t[5] > 0]
-        for i, (tc, p, lo, hi, frac, n) in enumerate(tlist):
-            rows.append((c, p, float(vals[2 * i]), float(vals[2 * i + 1]), lo, hi, float(frac)))
-    result_schema = "column string, p double, value double"
-    empty = [(c, float(p), None) for (c, p, lo, hi, fr, n) in targets if n == 0]
-    if not rows:
-        return spark.createDataFrame(empty, result_schema)
-    br = spark.createDataFrame(rows, "column string, p double, lo_v double, hi_v double, "
-                                     "lo_rank long, hi_rank long, frac double")
-    # Bracket table is columns x probabilities rows: a proven-small broadcast side.
-    per_col = br.groupBy("column").agg(F.min("lo_v").alias("lo_v"), F.max("hi_v").alias("hi_v"))
-    lv = long_values(df, cols).join(F.broadcast(per_col), "column")
-    below = lv.groupBy("column", "lo_v").agg(F.sum(F.when(F.col("value") < F.col("lo_v"), 1).otherwise(0))
-                                             .cast("long").alias("below"))
-    inside = (lv.where((F.col("value") >= F.col("lo_v")) & (F.col("value") <= F.col("hi_v")))
-              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    w = Window.partitionBy("column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (inside.withColumn("cum", F.sum("cnt").over(w))
-              .join(F.broadcast(below.drop("lo_v")), "column")
-              .withColumn("first_rank", F.col("below") + F.col("cum") - F.col("cnt"))
-              .withColumn("last_rank", F.col("below") + F.col("cum") - 1))
-    t = F.broadcast(br.select("column", "p", "lo_rank", "hi_rank", "frac"))
-    lo_pick = (ranked.join(t, "column")
-               .where((F.col("lo_rank") >= F.col("first_rank")) & (F.col("lo_rank") <= F.col("last_rank")))
-               .select("column", "p", "frac", F.col("value").alias("x_lo")))
-    hi_pick = (ranked.join(t, "column")
-               .where((F.col("hi_rank") >= F.col("first_rank")) & (F.col("hi_rank") <= F.col("last_rank")))
-               .select("column", "p", F.col("value").alias("x_hi")))
-    res = (lo_pick.join(hi_pick, ["column", "p"])
-           .select("column", "p", (F.col("x_lo") + F.col("frac") * (F.col("x_hi") - F.col("x_lo"))).alias("value")))
-    if empty:
-        res = res.unionByName(spark.createDataFrame(empty, result_schema))
-    return res
+            targets.append((c, p, lo, min(lo + 1, r["n"] - 1), h - lo))
+            wanted.setdefault(c, set()).update(k - r["neg"] for k in targets[-1][2:4] if 0 <= k - r["neg"] < r["fin"])
+    got = _select_ranks(lv.where(finite), wanted, {c: (r["low"], r["high"]) for c, r in stat.items()})
+
+    def value(c: str, rank: int) -> float:
+        k = rank - stat[c]["neg"]
+        return -inf if k < 0 else inf if k >= stat[c]["fin"] else got[c, k]
+
+    def between(c, lo, hi, frac):
+        x = value(c, lo)
+        return x if frac == 0.0 or value(c, hi) == x else x + frac * (value(c, hi) - x)
+    rows = [(c, float(p), None if lo is None else float(between(c, lo, hi, f))) for c, p, lo, hi, f in targets]
+    return df.sparkSession.createDataFrame(rows, "column string, p double, value double")
 
 
 def quantile_row(df: DataFrame, cols: list[str], probs: list[float], names=None) -> DataFrame:

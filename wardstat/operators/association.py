@@ -28,7 +28,7 @@ def _v_from_cells(cells: DataFrame, group: list[str]) -> DataFrame:
     ra = cells.groupBy(*group, "a").agg(F.sum("n").alias("ra"))
     cb = cells.groupBy(*group, "b").agg(F.sum("n").alias("cb"))
     j = cells.join(ra, group + ["a"]).join(cb, group + ["b"])
-    g = j.groupBy(*group).agg(F.sum(F.col("n") * F.col("n") / (F.col("ra") * F.col("cb"))).alias("s"),
+    g = j.groupBy(*group).agg(F.sum((F.col("n") / F.col("ra")) * (F.col("n") / F.col("cb"))).alias("s"),
                               F.sum("n").alias("t"), F.countDistinct("a").alias("r"),
                               F.countDistinct("b").alias("k"))
     t, r, k = F.col("t").cast("double"), F.col("r").cast("double"), F.col("k").cast("double")

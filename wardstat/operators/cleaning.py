@@ -79,8 +79,9 @@ def dedup_keep_first(df: DataFrame, key: str, order: str = ORDER_COL) -> DataFra
     the rows are then selected with a semi-join on (key, order), which hash-partitions
     on both columns, so a hot key's rows spread over all reducers.
     """
-    firsts = df.groupBy(key).agg(F.min(order).alias(order))
-    return df.join(firsts, [key, order], "left_semi")
+    firsts = df.groupBy(F.col(key).alias("__key")).agg(F.min(order).alias("__first"))
+    # the missing key is a key too: its first row stays
+    return df.join(firsts, F.col(key).eqNullSafe(F.col("__key")) & (F.col(order) == F.col("__first")), "left_semi")
 
 
 # ---------------------------------------------------------------- C02, C08
@@ -106,7 +107,7 @@ def canonical_schema(df: DataFrame, keep_order_col: bool = True) -> DataFrame:
         else:
             sel.append(F.col(f"`{src}`").alias(target))
     if missing:
-        raise ValueError(f"Missing required columns after renaming: {missing}")
+        raise ValueError(f"no column for {missing}")
     if keep_order_col and ORDER_COL in df.columns:
         sel = [F.col(ORDER_COL)] + sel
     return df.select(*sel)
@@ -171,7 +172,7 @@ def normalize_values(df: DataFrame, bounded_bmi: bool, binary=X.binary_from_text
 def _prepared(raw: DataFrame) -> DataFrame:
     key = find_column(raw, V.KEY_CANDIDATES)
     if key is None:
-        raise ValueError("No Patient_ID column found")
+        raise ValueError(f"none of {V.KEY_CANDIDATES} is a column")
     df = consolidate(raw)
     df = dedup_keep_first(df, key)
     df = drop_columns(df)

@@ -74,7 +74,7 @@ def roc_auc(scores: DataFrame, cum: DataFrame | None = None) -> DataFrame:
     cnt = F.col("n_pos") + F.col("n_neg")
     rank_sum = F.sum(F.col("n_pos") * (below + (cnt + 1) / 2.0))
     g = c.groupBy(*GROUP, "pos_total", "neg_total").agg(rank_sum.alias("__r"))
-    p, n = F.col("pos_total"), F.col("neg_total")
+    p, n = F.col("pos_total").cast("double"), F.col("neg_total").cast("double")   # p * n leaves 64 bits
     return g.select(*GROUP, F.when((p == 0) | (n == 0), F.lit(None).cast("double"))
                     .otherwise((F.col("__r") - p * (p + 1) / 2.0) / (p * n)).alias("roc_auc"))
 
@@ -89,19 +89,23 @@ def average_precision(scores: DataFrame, cum: DataFrame | None = None) -> DataFr
 
 
 def roc_curve(scores: DataFrame) -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score."""
+    """(threshold, fpr, tpr) at every distinct score, from (0, 0) at an infinite threshold."""
     c = cumulative(scores)
-    return c.select(*GROUP, F.col("prob").alias("threshold"),
+    start = scores.select(*GROUP).distinct().select(*GROUP, F.lit(float("inf")).alias("threshold"),
+                                                    F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return start.unionByName(c.select(*GROUP, F.col("prob").alias("threshold"),
                     _div(F.col("fp_at"), F.col("neg_total")).alias("fpr"),
-                    _div(F.col("tp_at"), F.col("pos_total")).alias("tpr"))
+                    _div(F.col("tp_at"), F.col("pos_total")).alias("tpr")))
 
 
 def pr_curve(scores: DataFrame) -> DataFrame:
-    """(threshold, precision, recall) at every distinct score."""
+    """(threshold, precision, recall) at every distinct score, to precision 1 at recall 0."""
     c = cumulative(scores)
-    return c.select(*GROUP, F.col("prob").alias("threshold"),
+    end = scores.select(*GROUP).distinct().select(*GROUP, F.lit(float("inf")).alias("threshold"),
+                                                  F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    return end.unionByName(c.select(*GROUP, F.col("prob").alias("threshold"),
                     _div(F.col("tp_at"), F.col("tp_at") + F.col("fp_at")).alias("precision"),
-                    _div(F.col("tp_at"), F.col("pos_total")).alias("recall"))
+                    _div(F.col("tp_at"), F.col("pos_total")).alias("recall")))
 
 
 def classification_report(scores: DataFrame, cutoff: float = 0.5) -> DataFrame:

@@ -75,7 +75,7 @@ def oversample_balanced(train: DataFrame, seed: int = 42) -> DataFrame:
     ratio = counts[major] / counts[minor]
     whole = int(ratio)
     frac = ratio - whole
-    u = (F.abs(F.hash(F.lit(seed), *[F.col(c) for c in train.columns])) % 1000000) / 1000000.0
+    u = F.pmod(F.hash(F.lit(seed), *[F.col(c) for c in train.columns]), F.lit(1000000)) / 1000000.0
     reps = F.when(F.col(LABEL) == minor, F.lit(whole) + F.when(u < frac, 1).otherwise(0)).otherwise(1)
     return train.withColumn("__r", F.explode(F.sequence(F.lit(1), reps))).drop("__r")
 

@@ -108,12 +108,11 @@ def inf_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
                       F.col("neg_inf").cast("long").alias("neg_inf"))
 
 
-def seeded_sample(df: DataFrame, key_cols: list[str], n: int, seed: int = 42, cap: int = 100_000) -> DataFrame:
-    """Exactly min(n, cap) rows, seeded, without replacement: order by md5(seed || key).
+def seeded_sample(df: DataFrame, key_cols: list[str], n: int = 100_000, seed: int = 42) -> DataFrame:
+    """Exactly n rows (all, if there are fewer), seeded, without replacement: order by md5(seed || key).
     A top-k (TakeOrderedAndProject): each task keeps k rows, the driver merges k per task."""
-    k = min(int(n), cap)
     key = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
-    return df.withColumn("__h", F.md5(key)).orderBy("__h").limit(k).drop("__h")
+    return df.withColumn("__h", F.md5(key)).orderBy("__h").limit(int(n)).drop("__h")
 
 
 def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = 50) -> DataFrame:
@@ -125,8 +124,11 @@ def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = 50) -> D
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1))).cast("int")
     # mm has one row per column: bounded broadcast.
-    return (lv.join(F.broadcast(mm), "column").groupBy("column", "lo", "hi", b.alias("bin"))
-            .agg(F.count(F.lit(1)).cast("long").alias("count"))
+    counts = (lv.join(F.broadcast(mm), "column").groupBy("column", b.alias("bin"))
+              .agg(F.count(F.lit(1)).cast("long").alias("count")))
+    every = mm.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))    # columns x bins rows
+    return (every.join(F.broadcast(counts), ["column", "bin"], "left")
+            .withColumn("count", F.coalesce("count", F.lit(0)).cast("long"))
             .select("column", "bin", (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / bins)
                     .alias("bin_start"), "count"))
 

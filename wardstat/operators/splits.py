@@ -21,9 +21,6 @@ from ..functions import vocab as V
 from .cleaning import attach_row
 
 
-MAX_HASH_DIGITS = 5
-
-
 def labelled_filter(df: DataFrame, target: str = V.TARGET) -> tuple[DataFrame, DataFrame]:
     """Rows with a known target, plus a (kept, removed) report row."""
     kept = df.where(F.col(target).isNotNull())
@@ -66,28 +63,26 @@ def stratified_select(df: DataFrame, key: str, label: str, fraction: float, seed
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # one row per class
     quotas = class_quotas(spark, counts, fraction)
     n = max(sum(counts.values()), 1)
-    # 16^L ~ sqrt(N) buckets, capped at 16^5 so the broadcast status table stays
-    # <= classes x 1,048,576 rows at any N (boundary buckets then hold N / 16^5 rows).
-    digits = int(min(MAX_HASH_DIGITS, max(1, round(math.log(math.sqrt(n), 16)))))
+    digits = int(max(1, round(math.log(math.sqrt(n), 16))))      # 16^L ~ sqrt(N) buckets
     h = split_hash(key, seed, stage)
     tagged = df.withColumn("__h", h).withColumn("__b", F.substring("__h", 1, digits))
     qdf = spark.createDataFrame([(k, int(v)) for k, v in quotas.items()],
-                                f"{label} {df.schema[label].dataType.simpleString()}, __quota long")
+                                f"__label {df.schema[label].dataType.simpleString()}, __quota long")
     buckets = tagged.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    status = (buckets.withColumn("__cum", F.sum("__n").over(w))
-              .join(F.broadcast(qdf), label)
-              .withColumn("__before", F.col("__cum") - F.col("__n"))
-              .select(label, "__b",
-                      F.when(F.col("__cum") <= F.col("__quota"), F.lit("full"))
-                      .when(F.col("__before") < F.col("__quota"), F.lit("boundary"))
-                      .otherwise(F.lit("none")).alias("__status"),
-                      (F.col("__quota") - F.col("__before")).alias("__take")))
-    # status has at most classes x 16^L <= classes x 16^5 rows: bounded broadcast.
-    j = tagged.join(F.broadcast(status), [label, "__b"])
-    plain = j.where(F.col("__status") != "boundary").withColumn("selected", F.col("__status") == "full")
-    wb = Window.partitionBy(label, "__b").orderBy("__h")
-    edge = (j.where(F.col("__status") == "boundary")
+    # the bucket in which a class reaches its quota, and the rows to take there: buckets are in
+    # hash order, so one row per class says everything, and the broadcast stays that small
+    edges = (buckets.withColumn("__cum", F.sum("__n").over(w))
+             .join(F.broadcast(qdf), F.col(label).eqNullSafe(F.col("__label")))
+             .where(F.col("__cum") >= F.col("__quota"))
+             .groupBy("__label", "__quota").agg(F.min_by(F.struct("__b", (F.col("__cum") - F.col("__n")).alias("__before")),
+                                                         "__b").alias("__edge"))
+             .select("__label", F.col("__edge.__b").alias("__bb"),
+                     (F.col("__quota") - F.col("__edge.__before")).alias("__take")))
+    j = tagged.join(F.broadcast(edges), F.col(label).eqNullSafe(F.col("__label")))
+    plain = j.where(F.col("__b") != F.col("__bb")).withColumn("selected", F.col("__b") < F.col("__bb"))
+    wb = Window.partitionBy(label).orderBy("__h")
+    edge = (j.where(F.col("__b") == F.col("__bb"))
             .withColumn("selected", F.row_number().over(wb) <= F.col("__take")))
     cols = df.columns + ["selected"]
     return plain.select(*cols).unionByName(edge.select(*cols))
@@ -126,9 +121,9 @@ def split_assignments(train: DataFrame, validation: DataFrame, test: DataFrame,
             .unionByName(test.select(key, F.lit("test").alias("split"))))
 
 
-def assert_unique(df: DataFrame, key: str, what: str) -> None:
+def assert_unique(df: DataFrame, key, what: str) -> None:
     """One-to-one precondition (Catalyst has no join-cardinality validation)."""
-    dup = df.groupBy(key).count().where("count > 1").limit(1).count()
+    dup = df.groupBy(*([key] if isinstance(key, str) else key)).count().where("count > 1").limit(1).count()
     if dup:
         raise ValueError(f"{what}: duplicate keys in {key}")
 
@@ -153,8 +148,12 @@ def join_left_check(reference: DataFrame, new: DataFrame, key: str, col: str) ->
 
 def join_scores(truth: DataFrame, scores: dict[str, DataFrame], keys: list[str]) -> DataFrame:
     """Truth JOIN each score table on (key, target), renaming score columns; full coverage required."""
+    assert_unique(truth, keys, "truth")
     out = truth
     for name, s in scores.items():
+        assert_unique(s, keys, name)
+        if truth.join(s, keys, "left_anti").limit(1).count() or s.join(truth, keys, "left_anti").limit(1).count():
+            raise ValueError(f"{name}: scores and truth do not cover the same keys")
         out = out.join(s.withColumnRenamed("prob", f"{name}_probability"), keys)
     return out
 

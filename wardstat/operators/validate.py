@@ -34,7 +34,7 @@ def key_integrity(df: DataFrame, key: str) -> DataFrame:
 
 def integer_key(df: DataFrame, key: str) -> DataFrame:
     """Key numeric and integer-valued (non-null values with a fractional part)."""
-    k = F.col(key).cast("double")
+    k = F.col(key).cast("string").try_cast("double")
     row = df.agg(F.sum(F.when(k.isNotNull() & ((k % 1) != 0), 1).otherwise(0)).alias("non_integer"),
                  F.sum(F.when(F.col(key).isNotNull() & k.isNull(), 1).otherwise(0)).alias("non_numeric"))
     return _checks(row, [("non_integer_keys", "non_integer", 0), ("non_numeric_keys", "non_numeric", 0)])
@@ -118,7 +118,7 @@ def text_length_check(df: DataFrame, limits: dict[str, int]) -> DataFrame:
 
 def date_only_check(df: DataFrame, col: str) -> DataFrame:
     """Values with a time-of-day part (would be lost in a DATE column)."""
-    ts = F.col(col).cast("timestamp")
+    ts = F.col(col).try_cast("timestamp")
     return df.agg(F.count(F.col(col)).cast("long").alias("non_null"),
                   F.sum(F.when(F.col(col).isNotNull() & ts.isNull(), 1).otherwise(0)).cast("long")
                   .alias("conversion_failures"),
