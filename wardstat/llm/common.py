@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..session import write_table
 
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 A_Z, a_z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -41,11 +43,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]],
               schema: str) -> DataFrame:
     """Map record batches; ``make`` runs once per task and returns the batch function, so
-    tables that the function needs are built once per task."""
+    tables that the function needs are built once per task. Texts may be long, so batches are
+    limited to BATCH_ROWS rows, and a worker gives back what a batch took."""
+    rows = df.sparkSession.conf.get(_BATCH_CONF)
+    if int(rows) > BATCH_ROWS or int(rows) <= 0:
+        df.sparkSession.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for b in batches:
             yield from fn(b)
+            pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 

@@ -35,7 +35,7 @@ CAPACITY = 2048
 MAX_SEGMENTS = 128
 GROUP = 4096
 EOS = 1
-CACHE = 400_000                    # words a tokenizing process remembers (about 80 MB)
+CACHE = 250_000                    # words a tokenizing process remembers (about 50 MB)
 LONG_WORD = 2000                   # longer runs without a blank go to the library with a linear-time merge
 FULL = 1 << 61                     # sequence ids of full pieces start here
 
@@ -60,9 +60,7 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.path, self.whole = path, None
         ranks_file = os.path.splitext(path)[0] + ".tiktoken"      # the same vocabulary as ranks
         with open(ranks_file, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -79,6 +77,10 @@ class Encoder:
 
     def _encode(self, text: str) -> bytes:
         if len(text) > LONG_WORD and len(text) > LONG_WORD * (text.count(" ") + 1):
+            if self.whole is None:                                # rarely needed, so loaded when it is
+                from tokenizers import Tokenizer
+                self.whole = Tokenizer.from_file(self.path)
+                self.whole.encode_special_tokens = True
             ids = self.whole.encode(text, add_special_tokens=False).ids
         else:
             ids = self.fast.encode_ordinary(text)
