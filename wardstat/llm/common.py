@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..session import write_table
 
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20              # a batch of very long texts ends early
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 A_Z, a_z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -44,10 +46,12 @@ def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Itera
               schema: str) -> DataFrame:
     """Map record batches; ``make`` runs once per task and returns the batch function, so
     tables that the function needs are built once per task. Texts may be long, so batches are
-    limited to BATCH_ROWS rows, and a worker gives back what a batch took."""
-    rows = df.sparkSession.conf.get(_BATCH_CONF)
+    limited to BATCH_ROWS rows and about BATCH_BYTES, and a worker gives back what a batch took."""
+    conf = df.sparkSession.conf
+    rows = conf.get(_BATCH_CONF)
     if int(rows) > BATCH_ROWS or int(rows) <= 0:
-        df.sparkSession.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+        conf.set(_BATCH_CONF, str(BATCH_ROWS))
+    conf.set(_BYTES_CONF, str(BATCH_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
