@@ -10,8 +10,10 @@ Search: the linear-time scan for all maximal scoring segments gives every passag
 tokens argue for toxicity. Scores are calibrated by extreme-value statistics: under clean
 text the best segment of n tokens exceeds s with probability 1 - exp(-K n exp(-lambda s)),
 lambda solving E[exp(lambda score)] = 1 over the clean token shares and K fitted to the best
-segments of the clean training documents. Expected counts E = K n exp(-lambda s) of a
-document's segments are aggregated to log-odds: base + sum ln(1 + 1/E).
+segments of the clean training documents. The expected count of a segment is
+E = K n exp(-lambda s); a word that recurs counts once, as in the fit. A document's segments
+are aggregated by the Poisson chance of the r best (``evidence``), and its score is the
+log-odds base + ln(1 + 1/P).
 
 The fit uses at most about MAX_LABELLED labelled rows (an unbiased slice by id hash beyond
 that); corpus shares are counted over all documents. A feature is a candidate only if it
@@ -58,12 +60,17 @@ class Model:
     k: float = 1.0
     base: float = 0.05
 
-    def hits(self, words: list[str]) -> list[tuple[int, float]]:
-        s, out = self.scores, []
+    def hits(self, words: list[str], once: bool = False) -> list[tuple[int, float]]:
+        """(position, score) of the words that score above zero; ``once``: a word that recurs
+        counts where it comes first, as the fit counts it."""
+        s, out, seen = self.scores, [], set()
         for i, w in enumerate(words):
+            if once and w in seen:
+                continue
             p = "^" + w[:PREFIX] if len(w) > PREFIX else w
             if w in s or p in s:
                 out.append((i, max(s.get(w, 0.0), s.get(p, 0.0))))
+                seen.add(w)
         return out
 
 
@@ -213,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
             weight, n_c, none_t, none = 0.0, 0, 0, 0
             for t, toxic in zip(part["text"].to_pylist(), is_t[is_t | is_c]):
                 words = words_of(t)
-                segs = maximal_segments(model.hits(words))
+                segs = maximal_segments(model.hits(words, once=True))
                 if not segs:
                     none += 1
                     none_t += int(toxic)
@@ -233,12 +240,34 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     return model
 
 
+def evidence(x: list[float]) -> float:
+    """ln(1 + 1/P) of a document's segments, given their normalized scores (-ln E).
+
+    In clean text the number of segments that score as the r-th best one does is Poisson with
+    mean E of that one. P is the chance of r or more, for the r at which it is least, times the
+    number of r tried; so the weak segments that a long text has by chance do not add up."""
+    if not x:
+        return 0.0
+    best, tried = max(x), 0
+    for r, v in enumerate(sorted(x, reverse=True), 1):
+        if v < -math.log(r):                                  # E over r: more are expected than seen
+            continue
+        mean, term, tail = math.exp(-v), 1.0, 1.0
+        for j in range(1, 1000):
+            term *= mean / (r + j)
+            tail += term
+            if term < 1e-12:
+                break
+        best = max(best, r * v + mean + math.lgamma(r + 1) - math.log(tail))
+        tried += 1
+    best -= math.log(max(1, tried))
+    return best if best > 30 else math.log1p(math.exp(best))
+
+
 def score_words(words: list[str], model: Model) -> float:
-    n, evidence = len(words), 0.0
-    for _, _, s in maximal_segments(model.hits(words)):
-        x = model.lam * s - math.log(max(model.k * n, 1e-300))      # -ln E
-        evidence += x if x > 30 else math.log1p(math.exp(x))
-    return 1.0 / (1.0 + math.exp(-min(700.0, logit(model.base) + evidence)))
+    log_kn = math.log(max(model.k * len(words), 1e-300))
+    x = [model.lam * s - log_kn for _, _, s in maximal_segments(model.hits(words, once=True))]
+    return 1.0 / (1.0 + math.exp(-min(700.0, logit(model.base) + evidence(x))))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
