@@ -2,8 +2,8 @@
 from __future__ import annotations
 
 from wardstat.functions import vocab as V
-from wardstat.plans import sql_suite as S
 
+from . import analytics as S
 from .clinical import (bin_any, bin_text, duration, dosage, dmap, fin, norm, parse_date, ph, rng, with_ctes, _q)
 
 ORACLE_SQL: dict[str, str] = {}
@@ -101,7 +101,7 @@ add("iqr_cap", with_ctes(["imputed"], " UNION ALL ".join(_iqr_one(c) for c in V.
 add("clean_full", with_ctes(["clean_full"], "SELECT * EXCLUDE (row_ord) FROM clean_full"))
 add("clean_deterministic", with_ctes(["clean_det"], "SELECT * EXCLUDE (row_ord) FROM clean_det"))
 
-# SQL catalog over the stored patients table (= C32 output).
+# Analytics catalog over the stored patients table (= C32 output).
 _PAT = [("patients", "SELECT * EXCLUDE (row_ord) FROM clean_det")]
 for key, sql in (("outcome_distribution", S.Q01), ("effectiveness_by_age", S.Q02), ("top_drugs", S.Q03),
                  ("adverse_by_drug_age", S.Q04), ("high_risk_patients", S.Q05), ("rates_by_dosage", S.Q06)):

@@ -2,9 +2,9 @@
 from __future__ import annotations
 
 from wardstat.functions import vocab as V
-from wardstat.plans import sql_suite as S
 from wardstat.streaming.requests import REQUEST_BODY_SQL
 
+from . import analytics as S
 from .catalog import add
 from .clinical import with_ctes
 
@@ -96,14 +96,13 @@ add("stream_validate_requests", f"WITH req AS ({_REQ}) SELECT request_id, status
 
 _LOG = [("req", _REQ), ("st", _STATUS), ("log", f"""
 SELECT CAST(row_number() OVER (ORDER BY received_at, s.patient_id, request_id) AS BIGINT) AS prediction_id,
-       s.patient_id, '{V.MODEL_NAME}' AS model_name, '{V.MODEL_VERSION}' AS model_version,
+       s.patient_id, 'request_score_hint' AS model_name, '1' AS model_version,
        score_hint / 50.0 AS probability_effective, CAST(0.5 AS DOUBLE) AS cutoff,
        CAST(score_hint / 50.0 >= 0.5 AS INTEGER) AS predicted_class,
        CASE WHEN score_hint / 50.0 >= 0.5 THEN 'Effective' ELSE 'Ineffective' END AS predicted_outcome,
        received_at AS predicted_at
 FROM st s JOIN clean_det p ON p.patient_id = s.patient_id
-WHERE s.status = 'ok' AND score_hint / 50.0 BETWEEN 0 AND 1 AND NOT isnan(score_hint / 50.0)"""),
-        ("prediction_results", "SELECT * FROM log"), ("patients", "SELECT * EXCLUDE (row_ord) FROM clean_det")]
+WHERE s.status = 'ok' AND score_hint / 50.0 BETWEEN 0 AND 1 AND NOT isnan(score_hint / 50.0)""")]
 
 
 def logq(body):
@@ -111,9 +110,9 @@ def logq(body):
 
 
 add("prediction_log", logq("SELECT * FROM log"))
-add("latest_predictions", logq(S.J15_LATEST))
-add("prediction_context", logq(S.J13_CONTEXT))
-add("prediction_history", logq(S.j14_history(100)))
+add("latest_predictions", logq(S.LATEST))
+add("prediction_context", logq(S.CONTEXT))
+add("prediction_history", logq(S.history(100)))
 add("point_lookup", with_ctes(["clean_det"], "SELECT patient_id, " + ", ".join(V.PREDICTORS) +
                               " FROM clean_det WHERE patient_id = 100"))
 add("labelled_filter", with_ctes(["clean_full"], """

@@ -134,7 +134,5 @@ TEXT_LIMITS = {"gender": 16, "ethnicity": 64, "drug_name": 64, "route": 32, "dia
                "smoking_status": 32, "alcohol_use": 32}
 
 # --- fixed values: prediction service ---
-MODEL_NAME = "scenario3_neural_network"
-MODEL_VERSION = "step13_saved_artifact_v1"
 CUTOFF = 0.50
 OUTCOME_LABELS = {1: "Effective", 0: "Ineffective"}

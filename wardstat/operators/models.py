@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,10 +48,12 @@ def balanced_gbt(max_iter=100, max_depth=3) -> GBTClassifier:
                          maxDepth=max_depth, stepSize=0.1, subsamplingRate=0.8, seed=42)
 
 
-def mlp(n_features: int, max_iter=100) -> MultilayerPerceptronClassifier:
-    """Dense 128-64-32 hidden layers, L-BFGS (no dropout / batch norm / weights)."""
-    return MultilayerPerceptronClassifier(labelCol=LABEL, featuresCol="features",
-                                          layers=[n_features, 128, 64, 32, 2], maxIter=max_iter, seed=42)
+def mlp(n_features: int, max_iter=100) -> list:
+    """Inputs standardised by the train split, then dense 128-64-32 hidden layers, L-BFGS
+    (no dropout / batch norm / weights)."""
+    return [StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+            MultilayerPerceptronClassifier(labelCol=LABEL, featuresCol="scaled",
+                                           layers=[n_features, 128, 64, 32, 2], maxIter=max_iter, seed=42)]
 
 
 def add_weights(train: DataFrame, scheme: str) -> DataFrame:
@@ -81,11 +84,11 @@ def oversample_balanced(train: DataFrame, seed: int = 42) -> DataFrame:
 
 
 def fit_pipeline(train_feats: DataFrame, estimator, weight_scheme: str = "none") -> PipelineModel:
-    """Encoder (fit on train) + estimator, trained on the train split only."""
+    """Encoder (fit on train) + estimator (or a list of stages), trained on the train split only."""
     enc = one_hot_pipeline()
     data = add_weights(with_label(train_feats), weight_scheme) if weight_scheme != "oversample" \
         else oversample_balanced(with_label(train_feats))
-    return Pipeline(stages=enc.getStages() + [estimator]).fit(data)
+    return Pipeline(stages=enc.getStages() + (estimator if isinstance(estimator, list) else [estimator])).fit(data)
 
 
 def positive_probability(model: PipelineModel, df: DataFrame, key: str = "patient_id",

@@ -148,23 +148,15 @@ def feature_names(df_with_features: DataFrame, col: str = "features") -> list[st
 def one_hot_long(encoded: DataFrame, key: str, cat_cols=V.FEATURE_CATEGORICAL, drop_first: bool = False) -> DataFrame:
     """Long form of the one-hot block: (key, feature, category) for every 1 entry.
     ``drop_first`` (T08) removes the alphabetically first train category."""
-    parts = []
+    entries = []
     for c in cat_cols:
-        labels = None
-        for f in encoded.schema.fields:
-            if f.name == f"{c}__idx":
-                labels = f.metadata.get("ml_attr", {}).get("vals")
-        labels = [v for v in labels if v != "__unknown"]
-        arr = F.array(*[F.lit(v) for v in labels])
+        meta = next(f.metadata for f in encoded.schema.fields if f.name == f"{c}__idx")
+        labels = [v for v in meta["ml_attr"]["vals"] if v != "__unknown"]
         i = F.col(f"{c}__idx").cast("int")
-        ok = i < len(labels)
-        if drop_first:
-            ok = ok & (i > 0)
-        parts.append(encoded.where(ok).select(key, F.lit(c).alias("feature"), arr[i].alias("category")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        known = (i >= (1 if drop_first else 0)) & (i < len(labels))
+        entries.append(F.when(known, F.struct(F.lit(c).alias("feature"),
+                                              F.array(*[F.lit(v) for v in labels])[i].alias("category"))))
+    return encoded.select(key, F.inline(F.array_compact(F.array(*entries))))
 
 
 def standard_scale(train: DataFrame, df: DataFrame, cols: list[str], key: str) -> DataFrame:

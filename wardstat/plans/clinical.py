@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..functions import vocab as V
+from ..operators import analytics as AN
 from ..operators import cleaning as C
 from ..operators import features as FE
-from ..session import write_table
+from ..session import shared_path, write_table
 from ..sources import tables as T
 from ..sources.fixture import ORDER_COL
-from . import sql_suite as S
 from .registry import register
 
 
@@ -33,7 +33,7 @@ _CLUSTER = {"patients": "patient_id"}   # the stored table served by point looku
 def _memo(spark: SparkSession, sf: str, name: str, build):
     """Derived tables are written once per session as parquet tables in the checkpoint
     folder and reused by later queries (scans of them prune columns and push filters)."""
-    k = (id(spark), sf, name)
+    k = (spark.sparkContext.applicationId, sf, name)
     if k not in _MEMO:
         _MEMO[k] = write_table(build(), name, _CLUSTER.get(name))
     return _MEMO[k]
@@ -215,24 +215,22 @@ def clean_deterministic(spark, sf):
     return patients(spark, sf)
 
 
-# ------------------------------------------------------------------ SQL catalog Q01-Q06
-def _catalog(sql: str):
-    def q(spark, sf):
-        return S.run(spark, sql, {"patients": patients(spark, sf)})
-    return q
+# ------------------------------------------------------------------ analytics catalog Q01-Q06
+def _catalog(report):
+    return lambda spark, sf: report(patients(spark, sf))
 
 
-register("outcome_distribution")(_catalog(S.Q01))
-register("effectiveness_by_age")(_catalog(S.Q02))
-register("top_drugs")(_catalog(S.Q03))
-register("adverse_by_drug_age")(_catalog(S.Q04))
-register("high_risk_patients")(_catalog(S.Q05))
-register("rates_by_dosage")(_catalog(S.Q06))
+register("outcome_distribution")(_catalog(AN.outcome_distribution))
+register("effectiveness_by_age")(_catalog(AN.effectiveness_by_age))
+register("top_drugs")(_catalog(AN.top_drugs))
+register("adverse_by_drug_age")(_catalog(AN.adverse_by_drug_age))
+register("high_risk_patients")(_catalog(AN.high_risk_patients))
+register("rates_by_dosage")(_catalog(AN.rates_by_dosage))
 
 
 @register("query_suite")
 def query_suite(spark, sf):
-    return S.query_suite(spark, patients(spark, sf))
+    return AN.query_suite(spark, patients(spark, sf), shared_path(spark, "query-suite"))
 
 
 # ------------------------------------------------------------------ features F01-F09

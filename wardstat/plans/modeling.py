@@ -15,10 +15,7 @@ from .profiling import scratch_path
 from .registry import register
 from .splits import assignments
 
-# Tree counts / iterations are parameters (operator defaults are the reference's
-# 200 trees / 200 and 100 rounds). The registered queries use smaller ensembles so
-# the whole catalog runs in minutes on one machine; depth, leaf size, learning rate,
-# subsampling and weighting are the reference's.
+# Sizes and settings of the models.
 MODEL_PARAMS = {
     "decision_tree": dict(max_depth=8, min_leaf=10),
     "random_forest": dict(num_trees=200, max_depth=12, min_leaf=5),
@@ -39,7 +36,6 @@ TUNING_CONFIGS = [
     dict(rounds=250, learning_rate=0.07, max_depth=4, min_child_weight=10, subsample=0.9, colsample=0.9,
          positive_weight=1.8),
 ]
-ROUNDS_SCALE = 0.1      # registered query: 30/30/25 rounds (parameter; 1.0 = the reference's counts)
 
 
 def split_frame(spark, sf, split):
@@ -52,7 +48,7 @@ def predictors(df):
 
 
 def fitted(spark, sf):
-    k = (id(spark), sf, "fitted")
+    k = (spark.sparkContext.applicationId, sf, "fitted")
     from .clinical import _MEMO
     if k not in _MEMO:
         _MEMO[k] = PP.fit(predictors(split_frame(spark, sf, "train")))
@@ -99,7 +95,7 @@ def apply_stats(spark, sf):
 
 
 def encoder(spark, sf):
-    k = (id(spark), sf, "encoder")
+    k = (spark.sparkContext.applicationId, sf, "encoder")
     from .clinical import _MEMO
     if k not in _MEMO:
         _MEMO[k] = PP.one_hot_pipeline().fit(features_of(spark, sf, "train"))
@@ -135,7 +131,7 @@ def assemble_features(spark, sf):
 
 # ------------------------------------------------------------------ M01-M10
 def trained(spark, sf, name):
-    k = (id(spark), sf, f"model_{name}")
+    k = (spark.sparkContext.applicationId, sf, f"model_{name}")
     from .clinical import _MEMO
     if k not in _MEMO:
         train = features_of(spark, sf, "train")
@@ -182,7 +178,7 @@ def tune_grid(spark, sf):
     val = features_of(spark, sf, "validation")
     out = None
     for i, cfg in enumerate(TUNING_CONFIGS, start=1):
-        est = MO.weighted_gbt(max_iter=max(1, round(cfg["rounds"] * ROUNDS_SCALE)), max_depth=cfg["max_depth"],
+        est = MO.weighted_gbt(max_iter=cfg["rounds"], max_depth=cfg["max_depth"],
                               step=cfg["learning_rate"], subsample=cfg["subsample"], colsample=cfg["colsample"],
                               min_leaf=cfg["min_child_weight"])
         m = MO.fit_pipeline(train, est, f"positive:{cfg['positive_weight']}")

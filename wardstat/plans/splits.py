@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
+from ..operators import analytics as AN
 from ..operators import splits as SP
 from ..sources import tables as T
 from ..streaming import requests as RQ
-from . import sql_suite as S
 from .clinical import cleaned, engineered, patients, _memo
 from .profiling import pseudo_scores
 from .registry import register
 
 LOOKUP_ID = 100
 HISTORY_ID = 100
+HINT_MODEL = "request_score_hint"    # the score that a request carries
 
 
 def labelled(spark, sf):
@@ -115,7 +116,7 @@ def prediction_log(spark, sf):
     def build():
         v = RQ.validate_requests(requests(spark, sf)).where("status = 'ok'")
         scored = RQ.score_requests(v, patients(spark, sf).select("patient_id"), F.col("score_hint") / 50.0)
-        return RQ.assign_prediction_ids(RQ.prediction_rows(scored), previous_max=0)
+        return RQ.assign_prediction_ids(RQ.prediction_rows(scored, HINT_MODEL), previous_max=0)
     return _memo(spark, sf, "prediction_log", build)
 
 
@@ -124,15 +125,19 @@ def prediction_log_q(spark, sf):
     return prediction_log(spark, sf)
 
 
-def _log_sql(sql):
-    def q(spark, sf):
-        return S.run(spark, sql, {"prediction_results": prediction_log(spark, sf), "patients": patients(spark, sf)})
-    return q
+@register("latest_predictions")
+def latest_predictions(spark, sf):
+    return AN.latest_predictions(prediction_log(spark, sf))
 
 
-register("latest_predictions")(_log_sql(S.J15_LATEST))
-register("prediction_context")(_log_sql(S.J13_CONTEXT))
-register("prediction_history")(_log_sql(S.j14_history(HISTORY_ID)))
+@register("prediction_context")
+def prediction_context(spark, sf):
+    return AN.prediction_context(prediction_log(spark, sf), patients(spark, sf))
+
+
+@register("prediction_history")
+def prediction_history(spark, sf):
+    return AN.prediction_history(prediction_log(spark, sf), patients(spark, sf), HISTORY_ID)
 
 
 @register("point_lookup")

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +59,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -69,9 +75,7 @@ def write_table(df: DataFrame, name: str, cluster_by: str | None = None) -> Data
     back. Unlike an RDD checkpoint, later queries get column pruning, predicate pushdown
     and row-group skipping. ``cluster_by`` range-partitions and sorts the files on that key
     so an equality / range filter on it skips whole files and row groups."""
-    import uuid
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, f"tables/{name}")
     out = df
     if cluster_by:
         out = out.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)

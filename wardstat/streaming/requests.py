@@ -64,12 +64,14 @@ def score_requests(valid: DataFrame, patients: DataFrame, score: Column) -> Data
         .otherwise(F.lit("scored")))
 
 
-def prediction_rows(scored: DataFrame, time_col: str = "received_at") -> DataFrame:
+def prediction_rows(scored: DataFrame, model_name: str, model_version: str = "1",
+                    time_col: str = "received_at") -> DataFrame:
     """S08 projection (without ids): model name/version, probability, cutoff, class, outcome text."""
     ok = scored.where(F.col("outcome_status") == "scored")
     cls = (F.col("probability_effective") >= V.CUTOFF).cast("int")
     return ok.select(
-        "request_id", "patient_id", F.lit(V.MODEL_NAME).alias("model_name"), F.lit(V.MODEL_VERSION).alias("model_version"),
+        "request_id", "patient_id", F.lit(model_name).alias("model_name"),
+        F.lit(model_version).alias("model_version"),
         F.col("probability_effective").cast("double").alias("probability_effective"),
         F.lit(V.CUTOFF).alias("cutoff"), cls.alias("predicted_class"),
         F.when(cls == 1, V.OUTCOME_LABELS[1]).otherwise(V.OUTCOME_LABELS[0]).alias("predicted_outcome"),
