@@ -80,6 +80,18 @@ def test_lambda_solves_its_equation():
     assert abs(0.01 * math.exp(3 * lam) + 0.001 * math.exp(5 * lam) + 0.989 * math.exp(-0.5 * lam) - 1) < 1e-6
 
 
+@pytest.mark.parametrize("x", [[], [2.0], [-3.0], [5.0, 1.0, 0.2], [0.5] * 12, [40.0, 3.0], [-1.0] * 30])
+def test_toxicity_evidence_is_the_poisson_chance(x):
+    chances = []
+    for r, v in enumerate(sorted(x, reverse=True), 1):
+        mean = math.exp(-v)
+        if mean <= r:
+            chances.append(sum(math.exp(-mean) * mean ** k / math.factorial(k) for k in range(r, r + 60)))
+    p = min([*(c * len(chances) for c in chances), *([math.exp(-max(x)) * max(1, len(chances))] if x else [])],
+            default=None)
+    assert toxicity.evidence(x) == pytest.approx(math.log1p(1 / p) if x else 0.0, rel=1e-9)
+
+
 def test_toxicity_held_out(spark):
     d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     lab = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
