@@ -272,6 +272,21 @@ def test_spotsigs_many_buckets(docs, monkeypatch):
     assert single["near_next"] == 1.0
 
 
+def test_spotsigs_keeps_the_signatures_of_sparse_texts(spark):
+    plain = [f"w{i}" for i in range(60)]
+    spotted = plain[:5] + ["the"] + plain[5:]                 # one signature in 61 words
+    texts = [" ".join(spotted), " ".join(spotted[:40] + ["other"] * 5 + spotted[45:]), " ".join(plain)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in spotsigs.fingerprints(d).collect()}
+    assert [len(got[i]["signatures"]) for i in range(3)] == [1, 1, 59]
+    assert got[0]["signatures"] == got[1]["signatures"]
+    rows = {r["doc_id"]: r for r in spotsigs.compare_with_edits(d).collect()}
+    assert rows[0]["near_next"] == 1.0 and rows[0]["near_edited"] == 1.0
+    for lang in ("и дом стоит", "και μεγάλο σπίτι", "yang besar rumah", "return value count"):
+        one = spark.createDataFrame([(1, "kk " * 20 + lang)], "doc_id long, text string")
+        assert len(spotsigs.fingerprints(one).first()["signatures"]) == 1
+
+
 # ---- 5 packing
 
 def test_packing_round_trip(docs, edge, empty):

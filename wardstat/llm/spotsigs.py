@@ -7,8 +7,9 @@ two fingerprints are compared by the Jaccard coefficient of the sets. Sets whose
 differ by more than the wanted similarity allows are never intersected (the length
 partitions of the method).
 
-In texts where fewer than one word in SPARSE is an anchor (word lists, code, tables) every
-word is an anchor, with a chain of one word.
+A text keeps its signatures however few they are. Only a text without any (no anchor followed
+by a whole chain: many word lists and tables, scripts without blanks) has its adjacent word
+pairs instead; against a text with signatures its likeness is 0.0.
 
 Defined results: null and empty texts have no signature; two empty sets are alike (1.0), an
 empty and a full one are not (0.0); a text of one word is its own signature; equal texts
@@ -24,25 +25,52 @@ from pyspark.sql import functions as F
 
 from .common import id_text
 
-# Common words of English, German, French and Spanish used as anchors.
-ANCHORS = ("the of and to in is that for it as with by on be a an are this or "
-           "der die das und ist zu den mit von für ein eine im "
-           "le la les de des du et en un une est que dans par pour "
-           "el los las y por con").split()
+# Common words used as anchors, by language; code has its keywords.
+ANCHORS = list(dict.fromkeys((
+    "the of and to in is that for it as with by on be a an are this or "              # English
+    "der die das und ist zu den mit von für ein eine im "                             # German
+    "le la les de des du et en un une est que dans par pour "                         # French
+    "el los las y por con "                                                           # Spanish
+    "il di che per è della non sono "                                                 # Italian
+    "o os do da em um uma não para "                                                  # Portuguese
+    "het een van op niet voor zijn "                                                  # Dutch
+    "och att det som av på är og til "                                                # Swedish, Danish, Norwegian
+    "ja ei että oli "                                                                 # Finnish
+    "w z na się nie że jest "                                                         # Polish
+    "se je že pro s v i u za "                                                        # Czech, Slovak, South Slavic
+    "și este cu din pe "                                                              # Romanian
+    "az és egy hogy nem "                                                             # Hungarian
+    "ve bir bu için ile "                                                             # Turkish
+    "yang dan di ini dengan untuk "                                                   # Indonesian, Malay
+    "và của là có được trong "                                                        # Vietnamese
+    "и в на не что с это по к та що є у "                                             # Russian, Ukrainian
+    "και το η ο του της να με "                                                       # Greek
+    "في من على أن إلى و "                                                             # Arabic
+    "של את על לא הוא "                                                                # Hebrew
+    "if else return int new def var import").split()))                                # code
 CHAIN = 2
-SPARSE = 12
+SPARSE = 1 << 30                   # words for each of which one signature is enough: any text's
 BUCKET_BYTES = 16 << 20            # text bytes aimed at in a bucket of neighbouring documents
 MAX_CUTS = 256                     # quantiles of the ids that the driver computes
 _MIN = -(1 << 62)                  # order of a null id
 
 
+def _any_of(words: list[str]) -> str:
+    """A pattern of the words, grouped by first letter, so that a text's letter rules out most
+    of them at once."""
+    ends: dict[str, list[str]] = {}
+    for w in sorted(words, key=lambda w: (-len(w), w)):
+        ends.setdefault(w[0], []).append(w[1:])
+    return "(?:" + "|".join(f"{c}(?:{'|'.join(e)})" for c, e in sorted(ends.items())) + ")"
+
+
 def _chain_pattern(anchors: list[str], chain: int) -> str:
-    stop = "(?:" + "|".join(sorted(anchors, key=lambda w: (-len(w), w))) + ")"
+    stop = _any_of(anchors)
     return rf"(?<= )(?=({stop}(?: (?:{stop} )*+[^ ]+){{{chain}}}) )"
 
 
 def _inner_pattern(anchors: list[str]) -> str:
-    return "(?<= )(?:" + "|".join(sorted(anchors, key=lambda w: (-len(w), w))) + ") "
+    return rf"(?<= ){_any_of(anchors)} "
 
 
 def normalized(text: Column) -> Column:
@@ -64,7 +92,7 @@ def with_signatures(df: DataFrame, text: Column, out: str, anchors: list[str] =
             .withColumn(out, F.array_sort(F.array_distinct(
                 F.when(F.trim(n) == "", F.array().cast("array<bigint>"))
                 .when(words == 1, F.array(F.xxhash64(n)))
-                .when(F.size(s) * SPARSE >= words, chains)
+                .when(F.size(s).cast("long") * SPARSE >= words, chains)
                 .otherwise(every))))
             .drop(n, s))
 
