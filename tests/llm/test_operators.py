@@ -363,6 +363,18 @@ def test_license_notices(spark):
     assert got[0]["score"] == pytest.approx(1.0) and got[1]["matches"][0]["first_word"] == 2
 
 
+def test_license_phrases_in_other_wording(spark):
+    texts = ["Licensed under the Mozilla Public License, version 2.0", "see GNU Affero General Public License"]
+    # whatever the other files make rare: every text that holds a phrase has its label
+    for others in ([], ["mozilla public license"] * 30, ["subject to v"] * 30, ["affero lesser cc"] * 30):
+        d = spark.createDataFrame(list(enumerate(texts + others)), "doc_id long, text string")
+        got = {r["doc_id"]: r["labels"] for r in licenses.scan_documents(d).collect()}
+        assert got[0] == "mpl-2.0" and got[1] == "agpl-3.0,gpl"
+    every = licenses.Index({})
+    for t in licenses.TEMPLATES:
+        assert t.label in every.scan(licenses.words_of("x " + t.mandatory[0] + " y"))[0]
+
+
 # ---- 7 SimHash
 
 def brute_fp(text):

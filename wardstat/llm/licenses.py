@@ -4,9 +4,11 @@ Templates are short license notices with a label and mandatory key phrases. Docu
 frequencies of all template words are counted over all documents; each template is filed
 under its RARE words of highest IDF, with their positions. A file looks up every indexed
 word it holds; postings of one template that agree on the relative position (file position
-less template position) are one alignment. An alignment's score is the IDF share of the
-template's words that stand at their place. Where all mandatory phrases of the template
-stand consecutively at their aligned place, the file gets the template's label.
+less template position) are one alignment. The score of an alignment with MIN_VOTES votes is the
+IDF share of the template's words that stand at their place. Every mandatory phrase is filed
+under its own rarest word as well, and one vote there is enough to verify it: where all
+mandatory phrases of the template stand consecutively at their aligned place, the file gets the
+template's label, whatever the words around them.
 
 Beside this, the base phrases are counted wherever their words stand consecutively.
 
@@ -85,12 +87,13 @@ def places(words: list[bytes], phrase: list[bytes]) -> list[int]:
 
 
 class Index:
-    """Positional index over the templates' rarest words."""
+    """Positional index over the templates' and the mandatory phrases' rarest words."""
 
     def __init__(self, idf: dict[bytes, float], templates: list[Template] = TEMPLATES, rare: int = RARE):
         self.templates = [(t.label, words_of(t.text), [words_of(m) for m in t.mandatory]) for t in templates]
         self.idf = idf
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        self.keys: dict[bytes, list[tuple[int, int]]] = defaultdict(list)    # of the mandatory phrases
         self.votes, self.weight, self.needed = [], [], []
         for k, (_, words, mandatory) in enumerate(self.templates):
             chosen = sorted(set(words), key=lambda w: (-idf.get(w, 0.0), w))[:rare]
@@ -100,24 +103,33 @@ class Index:
             self.votes.append(min(MIN_VOTES, len(chosen)))
             self.weight.append(sum(idf.get(w, 0.0) for w in words) or 1.0)
             self.needed.append([(m, places(words, m)[0]) for m in mandatory])
-        self.words = frozenset(self.postings)
+            for m, p in self.needed[-1]:
+                q = min(range(len(m)), key=lambda q: (-idf.get(m[q], 0.0), m[q], q))
+                self.keys[m[q]].append((k, p + q))
+        self.words = frozenset(self.postings) | frozenset(self.keys)
+
+    def _stands(self, words: list[bytes], k: int, at: int) -> bool:
+        return all(at + p >= 0 and words[at + p:at + p + len(m)] == m for m, p in self.needed[k])
 
     def scan(self, words: list[bytes]) -> tuple[set[str], float, list[tuple[str, int, int, float]]]:
         """(labels, best score, verified (label, first word, last word, score))."""
         votes: Counter = Counter()
+        held = set()                                              # alignments at which the phrases stand
         for i, w in enumerate(words):
             if w in self.words:
-                for k, p in self.postings[w]:
+                for k, p in self.postings.get(w, ()):
                     votes[k, i - p] += 1
+                for k, p in self.keys.get(w, ()):
+                    if self._stands(words, k, i - p):
+                        held.add((k, i - p))
         labels, best, found = set(), 0.0, []
-        for (k, at), n in votes.items():
-            if n < self.votes[k]:
-                continue
-            label, template, _ = self.templates[k]
+        for k, at in held.union(a for a, n in votes.items() if n >= self.votes[a[0]]):
+            label, template, mandatory = self.templates[k]
             hit = sum(self.idf.get(w, 0.0) for p, w in enumerate(template)
                       if 0 <= at + p < len(words) and words[at + p] == w) / self.weight[k]
-            best = max(best, min(1.0, hit))
-            if all(at + p >= 0 and words[at + p:at + p + len(m)] == m for m, p in self.needed[k]):
+            if votes[k, at] >= self.votes[k]:
+                best = max(best, min(1.0, hit))
+            if (k, at) in held or not mandatory:
                 labels.add(label)
                 found.append((label, max(0, at), min(len(words), at + len(template)) - 1, min(1.0, hit)))
         return labels, best, found
