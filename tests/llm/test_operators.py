@@ -315,6 +315,18 @@ def test_packing_round_trip(docs, edge, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+def test_packing_emits_added_tokens(spark, docs):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(packing.tokenizer_path())       # as it is in the file
+    enc = packing.Encoder.of(packing.tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y \n", "<|endoftext|" * 3, "no token",
+             "z" * 5000 + "<|endoftext|>" + "z" * 3000] + [r["text"] for r in docs.limit(50).collect()]
+    for t in texts:
+        assert np.frombuffer(enc.ids(t), dtype="<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+    row = packing.pack_documents(spark.createDataFrame([(1, texts[0])], "doc_id long, text string")).first()
+    assert row["doc_tokens"] == 5
+
+
 def test_fill_respects_every_limit():
     rng = np.random.default_rng(5)
     demand = np.column_stack([rng.integers(1, 900, 500), np.ones(500), rng.integers(0, 300, 500)]).astype(float)

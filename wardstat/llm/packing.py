@@ -19,6 +19,7 @@ exceeds a limit by itself raises ValueError in ``pack``; empty table: no rows.
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 import zlib
@@ -52,7 +53,8 @@ class Encoder:
 
     A blank before a non-blank character always starts a new word of the byte-level
     pre-tokenizer, so a text is the sequence of its blank-separated pieces; each distinct
-    piece is encoded once and remembered. Texts with longer white space go through whole."""
+    piece is encoded once and remembered. Texts with longer white space go through whole, and
+    texts that hold an added token of the file (<|endoftext|>) go to the library."""
 
     _shared: dict[str, Encoder] = {}
 
@@ -66,6 +68,8 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                       special_tokens={})
+        with open(path, encoding="utf-8") as f:
+            self.added = [t["content"] for t in json.load(f).get("added_tokens") or []]
         self.known: dict[str, bytes] = {}
 
     @classmethod
@@ -75,20 +79,22 @@ class Encoder:
             cls._shared[path] = cls(path)
         return cls._shared[path]
 
+    def _by_library(self, text: str) -> bytes:
+        if self.whole is None:                                    # rarely needed, so loaded when it is
+            from tokenizers import Tokenizer
+            self.whole = Tokenizer.from_file(self.path)
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def _encode(self, text: str) -> bytes:
         if len(text) > LONG_WORD and len(text) > LONG_WORD * (text.count(" ") + 1):
-            if self.whole is None:                                # rarely needed, so loaded when it is
-                from tokenizers import Tokenizer
-                self.whole = Tokenizer.from_file(self.path)
-                self.whole.encode_special_tokens = True
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        else:
-            ids = self.fast.encode_ordinary(text)
-        return np.array(ids, dtype="<u4").tobytes()
+            return self._by_library(text)
+        return np.array(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(t in text for t in self.added):
+            return self._by_library(text)
         if _AWKWARD.search(text):
             return self._encode(text)
         known, out = self.known, []
