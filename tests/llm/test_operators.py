@@ -92,6 +92,32 @@ def test_toxicity_evidence_is_the_poisson_chance(x):
     assert toxicity.evidence(x) == pytest.approx(math.log1p(1 / p) if x else 0.0, rel=1e-9)
 
 
+def test_each_word_counts_once_in_a_segment():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        at, hits = 0, []
+        for _ in range(int(rng.integers(1, 14))):
+            w = int(rng.integers(0, 5))
+            hits.append((f"w{w}", at, 0.3 + 1.1 * w))
+            at += int(rng.integers(1, 6))
+        want = 0.0
+        for i in range(len(hits)):
+            for j in range(i, len(hits)):
+                d = {w: s for w, _, s in hits[i:j + 1]}
+                want = max(want, sum(d.values()) - 0.5 * (hits[j][1] - hits[i][1] + 1 - len(d)))
+        assert toxicity.once_each(hits) == pytest.approx(want)
+
+
+def test_toxic_passage_after_isolated_uses():
+    bad = ["idiot", "moron", "scum", "filth"]
+    model = toxicity.Model(dict.fromkeys(bad, 6.0), lam=1.0, k=0.05, base=0.02)
+    alone = [w for b in bad for w in [b, *["x"] * 40]]
+    passage = alone + bad
+    assert max(s for *_, s in model.segments(passage)) == pytest.approx(24.0)
+    assert toxicity.score_words(passage, model) > 0.99 > toxicity.score_words(alone[:41] + ["x"] * 127, model)
+    assert model.segments(["idiot"] * 50) == [(0, 49, 6.0)]
+
+
 def test_toxicity_held_out(spark):
     d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     lab = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

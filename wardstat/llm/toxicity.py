@@ -6,12 +6,14 @@ against the others, with a Dirichlet prior that is the feature's share in the wh
 (prior weight: the toxic class's own size), less Z_MARGIN standard errors. Features that are
 not above zero then carry no evidence; every token costs GAP.
 
-Search: the linear-time scan for all maximal scoring segments gives every passage whose
-tokens argue for toxicity. Scores are calibrated by extreme-value statistics: under clean
-text the best segment of n tokens exceeds s with probability 1 - exp(-K n exp(-lambda s)),
-lambda solving E[exp(lambda score)] = 1 over the clean token shares and K fitted to the best
-segments of the clean training documents. The expected count of a segment is
-E = K n exp(-lambda s); a word that recurs counts once, as in the fit. A document's segments
+Search: the linear-time scan over all tokens for all maximal scoring segments gives every
+passage whose tokens argue for toxicity. A segment in which a word recurs scores as its best
+part when each distinct word counts once in it (``once_each``); no better one lies outside the
+segments. Scores are calibrated by extreme-value statistics: under clean text the best segment
+of n tokens exceeds s with probability 1 - exp(-K n exp(-lambda s)), lambda solving
+E[exp(lambda score)] = 1 over the scores of all tokens of the clean training documents (and
+the prior) and K fitted to the best segments of those documents by the same scan. The expected
+count of a segment is E = K n exp(-lambda s). A document's segments
 are aggregated by the Poisson chance of the r best (``evidence``), and its score is the
 log-odds base + ln(1 + 1/P).
 
@@ -60,17 +62,27 @@ class Model:
     k: float = 1.0
     base: float = 0.05
 
-    def hits(self, words: list[str], once: bool = False) -> list[tuple[int, float]]:
-        """(position, score) of the words that score above zero; ``once``: a word that recurs
-        counts where it comes first, as the fit counts it."""
-        s, out, seen = self.scores, [], set()
+    def hits(self, words: list[str]) -> list[tuple[int, float]]:
+        """(position, score) of the words that score above zero."""
+        s, out = self.scores, []
         for i, w in enumerate(words):
-            if once and w in seen:
-                continue
             p = "^" + w[:PREFIX] if len(w) > PREFIX else w
             if w in s or p in s:
                 out.append((i, max(s.get(w, 0.0), s.get(p, 0.0))))
-                seen.add(w)
+        return out
+
+    def segments(self, words: list[str]) -> list[tuple[int, int, float]]:
+        """The maximal scoring segments (first word, last word, score), each distinct word
+        counted once in a segment."""
+        hits, out, k = self.hits(words), [], 0
+        for a, b, s in maximal_segments(hits):
+            while hits[k][0] < a:
+                k += 1
+            first = k
+            while k < len(hits) and hits[k][0] <= b:
+                k += 1
+            mine = [(words[i], i, v) for i, v in hits[first:k]]
+            out.append((a, b, s if len({w for w, _, _ in mine}) == len(mine) else once_each(mine)))
         return out
 
 
@@ -111,6 +123,29 @@ def maximal_segments(hits: list[tuple[int, float]], gap: float = GAP) -> list[tu
     return [(a, b, r - l) for l, r, a, b, _ in kept]
 
 
+def once_each(hits: list[tuple[str, int, float]], gap: float = GAP) -> float:
+    """The largest score of a part of a segment with the ``hits`` (word, position, score > 0), if
+    each distinct word counts its score once and every other token counts -gap.
+
+    A part that scores above zero is not longer than the distinct scores allow, so only starts
+    within that reach are kept up to date."""
+    distinct = {w: s for w, _, s in hits}
+    reach = sum(distinct.values()) / gap + len(distinct)
+    f = np.zeros(len(hits))            # f[i]: score of the part from hit i to the present one
+    last: dict[str, int] = {}
+    best, lo, before = 0.0, 0, 0
+    for j, (w, at, s) in enumerate(hits):
+        while at - hits[lo][1] > reach:
+            lo += 1
+        old = max(lo, last.get(w, -1) + 1)
+        f[lo:j] -= gap * (at - before - 1)
+        f[lo:old] -= gap
+        f[old:j + 1] += s
+        best = max(best, float(f[lo:j + 1].max()))
+        last[w], before = j, at
+    return best
+
+
 def solve_lambda(scores: list[float], shares: list[float], gap: float = GAP) -> float:
     """The positive root of sum p exp(lambda s) + (1 - sum p) exp(-lambda gap) = 1."""
     s, p = np.asarray(scores, float), np.asarray(shares, float)
@@ -140,8 +175,8 @@ def _labelled(labels: DataFrame, max_labelled: int) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
     """``docs`` (doc_id, text): the corpus; ``labels`` (doc_id, toxic): the rows to learn from.
 
-    Two passes over the texts that matter (toxic ones for the candidates, labelled ones for
-    the calibration) and one over the whole corpus. The labelled ids that tasks receive are
+    Three passes over the texts that matter (toxic ones for the candidates, clean and labelled
+    ones for the calibration) and one over the whole corpus. The labelled ids that tasks receive are
     bounded by ``max_labelled``.
     """
     docs = id_text(docs)
@@ -207,8 +242,30 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     delta -= Z_MARGIN * np.sqrt(1 / (y_t + alpha) + 1 / (y_c + alpha))
     keep = delta > GAP
     model = Model(dict(zip(cand.feature[keep], (delta[keep] - GAP).tolist())), base=base)
-    shares = (y_c + alpha) / (mass_c + prior)
-    model.lam = solve_lambda(list(model.scores.values()), shares[keep].tolist())
+
+    def clean_tokens():
+        ids = clean_ids
+
+        def run(b):
+            c: Counter = Counter()
+            known = np.isin(b["doc_id"].to_numpy(zero_copy_only=False), ids)
+            for t in b.filter(pa.array(known))["text"].to_pylist():
+                words = words_of(t)
+                hits = model.hits(words)
+                c.update(s for _, s in hits)
+                c[0.0] += len(words) - len(hits)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c.keys()), pa.float64()),
+                                              pa.array(list(c.values()), pa.int64())], ["score", "n"])
+        return run
+
+    # every token of the clean documents, as the scan meets it, and the prior's features
+    tokens = Counter({r["score"]: r["n"] for r in per_batch(docs, clean_tokens, "score double, n long")
+                      .groupBy("score").agg(F.sum("n").alias("n")).collect()})
+    total = sum(tokens.values()) + prior
+    for s, a in zip(model.scores.values(), alpha[keep].tolist()):
+        tokens[s] += a
+    del tokens[0.0]
+    model.lam = solve_lambda(list(tokens), [n / total for n in tokens.values()])
 
     def best_segments():
         tox, cl = toxic_ids, clean_ids
@@ -220,7 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
             weight, n_c, none_t, none = 0.0, 0, 0, 0
             for t, toxic in zip(part["text"].to_pylist(), is_t[is_t | is_c]):
                 words = words_of(t)
-                segs = maximal_segments(model.hits(words, once=True))
+                segs = model.segments(words)
                 if not segs:
                     none += 1
                     none_t += int(toxic)
@@ -266,7 +323,7 @@ def evidence(x: list[float]) -> float:
 
 def score_words(words: list[str], model: Model) -> float:
     log_kn = math.log(max(model.k * len(words), 1e-300))
-    x = [model.lam * s - log_kn for _, _, s in maximal_segments(model.hits(words, once=True))]
+    x = [model.lam * s - log_kn for _, _, s in model.segments(words)]
     return 1.0 / (1.0 + math.exp(-min(700.0, logit(model.base) + evidence(x))))
 
 
@@ -301,7 +358,7 @@ def passages(docs: DataFrame, model: Model, max_expected: float = MAX_EXPECTED)
             for i, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
                 words = words_of(t)
                 found = [(a, z, s, model.k * len(words) * math.exp(-model.lam * s))
-                         for a, z, s in maximal_segments(model.hits(words))]
+                         for a, z, s in model.segments(words)]
                 if any(e <= max_expected for *_, e in found):
                     low = t.lower()
                     spans = [m.span() for m in _WORD.finditer(low)]
