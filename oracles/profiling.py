@@ -10,6 +10,7 @@ from .clinical import ph, with_ctes
 LNUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 add("csv_ingest", "SELECT * FROM nation")
+add("csv_ingest_orders", "SELECT * FROM orders")
 add("parquet_scan", "SELECT * FROM lineitem")
 add("pruned_scan", "SELECT l_orderkey, l_extendedprice FROM lineitem")
 add("table_shape", " UNION ALL ".join(

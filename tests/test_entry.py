@@ -43,3 +43,9 @@ def test_oracle_agreement(spark, key):
     a = sorted(repr(tuple(_norm(v) for v in r)) for r in srows)
     b = sorted(repr(tuple(_norm(r[i]) for i in idx)) for r in drows)
     assert a == b
+
+
+def test_csv_ingest_of_a_growing_table(spark):
+    test_oracle_agreement(spark, "csv_ingest_orders")
+    small, large = (E.queries()["csv_ingest_orders"](spark, f"/root/testdata/{sf}").count() for sf in ("sf0.001", "sf0.01"))
+    assert large > small > 1000

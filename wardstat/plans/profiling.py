@@ -35,6 +35,14 @@ def csv_ingest(spark, sf):
     return IO.csv_to_parquet(spark, src, out)
 
 
+@register("csv_ingest_orders")
+def csv_ingest_orders(spark, sf):
+    """The ingest over a table that grows with the scale factor."""
+    src = scratch_path(spark, "orders-csv")
+    T.table(spark, sf, "orders").write.mode("overwrite").option("header", True).csv(src)
+    return IO.csv_to_parquet(spark, src, scratch_path(spark, "orders-parquet"))
+
+
 @register("parquet_scan")
 def parquet_scan(spark, sf):
     return T.table(spark, sf, "lineitem")
