@@ -365,6 +365,13 @@ def test_fill_respects_every_limit():
         packing.fill(np.array([[3000.0, 1, 1]]), limits)
 
 
+def test_full_pieces_keep_the_loss_limit(spark):
+    d = spark.createDataFrame([(1, 0, 8, 7), (2, 0, 3, 2)], "doc_id long, start long, length long, loss_tokens long")
+    assert packing.pack(d, capacity=8, max_loss=7).count() == 2
+    with pytest.raises(ValueError):
+        packing.pack(d, capacity=8, max_loss=5)
+
+
 # ---- 6 licenses
 
 def test_licenses(docs, edge, empty):

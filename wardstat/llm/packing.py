@@ -169,7 +169,11 @@ def pack(examples: DataFrame, capacity: int = CAPACITY, max_segments: int = MAX_
     (doc_id, start). ``offset``: tokens before the example in its sequence."""
     limits = np.array([capacity, max_segments, max_loss or capacity], dtype=float)
     table = stored(examples, "pack-examples")
-    n = table.where(F.col("length") < capacity).count()
+    # full pieces bypass ``fill``, so the limits of a single example are checked for all rows here
+    over = (F.col("length") > limits[0]) | (F.col("loss_tokens") > limits[2])
+    n, n_over = table.agg(F.count_if(F.col("length") < capacity), F.count_if(over)).first()
+    if n_over:
+        raise ValueError(f"pack: {n_over} examples exceed a limit by themselves")
     n_groups = max(1, round(n / group))
     numbered = table.withColumn("row", F.monotonically_increasing_id())
     whole = (numbered.where(F.col("length") == capacity)
