@@ -5,8 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (collocations, conversations, licenses, mixing, nearest, packing, sharding, simhash, spotsigs, token_count,
-               toxicity, url_filter)
+from . import (collocations, conversations, licenses, mixing, nearest, packing, pii, sharding, simhash, spotsigs,
+               token_count, toxicity, url_filter)
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": lambda s, d: url_filter.judge_pages(read(s, d, "pages")),
     "op9_nearest": lambda s, d: nearest.search(read(s, d, "embeddings")),
     "op10_token_counts": lambda s, d: token_count.count_tokens(read(s, d, "documents")),
+    "op11_personal_data": lambda s, d: pii.find_personal_data(read(s, d, "documents")),
     "op12_conversations": lambda s, d: conversations.repair_damaged(read(s, d, "conversations")),
     "op13_collocations": lambda s, d: collocations.mine(read(s, d, "documents")),
 }
