@@ -106,6 +106,15 @@ add("threshold_sweep", mq("SELECT * FROM sweep"))
 add("select_threshold", mq("""
 SELECT model, config, threshold, precision, recall, f1, CAST(precision >= 0.5 AND recall >= 0.1 AS INTEGER) AS qualifies
 FROM sweep ORDER BY qualifies DESC, f1 DESC, config, threshold LIMIT 1"""))
+add("tuning_report", mq("""
+SELECT s.model, s.split, s.threshold, s.tp, s.fp, s.fn, s.tn, s.accuracy, s.precision, s.recall, s.f1, a.roc_auc,
+  CAST(row_number() OVER (ORDER BY CAST(s.precision >= 0.5 AND s.recall >= 0.1 AS INTEGER) DESC, s.f1 DESC, s.model, s.threshold) = 1
+       AS INTEGER) AS selected
+FROM sweep s JOIN auc a ON a.model = s.model AND a.split = s.split WHERE s.split = 'validation'
+UNION ALL
+SELECT 'always_zero', 'validation', CAST(0.5 AS DOUBLE), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(sum(y) AS BIGINT),
+  CAST(sum(1 - y) AS BIGINT), CAST(avg(1 - y) AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0.5 AS DOUBLE), 0
+FROM scores WHERE model = 'price' AND split = 'validation'"""))
 add("select_model", mq("""
 SELECT model, roc_auc, f1, roc_auc - runner AS gap_to_runner_up FROM (
   SELECT model, roc_auc, f1, lead(roc_auc) OVER (ORDER BY roc_auc DESC, f1 DESC, position) AS runner,

@@ -220,3 +220,21 @@ def rank_models(summary: DataFrame, metric: str = "roc_auc", split: str = "valid
     """Models ranked by a metric (1 = best, ties share a rank)."""
     s = summary.where(F.col("split") == split)
     return s.select("model", metric, F.rank().over(Window.orderBy(F.col(metric).desc())).alias("rank"))
+
+
+def tuning_report(scores: DataFrame, start: int = 30, stop: int = 80) -> DataFrame:
+    """Every model (configuration) at every threshold with its ROC-AUC, the always-zero
+    baseline, and ``selected`` = 1 for the row that E11 chooses among the configurations.
+
+    ``scores``: one long table of all configurations on one split, so the sweep and the AUC are
+    one aggregation each over all of them."""
+    base = (scores.groupBy(*GROUP).agg(F.count_if(F.col("y") == 1).alias("fn"), F.count_if(F.col("y") == 0).alias("tn"))
+            .groupBy("split").agg(F.first("fn").alias("fn"), F.first("tn").alias("tn")))
+    zero = with_rates(base.select(F.lit("always_zero").alias("model"), "split", F.lit(0.5).alias("threshold"),
+                                  F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"), "fn", "tn"))
+    sweep = threshold_sweep(scores, start, stop).join(F.broadcast(roc_auc(scores)), GROUP)      # one row per model
+    chosen = select_threshold(sweep, "model").select("model", "split", "threshold", F.lit(1).alias("selected"))
+    # no score separates anything for the baseline: half
+    both = sweep.unionByName(zero.withColumn("roc_auc", F.lit(0.5)))
+    return both.join(F.broadcast(chosen), ["model", "split", "threshold"], "left").withColumn(
+        "selected", F.coalesce("selected", F.lit(0)))

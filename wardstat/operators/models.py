@@ -109,3 +109,52 @@ def feature_importance(model: PipelineModel, sample: DataFrame, top: int = 15) -
     imp = tree.featureImportances.toArray().tolist()
     rows = sorted(zip(names, [float(v) for v in imp]), key=lambda t: -t[1])[:top]
     return sample.sparkSession.createDataFrame(rows, "feature string, importance double")
+
+
+# ------------------------------------------------------------------ tuning
+FIT_ROWS = 2_000_000        # labelled rows that a tuning fit sees at most (the least by key hash)
+ROWS_PER_TASK = 50_000      # of the stored matrix
+
+
+def encoded_matrix(encoder: PipelineModel, features: DataFrame, name: str, key: str = "patient_id",
+                   target: str = V.TARGET, rows: int | None = None) -> DataFrame:
+    """(key, label, features): the encoder applied once and written, so that no fit encodes again.
+    ``rows``: a bound on the labelled rows, taken in hash order of the key; few rows make few
+    tasks, as every boosting round runs a job for each tree level."""
+    from ..session import write_table
+    m = with_label(encoder.transform(features), target).select(key, LABEL, "features")
+    if rows is not None:
+        m = m.where(F.col(LABEL).isNotNull())
+        n = features.where(F.col(target).isNotNull()).count()
+        if n > rows:
+            # a hash threshold instead of a sort: about ``rows`` rows, the same ones at every run
+            m = m.where(F.pmod(F.xxhash64(F.lit(42), F.col(key)), F.lit(1 << 30)) < int((1 << 30) * rows / n))
+        m = m.repartition(max(1, -(-min(n, rows) // ROWS_PER_TASK)), key).sortWithinPartitions(key)
+    return write_table(m, name)
+
+
+def fit_all(matrix: DataFrame, estimators: dict[str, tuple]) -> dict:
+    """{name: model}: estimators (estimator, weight scheme) fitted at the same time over one stored
+    matrix; the jobs of the fits share the cluster."""
+    from concurrent.futures import ThreadPoolExecutor
+    from pyspark import inheritable_thread_target
+
+    def fit(item):
+        name, (estimator, scheme) = item
+        data = add_weights(matrix, scheme).select(LABEL, "weight", "features").persist()
+        try:
+            return name, estimator.fit(data)
+        finally:
+            data.unpersist()
+    with ThreadPoolExecutor(max(1, len(estimators))) as pool:
+        return dict(pool.map(inheritable_thread_target(matrix.sparkSession)(fit), estimators.items()))
+
+
+def score_all(models: dict, matrix: DataFrame, split: str, key: str = "patient_id") -> DataFrame:
+    """Long score table (model, split, key, y, prob) of all models over one matrix."""
+    out = None
+    for name, m in models.items():
+        part = m.transform(matrix).select(F.lit(name).alias("model"), F.lit(split).alias("split"), F.col(key).alias("key"),
+                                          F.col(LABEL).cast("int").alias("y"), vector_to_array("probability")[1].alias("prob"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -54,6 +54,12 @@ def threshold_metrics(spark, sf):
     return M.threshold_metrics(scores(spark, sf))
 
 
+@register("tuning_report")
+def tuning_report(spark, sf):
+    """M09's report over the validation rows of the pseudo-scores, which SQL can follow."""
+    return M.tuning_report(scores(spark, sf).where("split = 'validation'"))
+
+
 @register("roc_auc")
 def roc_auc(spark, sf):
     return M.roc_auc(scores(spark, sf))

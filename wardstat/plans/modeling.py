@@ -170,27 +170,25 @@ def feature_importance(spark, sf):
     return MO.feature_importance(trained(spark, sf, "decision_tree"), features_of(spark, sf, "train"))
 
 
+def tuning_scores(spark, sf):
+    """Validation scores of the tuning configurations, fitted side by side on the stored matrix."""
+    def build():
+        enc = encoder(spark, sf)
+        train = MO.encoded_matrix(enc, features_of(spark, sf, "train"), "tuning_train", rows=MO.FIT_ROWS)
+        val = MO.encoded_matrix(enc, features_of(spark, sf, "validation"), "tuning_validation")
+        models = MO.fit_all(train, {f"config_{i}": (MO.weighted_gbt(
+            max_iter=c["rounds"], max_depth=c["max_depth"], step=c["learning_rate"], subsample=c["subsample"],
+            colsample=c["colsample"], min_leaf=c["min_child_weight"]), f"positive:{c['positive_weight']}")
+            for i, c in enumerate(TUNING_CONFIGS, start=1)})
+        return MO.score_all(models, val, "validation")
+    return _memo(spark, sf, "tuning_scores", build)
+
+
 @register("tune_grid")
 def tune_grid(spark, sf):
-    """Three configurations x 51 thresholds on validation, plus an always-zero baseline
-    row; each configuration is one distributed training job, scores computed once."""
-    train = features_of(spark, sf, "train")
-    val = features_of(spark, sf, "validation")
-    out = None
-    for i, cfg in enumerate(TUNING_CONFIGS, start=1):
-        est = MO.weighted_gbt(max_iter=cfg["rounds"], max_depth=cfg["max_depth"],
-                              step=cfg["learning_rate"], subsample=cfg["subsample"], colsample=cfg["colsample"],
-                              min_leaf=cfg["min_child_weight"])
-        m = MO.fit_pipeline(train, est, f"positive:{cfg['positive_weight']}")
-        s = MO.positive_probability(m, val).select(F.lit(f"config_{i}").alias("model"), F.lit("validation").alias("split"),
-                                                   F.col("patient_id").alias("key"), F.col("actual_target").alias("y"),
-                                                   F.col("probability").alias("prob"))
-        sw = ME.threshold_sweep(s).withColumn("config", F.lit(i))
-        out = sw if out is None else out.unionByName(sw)
-    base = val.select(F.lit("always_zero").alias("model"), F.lit("validation").alias("split"),
-                      F.col("patient_id").alias("key"), F.col(V.TARGET).alias("y"), F.lit(0.0).alias("prob"))
-    b = ME.threshold_metrics(base, 0.5).withColumn("threshold", F.lit(0.5)).withColumn("config", F.lit(0))
-    return out.unionByName(b.select(*out.columns))
+    """Three configurations x 51 thresholds on validation with ROC-AUC, the always-zero
+    baseline and the selected threshold."""
+    return ME.tuning_report(tuning_scores(spark, sf))
 
 
 @register("save_load_model")
