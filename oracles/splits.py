@@ -110,6 +110,13 @@ def logq(body):
 
 
 add("prediction_log", logq("SELECT * FROM log"))
+add("prediction_log_append", logq("SELECT * FROM log"))
+# every request's outcome; a fitted model's probability is always valid
+add("stream_outcomes", logq("""
+SELECT s.request_id, s.patient_id,
+  CASE WHEN s.status <> 'ok' THEN s.status WHEN p.patient_id IS NULL THEN 'not_found' ELSE 'scored' END AS outcome
+FROM st s LEFT JOIN clean_det p ON p.patient_id = s.patient_id"""))
+add("stream_validation", f"WITH req AS ({_REQ}) SELECT request_id, status, patient_id FROM ({_STATUS})")
 add("latest_predictions", logq(S.LATEST))
 add("prediction_context", logq(S.CONTEXT))
 add("prediction_history", logq(S.history(100)))
