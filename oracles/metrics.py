@@ -178,12 +178,20 @@ c1, b1 = assoc(CAT)
 add("association_matrix", with_ctes(["engineered"], b1, extra=_LABX).replace("\nSELECT col_a, col_b, cramers_v FROM upper",
                                                                           f",\n{c1}\nSELECT col_a, col_b, cramers_v FROM upper", 1))
 c2, b2 = assoc(["treatment_outcome"] + CAT)
-add("rank_categorical", with_ctes(["engineered"], "SELECT col_b AS feature, cramers_v FROM upper WHERE col_a = 'treatment_outcome'",
+add("rank_categorical", with_ctes(["engineered"], "SELECT col_b AS feature, cramers_v, CAST(row_number() OVER (ORDER BY cramers_v DESC NULLS LAST, col_b) AS INTEGER) AS rank "
+                                                      "FROM upper WHERE col_a = 'treatment_outcome'",
                                   extra=_LABX).replace("\nSELECT col_b AS feature", f",\n{c2}\nSELECT col_b AS feature", 1))
-add("rank_numeric", with_ctes(["engineered"], " UNION ALL ".join(
+add("rank_numeric", with_ctes(["engineered"], "SELECT *, CAST(row_number() OVER (ORDER BY abs_r DESC NULLS LAST, feature) AS INTEGER) AS rank FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, corr(CAST({c} AS DOUBLE), CAST(treatment_outcome AS DOUBLE)) AS r, "
-    f"abs(corr(CAST({c} AS DOUBLE), CAST(treatment_outcome AS DOUBLE))) AS abs_r FROM lab" for c in NUM), extra=_LABX))
-_L = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-add("high_corr_pairs", "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}, {b}) AS r FROM lineitem"
-    for i, a in enumerate(_L) for b in _L[i + 1:]) + ") WHERE abs(r) > 0.9")
+    f"abs(corr(CAST({c} AS DOUBLE), CAST(treatment_outcome AS DOUBLE))) AS abs_r FROM lab" for c in NUM) + ")", extra=_LABX))
+_L = {"l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice", "loaded_quantity": "l_quantity * 1.1 + l_tax"}
+
+
+def _pairs(cols: dict, table: str) -> str:
+    names = list(cols)
+    return " UNION ALL ".join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr(CAST({cols[a]} AS DOUBLE), CAST({cols[b]} AS DOUBLE)) AS r FROM {table}"
+                              for i, a in enumerate(names) for b in names[i + 1:])
+
+
+add("high_corr_pairs", with_ctes(["engineered"], f"SELECT * FROM ({_pairs({c: c for c in NUM}, 'lab')} UNION ALL "
+                                                 f"{_pairs(_L, 'lineitem')}) WHERE abs(r) > 0.9", extra=_LABX))

@@ -5,6 +5,8 @@ from wardstat.functions import vocab as V
 from wardstat.sources.fixture import RAW_COLUMNS
 
 from .catalog import add
+from wardstat.plans.clinical import RAW_TO_CANON
+
 from .clinical import ph, with_ctes
 
 LNUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -98,13 +100,15 @@ FROM (SELECT 'region' AS dataset, (SELECT count(*) FROM region) AS n_rows, 2 AS
 LEFT JOIN (SELECT 'region' AS dataset, 5 AS exp_rows, 2 AS exp_cols UNION ALL SELECT 'nation', 25, 3
            UNION ALL SELECT 'orders', NULL, 6 UNION ALL SELECT 'lineitem', NULL, 11) e USING (dataset)""")
 add("lineage_audit", with_ctes(["clean_det"], """
+SELECT * FROM audit UNION ALL SELECT 'overall', CAST(sum(passed) AS BIGINT), count(*), CAST(min(passed) AS INTEGER) FROM audit""", extra=[
+    ("r", "SELECT count(*) AS raw_rows, count(DISTINCT Patient_ID) AS raw_keys FROM patients_raw"),
+    ("c", "SELECT count(*) AS clean_rows, count(DISTINCT patient_id) AS clean_keys FROM clean_det"),
+    ("audit", """
 SELECT 'row_reduction_equals_repeated_keys' AS check, CAST(raw_rows - clean_rows AS BIGINT) AS observed,
        CAST(raw_rows - raw_keys AS BIGINT) AS expected, CAST(raw_rows - clean_rows = raw_rows - raw_keys AS INTEGER) AS passed FROM r, c
 UNION ALL SELECT 'clean_rows_equal_distinct_keys', clean_rows, clean_keys, CAST(clean_rows = clean_keys AS INTEGER) FROM r, c
 UNION ALL SELECT 'clean_keys_equal_raw_keys', clean_keys, raw_keys, CAST(clean_keys = raw_keys AS INTEGER) FROM r, c
-UNION ALL SELECT 'clean_column_count', 31, 31, 1""", extra=[
-    ("r", "SELECT count(*) AS raw_rows, count(DISTINCT Patient_ID) AS raw_keys FROM patients_raw"),
-    ("c", "SELECT count(*) AS clean_rows, count(DISTINCT patient_id) AS clean_keys FROM clean_det")]))
+UNION ALL SELECT 'clean_column_count', 31, 31, 1""")]))
 add("key_set_diff", """
 SELECT (SELECT count(*) FROM (SELECT DISTINCT o_custkey FROM orders EXCEPT SELECT DISTINCT c_custkey FROM customer)) AS only_in_a,
        (SELECT count(*) FROM (SELECT DISTINCT c_custkey FROM customer EXCEPT SELECT DISTINCT o_custkey FROM orders)) AS only_in_b""")
@@ -117,12 +121,24 @@ add("value_agreement_samples", with_ctes(["clean_det", "clean_full"], """
 SELECT patient_id, a.bmi AS value_a, b.bmi AS value_b FROM clean_det a JOIN clean_full b USING (patient_id)
 WHERE a.bmi IS DISTINCT FROM b.bmi ORDER BY patient_id LIMIT 10"""))
 _NUMRE = "'[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?'"
+
+
+def _failed(c: str) -> tuple[str, str]:
+    """(whether a raw value is lost in conversion, its text)."""
+    if c in ("Dosage", "Duration_Days"):
+        return f"{ph(c)} IS NOT NULL AND NOT regexp_full_match(trim({c}), {_NUMRE})", ph(c)
+    return (f"{c} IS NOT NULL AND NOT isfinite({c})",
+            f"CASE WHEN isnan({c}) THEN 'nan' WHEN {c} > 0 THEN 'inf' ELSE '-inf' END")
+
+
 add("conversion_failures", with_ctes(["patients_raw"], " UNION ALL ".join(
-    f"SELECT '{c}' AS column, CAST(sum(CASE WHEN {ph(c)} IS NOT NULL AND NOT regexp_full_match(trim({c}), {_NUMRE}) "
-    f"THEN 1 ELSE 0 END) AS BIGINT) AS failures FROM patients_raw" for c in ("Dosage", "Duration_Days"))))
+    f"SELECT '{c}' AS column, (SELECT count(*) FROM patients_raw WHERE {bad}) AS failures, coalesce((SELECT string_agg(v, '|' ORDER BY row_ord) "
+    f"FROM (SELECT {text} AS v, row_ord FROM patients_raw WHERE {bad} ORDER BY row_ord LIMIT 5)), '') AS samples"
+    for c in [*RAW_TO_CANON, "Dosage", "Duration_Days"] for bad, text in [_failed(c)])))
 add("non_finite_values", with_ctes(["patients_raw"], " UNION ALL ".join(
     f"SELECT '{c}' AS column, CAST(sum(CASE WHEN {c} IS NOT NULL AND (isnan({c}) OR isinf({c})) THEN 1 ELSE 0 END) AS BIGINT) "
-    f"AS non_finite FROM patients_raw" for c in ("BMI", "Age", "Height_cm"))))
+    f"AS non_finite FROM patients_raw" for c in RAW_TO_CANON)))
+add("row_order", "SELECT o_orderkey, row_number() OVER () - 1 AS row_order FROM orders")
 add("domain_check", " UNION ALL ".join(
     f"SELECT '{c}' AS column, CAST(sum(CASE WHEN {c} IS NOT NULL AND {c} NOT IN (0, 1) THEN 1 ELSE 0 END) AS BIGINT) AS outside FROM labels"
     for c in ("quality", "toxic")))

@@ -74,14 +74,21 @@ SELECT a.patient_id, a.treatment_outcome, w.weight FROM assign a JOIN (
          ((SELECT count(DISTINCT treatment_outcome) FROM assign WHERE split = 'train') * count(*)) AS weight
   FROM assign WHERE split = 'train' GROUP BY treatment_outcome) w USING (treatment_outcome)
 WHERE a.split = 'train'"""))
-add("split_integrity", j05("""
-SELECT 'overlap_train_validation' AS check, CAST(0 AS BIGINT) AS observed, CAST(0 AS BIGINT) AS expected, 1 AS passed
-UNION ALL SELECT 'overlap_train_test', 0, 0, 1
-UNION ALL SELECT 'overlap_validation_test', 0, 0, 1
-UNION ALL SELECT 'keys_assigned_more_than_once', (SELECT count(*) FROM (SELECT patient_id FROM assign GROUP BY 1 HAVING count(*) > 1)), 0, 1
-UNION ALL SELECT 'labelled_keys_missing', (SELECT count(*) FROM labelled WHERE patient_id NOT IN (SELECT patient_id FROM assign)), 0, 1
-UNION ALL SELECT 'assigned_keys_not_labelled', 0, 0, 1
-UNION ALL SELECT 'invalid_split_labels', 0, 0, 1"""))
+_PAIRS = [("train", "validation"), ("train", "test"), ("validation", "test")]
+_INTEGRITY = [(f"overlap_{x}_{y}", f"(SELECT count(*) FROM (SELECT patient_id FROM assign WHERE split = '{x}' INTERSECT "
+               f"SELECT patient_id FROM assign WHERE split = '{y}'))", "0") for x, y in _PAIRS] + [
+    ("keys_assigned_more_than_once", "(SELECT count(*) FROM (SELECT patient_id FROM assign GROUP BY 1 HAVING count(*) > 1))", "0"),
+    ("labelled_keys_missing", "(SELECT count(*) FROM (SELECT patient_id FROM labelled EXCEPT SELECT patient_id FROM assign))", "0"),
+    ("assigned_keys_not_labelled", "(SELECT count(*) FROM (SELECT patient_id FROM assign EXCEPT SELECT patient_id FROM labelled))", "0"),
+    ("invalid_split_labels", "(SELECT count(*) FROM assign WHERE split NOT IN ('train', 'validation', 'test'))", "0"),
+    ("rows_train", "(SELECT count(*) FROM assign WHERE split = 'train')", "(SELECT n - t - v FROM expect)"),
+    ("rows_validation", "(SELECT count(*) FROM assign WHERE split = 'validation')", "(SELECT v FROM expect)"),
+    ("rows_test", "(SELECT count(*) FROM assign WHERE split = 'test')", "(SELECT t FROM expect)")]
+add("split_integrity", with_ctes(["clean_det"], "SELECT \"check\", CAST(observed AS BIGINT) AS observed, CAST(expected AS BIGINT) AS expected, "
+    "CAST(observed = expected AS INTEGER) AS passed FROM (" + " UNION ALL ".join(
+        f"SELECT '{n}' AS \"check\", {o} AS observed, {e} AS expected" for n, o, e in _INTEGRITY) + ")", extra=_J05 + [
+    ("expect", "SELECT n, t, CAST(ceil((n - t) * 0.25) AS BIGINT) AS v FROM (SELECT count(DISTINCT patient_id) AS n, "
+               "CAST(ceil(count(DISTINCT patient_id) * CAST(0.2 AS DOUBLE)) AS BIGINT) AS t FROM labelled)")]))
 
 _REQ = f"SELECT event_id AS request_id, ts AS received_at, {REQUEST_BODY_SQL} AS body, value AS score_hint FROM events"
 _STATUS = """

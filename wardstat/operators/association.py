@@ -1,16 +1,14 @@
 """Association and feature ranking A01-A06.
 
-Contingency tables stay long (a, b, n) — never collected. All feature pairs of a
-table are counted in one pass: each row is expanded to one (pair, a, b) record per
-pair of the *fixed* column list (k(k-1)/2 records, independent of the data), and
-map-side partial aggregation collapses them before the shuffle.
+Contingency tables stay long (a, b, n) — never collected. The rows of a table are grouped to
+their distinct combinations once; all feature pairs are grouping sets over these.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .profile import corr_matrix
+from .profile import corr_matrix, pearson
 
 NULL_LABEL = "nan"
 
@@ -48,33 +46,49 @@ def cramers_v(df: DataFrame, a: str, b: str) -> DataFrame:
     return _v_from_cells(cells, ["pair"]).select(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), "cramers_v")
 
 
+def pair_cells(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]], null_as_text: bool = True) -> DataFrame:
+    """(col_a, col_b, a, b, n) of the given column pairs. Rows are first grouped to their distinct
+    combinations of all columns; the pairs are grouping sets over these."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_LABEL)) if null_as_text else F.col(c).cast("string") for c in cols]
+    ids = [f"g{i}" for i in range(len(cols))]
+    combos = df.select(*[t.alias(i) for t, i in zip(text, ids)]).groupBy(*ids).agg(F.count(F.lit(1)).alias("m"))
+    at = {c: i for i, c in enumerate(cols)}
+    sets = combos.groupingSets([[ids[at[x]], ids[at[y]]] for x, y in pairs], *ids).agg(
+        F.sum("m").cast("long").alias("n"), F.grouping_id().alias("gid"))
+    # grouping_id: a bit for every column that is not in the set, the first column's is the highest
+    every = (1 << len(cols)) - 1
+    out = F.array(*[F.when(F.col("gid") == every - (1 << (len(cols) - 1 - at[x])) - (1 << (len(cols) - 1 - at[y])), F.struct(
+        F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), F.col(ids[at[x]]).alias("a"), F.col(ids[at[y]]).alias("b"))) for x, y in pairs])
+    cells = sets.select("n", F.array_compact(out)[0].alias("c")).select("c.*", "n")
+    return cells.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+
+
 def association_matrix(df: DataFrame, cols: list[str], null_as_text: bool = True) -> DataFrame:
     """V for all pairs (upper triangle computed once, mirrored), diagonal 1.0."""
-    val = (lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NULL_LABEL))) if null_as_text \
-        else (lambda c: F.col(c).cast("string"))
     pairs = [(x, y) for i, x in enumerate(cols) for y in cols[i + 1:]]
-    recs = F.explode(F.array(*[F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"),
-                                        val(x).alias("a"), val(y).alias("b")) for x, y in pairs]))
-    cells = (df.select(recs.alias("r")).select("r.*").where(F.col("a").isNotNull() & F.col("b").isNotNull())
-             .groupBy("col_a", "col_b", "a", "b").agg(F.count(F.lit(1)).cast("long").alias("n")))
-    upper = _v_from_cells(cells, ["col_a", "col_b"])
+    upper = _v_from_cells(pair_cells(df, cols, pairs, null_as_text), ["col_a", "col_b"])
     lower = upper.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "cramers_v")
     diag = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "col_a string, col_b string, cramers_v double")
     return upper.unionByName(lower).unionByName(diag)
 
 
+def _ranked(df: DataFrame, score: str) -> DataFrame:
+    """Adds ``rank`` (1 = strongest, undefined scores last, ties by name); one row per feature."""
+    order = Window.orderBy(F.col(score).desc_nulls_last(), "feature")
+    return df.withColumn("rank", F.row_number().over(order)).orderBy("rank")
+
+
 def rank_numeric(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """Features by |Pearson r| with the target, descending."""
-    r = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in features])
+    r = df.agg(*[pearson(c, target).alias(c) for c in features])
     structs = ", ".join(f"named_struct('feature', '{c}', 'r', `{c}`)" for c in features)
-    return r.select(F.expr(f"inline(array({structs}))")).select("feature", "r", F.abs("r").alias("abs_r"))
+    return _ranked(r.select(F.expr(f"inline(array({structs}))")).select("feature", "r", F.abs("r").alias("abs_r")), "abs_r")
 
 
 def rank_categorical(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """Features by Cramer's V with the target, descending."""
-    m = association_matrix(df, [target] + features)
-    return m.where((F.col("col_a") == target) & (F.col("col_b") != target)).select(
-        F.col("col_b").alias("feature"), "cramers_v")
+    """Features by Cramer's V with the target, descending; only the target's pairs are counted."""
+    cells = pair_cells(df, [target, *features], [(target, f) for f in features])
+    return _ranked(_v_from_cells(cells, ["col_a", "col_b"]).select(F.col("col_b").alias("feature"), "cramers_v"), "cramers_v")
 
 
 def high_corr_pairs(df: DataFrame, cols: list[str], threshold: float = 0.9) -> DataFrame:

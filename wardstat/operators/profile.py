@@ -6,7 +6,9 @@ through a (column, value) long form, so 41 columns cost one shuffle, not 41 jobs
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DecimalType, DoubleType, FloatType, IntegerType, LongType,
                                ShortType, ByteType, StringType)
@@ -109,10 +111,26 @@ def inf_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, key_cols: list[str], n: int = 100_000, seed: int = 42) -> DataFrame:
-    """Exactly n rows (all, if there are fewer), seeded, without replacement: order by md5(seed || key).
-    A top-k (TakeOrderedAndProject): each task keeps k rows, the driver merges k per task."""
-    key = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
-    return df.withColumn("__h", F.md5(key)).orderBy("__h").limit(int(n)).drop("__h")
+    """Exactly n rows (all, if there are fewer), seeded, without replacement: the first in the
+    order of md5(seed || key).
+
+    Rows are counted by the first digits of the hash (16^L about sqrt(N) buckets); buckets before
+    the one in which n is reached are taken whole, and only that bucket is ranked. The driver
+    sees one count, no row."""
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols]))
+    total = df.count()
+    if total <= n:
+        return df
+    digits = max(1, round(math.log(math.sqrt(total), 16)))
+    tagged = df.withColumn("__h", key).withColumn("__b", F.substring("__h", 1, digits))
+    counts = tagged.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    cum = counts.withColumn("__cum", F.sum("__n").over(Window.orderBy("__b")))                 # over sqrt(N) buckets
+    edge = cum.where(F.col("__cum") >= n).agg(F.min_by(F.struct("__b", (F.lit(n) - F.col("__cum") + F.col("__n")).alias("take")), "__b").alias("e"))
+    j = attach_row(tagged, edge)                                                             # one row
+    whole = j.where(F.col("__b") < F.col("e.__b"))
+    part = (j.where(F.col("__b") == F.col("e.__b")).withColumn("__r", F.row_number().over(Window.partitionBy("__b").orderBy("__h")))
+            .where(F.col("__r") <= F.col("e.take")))
+    return whole.select(*df.columns).unionByName(part.select(*df.columns))
 
 
 def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = 50) -> DataFrame:
@@ -133,12 +151,19 @@ def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = 50) -> D
                     .alias("bin_start"), "count"))
 
 
+def pearson(a: str, b: str):
+    """Pearson r over the rows that have both values; NULL (no error) where one of them is constant."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def corr_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Pearson r for every pair i<j in one aggregate, mirrored, diagonal 1.0.
-    ``corr`` skips rows where either side is NULL (pairwise-complete)."""
+    Rows where either side is NULL do not count (pairwise-complete)."""
     cols = cols or numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
+    row = df.agg(*[pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
     structs = ", ".join(f"named_struct('col_a', '{a}', 'col_b', '{b}', 'r', `{a}|{b}`)" for a, b in pairs)
     upper = row.select(F.expr(f"inline(array({structs}))"))
     lower = upper.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r")

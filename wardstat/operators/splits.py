@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab as V
 from .cleaning import attach_row
+from .validate import _checks as checks
 
 
 def labelled_filter(df: DataFrame, target: str = V.TARGET) -> tuple[DataFrame, DataFrame]:
@@ -177,28 +178,38 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     return df.join(F.broadcast(w), label)
 
 
-def split_integrity(assign: DataFrame, labelled: DataFrame, key: str) -> DataFrame:
-    """Pairwise overlaps 0, every labelled key exactly once, labels valid."""
-    per_key = assign.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("split").alias("ns"))
-    lab = labelled.select(key).distinct()
-    missing = lab.join(assign.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("v"))
-    extra = assign.select(key).distinct().join(lab, key, "left_anti").agg(F.count(F.lit(1)).alias("v"))
-    pairs = []
-    for a, b in (("train", "validation"), ("train", "test"), ("validation", "test")):
-        ka = assign.where(F.col("split") == a).select(key)
-        kb = assign.where(F.col("split") == b).select(key)
-        pairs.append((f"overlap_{a}_{b}", ka.join(kb, key, "left_semi").agg(F.count(F.lit(1)).alias("v"))))
-    parts = [(n, d) for n, d in pairs] + [
-        ("keys_assigned_more_than_once", per_key.agg(F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).alias("v"))),
-        ("labelled_keys_missing", missing), ("assigned_keys_not_labelled", extra),
-        ("invalid_split_labels", assign.agg(F.sum(F.when(~F.col("split").isin("train", "validation", "test"), 1)
-                                                  .otherwise(0)).alias("v")))]
-    out = None
-    for n, d in parts:
-        r = d.select(F.lit(n).alias("check"), F.coalesce(F.col("v"), F.lit(0)).cast("long").alias("observed"),
-                     F.lit(0).cast("long").alias("expected"))
-        out = r if out is None else out.unionByName(r)
-    return out.withColumn("passed", (F.col("observed") == 0).cast("int"))
+SPLITS = {"train": 1, "validation": 2, "test": 4}                  # bit of each split
+
+
+def split_integrity(assign: DataFrame, labelled: DataFrame, key: str, test: float = 0.2, validation: float = 0.25) -> DataFrame:
+    """No key in two splits, every labelled key exactly once, labels valid, and each split as
+    large as its fraction of the labelled keys asks (test rounded up, then validation of the rest).
+
+    Each side is aggregated once by key (the splits of a key are the bits of one number) and the
+    two meet in one full outer join on the same partitioning; one row of sums makes all checks."""
+    bit = F.lit(0)
+    for name, b in SPLITS.items():
+        bit = F.when(F.col("split") == name, b).otherwise(bit)
+    a = assign.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.bit_or(bit).alias("bits"), F.count_if(F.coalesce(bit, F.lit(0)) == 0).alias("bad"),
+                                *[F.count_if(F.col("split") == s).alias(f"n_{s}") for s in SPLITS])
+    lab = labelled.groupBy(key).agg(F.lit(True).alias("known"))
+    j = a.join(lab, key, "full")
+
+    def both(x, y):
+        return F.count_if(F.col("bits").bitwiseAND(SPLITS[x] | SPLITS[y]) == (SPLITS[x] | SPLITS[y]))
+    pairs = [("train", "validation"), ("train", "test"), ("validation", "test")]
+    row = j.agg(*[both(x, y).alias(f"overlap_{x}_{y}") for x, y in pairs],
+                F.count_if(F.col("n") > 1).alias("keys_assigned_more_than_once"),
+                F.count_if(F.col("n").isNull()).alias("labelled_keys_missing"),
+                F.count_if(F.col("known").isNull()).alias("assigned_keys_not_labelled"),
+                F.coalesce(F.sum("bad"), F.lit(0)).alias("invalid_split_labels"),
+                *[F.coalesce(F.sum(f"n_{s}"), F.lit(0)).alias(f"rows_{s}") for s in SPLITS], F.count("known").alias("labelled"))
+    row = row.withColumn("exp_test", F.ceil(F.col("labelled") * F.lit(test)))
+    row = row.withColumn("exp_validation", F.ceil((F.col("labelled") - F.col("exp_test")) * F.lit(validation)))
+    row = row.withColumn("exp_train", F.col("labelled") - F.col("exp_test") - F.col("exp_validation"))
+    zero = [f"overlap_{x}_{y}" for x, y in pairs] + ["keys_assigned_more_than_once", "labelled_keys_missing",
+                                                     "assigned_keys_not_labelled", "invalid_split_labels"]
+    return checks(row, [(c, c, 0) for c in zero] + [(f"rows_{s}", f"rows_{s}", f"exp_{s}") for s in SPLITS])
 
 
 def point_lookup(patients: DataFrame, patient_id: int, cols=V.PREDICTORS) -> DataFrame:

@@ -6,8 +6,9 @@ differences are anti-joins (shuffled on the key), never Python sets.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from .cleaning import attach_row
 from .profile import null_profile
@@ -25,6 +26,15 @@ def _checks(row: DataFrame, checks: list[tuple[str, str, object]]) -> DataFrame:
     return out.withColumn("passed", F.coalesce((F.col("observed") == F.col("expected")), F.lit(False)).cast("int"))
 
 
+def with_overall(checks: DataFrame) -> DataFrame:
+    """The check rows and their verdict: ``overall`` passes when all of them do."""
+    # aggregated check rows: a handful
+    total = checks.agg(F.sum("passed").alias("observed"), F.count(F.lit(1)).alias("expected"))
+    return checks.unionByName(total.select(F.lit("overall").alias("check"), F.col("observed").cast("long").alias("observed"),
+                                           F.col("expected").cast("long").alias("expected"),
+                                           (F.col("observed") == F.col("expected")).cast("int").alias("passed")))
+
+
 def key_integrity(df: DataFrame, key: str) -> DataFrame:
     """Key non-null and unique."""
     row = df.agg(F.sum(F.when(F.col(key).isNull(), 1).otherwise(0)).alias("null_keys"),
@@ -91,9 +101,29 @@ def _count_if(cond):
     return F.sum(F.when(cond, 1).otherwise(0))
 
 
-def conversion_failures(df: DataFrame, cols: list[str], convert) -> DataFrame:
-    """Non-null originals whose conversion yields NULL, per column."""
-    return _per_column(df, cols, {"failures": lambda c: _count_if(F.col(c).isNotNull() & convert(F.col(c)).isNull())})
+def conversion_failures(df: DataFrame, cols: list[str], convert, order: str, samples: int = 5) -> DataFrame:
+    """Non-null originals whose conversion yields NULL, per column: their number and the
+    first ``samples`` of them in source order, joined by '|'.
+
+    Counts are one aggregate. Samples: failures only, long form; the rank limit is applied in every
+    task before the shuffle, so at most tasks x columns x samples rows move."""
+    def text(c):
+        x = F.col(c)
+        if isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
+            inf = float("inf")
+            return F.when(F.isnan(x), "nan").when(x == inf, "inf").when(x == -inf, "-inf").otherwise(x.cast("string"))
+        return x.cast("string")
+    failed = {c: F.col(c).isNotNull() & convert(text(c)).isNull() for c in cols}
+    counts = _per_column(df, cols, {"failures": lambda c: _count_if(failed[c])})
+    found = df.select(order, F.explode(F.array_compact(F.array(*[
+        F.when(failed[c], F.struct(F.lit(c).alias("column"), text(c).alias("value"))) for c in cols]))).alias("f"))
+    w = Window.partitionBy("f.column").orderBy(order)
+    first = (found.withColumn("nr", F.row_number().over(w)).where(F.col("nr") <= samples)
+             .groupBy(F.col("f.column").alias("column")).agg(F.array_sort(F.collect_list(F.struct("nr", "f.value"))).alias("s")))
+    first = first.select("column", F.array_join("s.value", "|").alias("samples"))
+    # one row per column on both sides
+    return counts.join(F.broadcast(first), "column", "left").select(
+        "column", F.coalesce("failures", F.lit(0)).cast("long").alias("failures"), F.coalesce("samples", F.lit("")).alias("samples"))
 
 
 def non_finite_values(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -17,7 +17,7 @@ from .clinical import _memo, engineered
 from .registry import register
 
 MODEL_ORDER = [("price", 1), ("customer", 2), ("priority", 3)]
-LINEITEM_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+HIGH = 0.9
 
 
 def model_probs(o):
@@ -169,4 +169,7 @@ def rank_categorical(spark, sf):
 
 @register("high_corr_pairs")
 def high_corr_pairs(spark, sf):
-    return A.high_corr_pairs(T.table(spark, sf, "lineitem"), LINEITEM_NUM, 0.9)
+    """Over the patients' numeric columns, and two of ``lineitem`` that do go together."""
+    e = A.high_corr_pairs(labelled_eng(spark, sf), NUM_FEATURES, HIGH)
+    price = T.table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", (F.col("l_quantity") * 1.1 + F.col("l_tax")).alias("loaded_quantity"))
+    return e.unionByName(A.high_corr_pairs(price, price.columns, HIGH))

@@ -14,7 +14,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources import io as IO
 from ..sources import tables as T
 from ..sources.fixture import ORDER_COL
-from .clinical import cleaned, patients, raw
+from .clinical import RAW_TO_CANON, cleaned, patients, raw
 from .registry import register
 
 LINEITEM_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -77,7 +77,7 @@ def table_load(spark, sf):
 
 @register("row_order")
 def row_order(spark, sf):
-    return IO.with_row_order(spark, f"{sf.rstrip('/')}/orders.parquet").select("o_orderkey", "row_index")
+    return IO.with_row_order(spark, f"{sf.rstrip('/')}/orders.parquet").select("o_orderkey", "row_order")
 
 
 @register("head_n")
@@ -171,10 +171,10 @@ def lineage_audit(spark, sf):
     row = row.select("*", (F.col("raw_rows") - F.col("clean_rows")).alias("row_reduction"),
                      (F.col("raw_rows") - F.col("raw_keys")).alias("repeated_key_rows"),
                      F.lit(len(c.columns)).alias("clean_cols"))
-    return VA._checks(row, [("row_reduction_equals_repeated_keys", "row_reduction", "repeated_key_rows"),
+    return VA.with_overall(VA._checks(row, [("row_reduction_equals_repeated_keys", "row_reduction", "repeated_key_rows"),
                             ("clean_rows_equal_distinct_keys", "clean_rows", "clean_keys"),
                             ("clean_keys_equal_raw_keys", "clean_keys", "raw_keys"),
-                            ("clean_column_count", "clean_cols", 31)])
+                            ("clean_column_count", "clean_cols", 31)]))
 
 
 @register("key_set_diff")
@@ -194,14 +194,15 @@ def value_agreement_samples(spark, sf):
 
 @register("conversion_failures")
 def conversion_failures(spark, sf):
-    r = raw(spark, sf).select(X.placeholder_to_null("Dosage").alias("Dosage"),
-                              X.placeholder_to_null("Duration_Days").alias("Duration_Days"))
-    return VA.conversion_failures(r, ["Dosage", "Duration_Days"], X.to_number)
+    """All numeric measurements of the raw table, and the two that come as text."""
+    text = ["Dosage", "Duration_Days"]
+    r = raw(spark, sf).select(ORDER_COL, *RAW_TO_CANON, *[X.placeholder_to_null(c).alias(c) for c in text])
+    return VA.conversion_failures(r, [*RAW_TO_CANON, *text], X.to_number, ORDER_COL)
 
 
 @register("non_finite_values")
 def non_finite_values(spark, sf):
-    return VA.non_finite_values(raw(spark, sf), ["BMI", "Age", "Height_cm"])
+    return VA.non_finite_values(raw(spark, sf), list(RAW_TO_CANON))
 
 
 @register("domain_check")

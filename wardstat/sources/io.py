@@ -3,7 +3,7 @@ reproducible row order. Writers are partitioned (one file per task), never funne
 through the driver; readers declare schemas where the input is text."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,8 +79,12 @@ def load_table(df: DataFrame, schema: T.StructType, path: str, fmt: str = "parqu
 
 
 def with_row_order(spark: SparkSession, path: str) -> DataFrame:
-    """Reproducible source order from parquet metadata: (file path, row index in file).
-    Distributed: no global window; order = (file_path, row_index)."""
-    df = spark.read.parquet(path)
-    return df.select("*", F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.row_index").alias("row_index"))
+    """Reproducible source order from parquet metadata: (file path, row index in the file), and
+    ``row_order``, the gapless position over all files in path order. The rows are not moved: the
+    rows of each file are counted from the metadata column, one row per file is summed up and
+    joined back (AQE broadcasts it while it is small)."""
+    df = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
+    files = df.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1)          # over files
+    starts = files.select("file_path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return df.join(starts, "file_path").withColumn("row_order", (F.col("start") + F.col("row_index")).cast("long")).drop("start")
