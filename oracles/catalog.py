@@ -76,7 +76,8 @@ add("binary_from_text", with_ctes(["patients_raw"], f"SELECT row_ord, {bin_text(
 add("binary_from_any", with_ctes(["patients_raw"], f"SELECT row_ord, {bin_any(ph('Treatment_Outcome'))} AS treatment_outcome, "
                                                    f"{bin_any(ph('Adverse_Event'))} AS adverse_event FROM patients_raw"))
 add("range_to_null", with_ctes(["patients_raw"], "SELECT row_ord, " + ", ".join(
-    f"{rng(fin(rc), c)} AS {c}" for rc, c in RAW_TO_CANON.items()) + " FROM patients_raw"))
+    f"{rng(x, c)} AS {c}" for c, x in [*((c, fin(rc)) for rc, c in RAW_TO_CANON.items()), ("dosage_mg", dosage(ph("Dosage"))),
+                                      ("duration_days", duration(ph("Duration_Days")))]) + " FROM patients_raw"))
 add("recompute_bmi", with_ctes(["clean_rules", "clean_det"],
                                "SELECT r.patient_id, r.bmi AS bmi_unbounded, d.bmi AS bmi_bounded "
                                "FROM clean_rules r JOIN clean_det d USING (patient_id)"))

@@ -27,9 +27,18 @@ add("head_n", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")
 _LCOLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
           "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 _ROLE = {"l_returnflag": "categorical", "l_linestatus": "categorical", "l_shipdate": "unsupported"}
-add("column_profile", " UNION ALL ".join(
-    f"SELECT '{c}' AS column, '{_ROLE.get(c, 'numeric')}' AS role, count({c}) AS non_null, "
-    f"count(DISTINCT {c}) AS n_distinct FROM lineitem" for c in _LCOLS))
+_DTYPE = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "TIMESTAMP": "timestamp_ntz"}
+
+
+def _profile(cols: list[str], table: str) -> str:
+    kind = "CASE typeof(any_value({0})) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _DTYPE.items()) + " END"
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column, {kind.format(c)} AS dtype, CASE typeof(any_value({c})) WHEN 'VARCHAR' THEN 'categorical' "
+        f"WHEN 'DATE' THEN 'unsupported' WHEN 'TIMESTAMP' THEN 'unsupported' ELSE 'numeric' END AS role, count({c}) AS non_null, "
+        f"count(DISTINCT {c}) AS n_distinct FROM {table}" for c in cols)
+
+
+add("column_profile", with_ctes(["patients_raw"], _profile(_LCOLS, "lineitem") + " UNION ALL " + _profile(list(RAW_COLUMNS), "patients_raw")))
 _RAWC = [c for c in RAW_COLUMNS]
 add("null_profile", with_ctes(["patients_raw"], " UNION ALL ".join(
     f"SELECT '{c}' AS column, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing, "
@@ -39,10 +48,6 @@ _ALL = ", ".join(_RAWC)
 add("exact_dup_count", with_ctes(["patients_raw"],
                                  f"SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS exact_duplicates FROM "
                                  f"(SELECT count(*) AS c FROM patients_raw GROUP BY {_ALL})"))
-add("numeric_describe", " UNION ALL ".join(
-    f"SELECT '{c}' AS column, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS min, "
-    f"quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, "
-    f"max({c}) AS max FROM lineitem" for c in LNUM))
 add("value_counts", with_ctes(["patients_raw"], """
 SELECT coalesce(Gender, '<MISSING>') AS value, count(*) AS count,
        round(100.0 * count(*) / (SELECT count(*) FROM patients_raw), 6) AS pct
@@ -55,17 +60,39 @@ add("inf_profile", with_ctes(["patients_raw"], " UNION ALL ".join(
     f"CAST(sum(CASE WHEN {c} = '-Infinity'::DOUBLE THEN 1 ELSE 0 END) AS BIGINT) AS neg_inf FROM patients_raw"
     for c in _RAWNUM)))
 add("seeded_sample", "SELECT * FROM orders ORDER BY md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR))) LIMIT 1000")
-add("histogram", " UNION ALL ".join(f"""
+
+
+def _describe(c: str, table: str) -> str:
+    """Infinities: the mean follows them, the deviation is undefined."""
+    odd = f"count(*) FILTER (WHERE NOT isfinite({c})) > 0"
+    mean = (f"CASE WHEN count(*) FILTER (WHERE {c} = 'Infinity'::DOUBLE) > 0 AND count(*) FILTER (WHERE {c} = '-Infinity'::DOUBLE) > 0 "
+            f"THEN 'NaN'::DOUBLE WHEN count(*) FILTER (WHERE {c} = 'Infinity'::DOUBLE) > 0 THEN 'Infinity'::DOUBLE "
+            f"WHEN {odd} THEN '-Infinity'::DOUBLE ELSE avg({c}) FILTER (WHERE isfinite({c})) END")
+    return (f"SELECT '{c}' AS column, count({c}) AS count, {mean} AS mean, CASE WHEN {odd} THEN 'NaN'::DOUBLE "
+            f"ELSE stddev_samp({c}) FILTER (WHERE isfinite({c})) END AS std, min({c}) AS min, quantile_cont({c}, 0.25) AS q25, "
+            f"quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, max({c}) AS max FROM {table}")
+
+
+def _histogram(c: str, table: str) -> str:
+    return f"""
 SELECT '{c}' AS column, CAST(g.bin AS INTEGER) AS bin, lo + g.bin * (hi - lo) / 50 AS bin_start, count(v.bin) AS count
-FROM range(50) g(bin) CROSS JOIN (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem WHERE isfinite({c})) m
+FROM range(50) g(bin) CROSS JOIN (SELECT min({c}) AS lo, max({c}) AS hi FROM {table} WHERE isfinite({c})) m
 LEFT JOIN (SELECT CASE WHEN hi = lo THEN 0 ELSE least(floor(({c} - lo) / ((hi - lo) / 50)), 49) END AS bin
-  FROM lineitem, (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem WHERE isfinite({c})) WHERE isfinite({c})) v
-ON v.bin = g.bin GROUP BY g.bin, lo, hi""" for c in LNUM))
-_pairs = [(a, b) for i, a in enumerate(LNUM) for b in LNUM[i + 1:]]
-add("corr_matrix", " UNION ALL ".join(
-    [f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}, {b}) AS r FROM lineitem" for a, b in _pairs] +
-    [f"SELECT '{b}', '{a}', corr({a}, {b}) FROM lineitem" for a, b in _pairs] +
-    [f"SELECT '{c}', '{c}', 1.0::DOUBLE" for c in LNUM]))
+  FROM {table}, (SELECT min({c}) AS lo, max({c}) AS hi FROM {table} WHERE isfinite({c})) WHERE isfinite({c})) v
+ON v.bin = g.bin GROUP BY g.bin, lo, hi"""
+
+
+def _corr(cols: list[str], table: str) -> str:
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    r = "corr({0}, {1}) FILTER (WHERE isfinite({0}) AND isfinite({1}))"
+    return " UNION ALL ".join([f"SELECT '{a}' AS col_a, '{b}' AS col_b, {r.format(a, b)} AS r FROM {table}" for a, b in pairs] +
+                              [f"SELECT '{b}', '{a}', {r.format(a, b)} FROM {table}" for a, b in pairs] +
+                              [f"SELECT '{c}', '{c}', 1.0::DOUBLE" for c in cols])
+
+
+for _key, _fn in (("numeric_describe", _describe), ("histogram", _histogram)):
+    add(_key, with_ctes(["patients_raw"], " UNION ALL ".join([_fn(c, "lineitem") for c in LNUM] + [_fn(c, "patients_raw") for c in _RAWNUM])))
+add("corr_matrix", with_ctes(["patients_raw"], _corr(LNUM, "lineitem") + " UNION ALL " + _corr(_RAWNUM, "patients_raw")))
 add("key_profile", with_ctes(["patients_raw"], f"""
 SELECT total_rows, distinct_keys, total_rows - distinct_keys AS extra_key_rows, exact_duplicates,
        greatest(total_rows - distinct_keys - exact_duplicates, 0) AS non_identical_repeats

@@ -49,7 +49,8 @@ UNION ALL SELECT key, label, CASE WHEN selected THEN 'test' ELSE 'validation' EN
     [("hold", "SELECT key AS patient_id, label AS treatment_outcome FROM h1 WHERE selected")] +
     stage("h2", "hold", "patient_id", "treatment_outcome", 0.5, "halve")))
 add("split_assignments", j05("SELECT patient_id, split FROM assign"))
-add("join_one_to_one", j05("SELECT a.split, p.* FROM assign a JOIN labelled p USING (patient_id)"))
+add("join_one_to_one", j05("SELECT a.split, row_number() OVER (ORDER BY a.split, a.patient_id) - 1 AS assignment_order, p.* "
+                                "FROM assign a JOIN labelled p USING (patient_id)"))
 add("join_left_check", with_ctes(["clean_full", "clean_det"], """
 SELECT count(*) AS reference_rows,
        CAST(sum(CASE WHEN n.patient_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_in_new,

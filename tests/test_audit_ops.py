@@ -97,3 +97,31 @@ def test_tuning_report_selects_one_row(spark):
     assert (zero["tp"], zero["fp"], zero["fn"], zero["tn"], zero["roc_auc"]) == (0, 0, 20, 40, 0.5)
     auc = {x["model"]: x["roc_auc"] for x in r}
     assert auc["good"] == 1.0 and math.isclose(auc["bad"], 0.0, abs_tol=0.05)
+
+
+def test_correlations_equal_numpy_pairwise(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    a = rng.normal(1e6, 1.0, 400)
+    b = a * 0.5 + rng.normal(0, 0.3, 400)
+    rows = [(float(x) if i % 5 else None, float(y) if i % 7 else float("inf"), 3.0, int(i % 11)) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double, flat double, d int").repartition(5)
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in P.corr_matrix(df).collect()}
+    v = np.array([[np.nan if x is None or not np.isfinite(x) else x for x in r] for r in rows], float)
+    for i, x in enumerate(df.columns):
+        for j, y in enumerate(df.columns):
+            both = ~np.isnan(v[:, i]) & ~np.isnan(v[:, j])
+            if x == y:
+                assert got[x, y] == 1.0
+            elif "flat" in (x, y):
+                assert got[x, y] is None
+            else:
+                assert math.isclose(got[x, y], np.corrcoef(v[both, i], v[both, j])[0, 1], abs_tol=1e-9)
+    assert all(r["r"] is None for r in P.corr_matrix(df.where("false"), ["a", "b"]).collect() if r["col_a"] != r["col_b"])
+
+
+def test_assignment_order_is_restored(spark):
+    assign = spark.createDataFrame([(5, "b"), (2, "a"), (9, "a"), (1, "b")], "patient_id long, split string").repartition(3)
+    base = spark.createDataFrame([(1, 0), (2, 1), (5, None), (9, 1)], "patient_id long, treatment_outcome int")
+    rows = SP.join_one_to_one(SP.with_assignment_order(assign, ["split", "patient_id"]), base, "patient_id").collect()
+    assert [(r["assignment_order"], r["patient_id"]) for r in rows] == [(0, 2), (1, 9), (2, 1)]

@@ -73,10 +73,14 @@ def feature_stats(df: DataFrame) -> DataFrame:
 def apply_features(df: DataFrame, fstats: DataFrame) -> DataFrame:
     """Seven engineered columns from a one-row stats frame (pure projection after a
     broadcast of that single row)."""
-    j = attach_row(df, fstats)
+    return with_features(attach_row(df, fstats), df.columns)
+
+
+def with_features(j: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` and the engineered ones, from rows that carry the statistics already."""
     ratio = F.coalesce(raw_ratio(), F.col("ratio_median"))
     ratio = F.least(F.greatest(ratio, F.col("ratio_lower")), F.col("ratio_upper"))
-    return j.select(*[F.col(c) for c in df.columns],
+    return j.select(*[F.col(c) for c in columns],
                     kidney_stage().alias("kidney_stage"), bmi_category().alias("bmi_category"),
                     age_group().alias("age_group"), liver_risk().alias("liver_risk"),
                     polypharmacy().alias("polypharmacy"),

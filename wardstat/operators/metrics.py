@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ordering import global_prefix
+from ..session import write_table
 
 GROUP = ["model", "split"]
 
@@ -53,13 +54,12 @@ def score_counts(scores: DataFrame) -> DataFrame:
 def cumulative(scores: DataFrame) -> DataFrame:
     """Distinct scores with, per (model, split): pos/neg totals, counts strictly below and
     at-or-above each score (ascending prefix sums made group-local)."""
-    sc = score_counts(scores)
-    pref = global_prefix(sc, GROUP + ["prob"], ["n_pos", "n_neg"])
-    totals = sc.groupBy(*GROUP).agg(F.sum("n_pos").alias("pos_total"), F.sum("n_neg").alias("neg_total"))
-    starts = pref.groupBy(*GROUP).agg(F.min(F.col("cum_n_pos") - F.col("n_pos")).alias("__p0"),
-                                      F.min(F.col("cum_n_neg") - F.col("n_neg")).alias("__n0"))
-    # totals/starts: one row per (model, split) -> bounded broadcast
-    j = pref.join(F.broadcast(totals), GROUP).join(F.broadcast(starts), GROUP)
+    # the rows are read once; the sums, totals and starts below read the distinct scores only
+    pref = write_table(global_prefix(score_counts(scores), GROUP + ["prob"], ["n_pos", "n_neg"]), "score_prefix")
+    sums = pref.groupBy(*GROUP).agg(F.sum("n_pos").alias("pos_total"), F.sum("n_neg").alias("neg_total"),
+                                    F.min(F.col("cum_n_pos") - F.col("n_pos")).alias("__p0"),
+                                    F.min(F.col("cum_n_neg") - F.col("n_neg")).alias("__n0"))
+    j = pref.join(F.broadcast(sums), GROUP)                    # one row per (model, split)
     pos_below = F.col("cum_n_pos") - F.col("n_pos") - F.col("__p0")
     neg_below = F.col("cum_n_neg") - F.col("n_neg") - F.col("__n0")
     return j.select(*GROUP, "prob", "n_pos", "n_neg", "pos_total", "neg_total",
@@ -88,20 +88,20 @@ def average_precision(scores: DataFrame, cum: DataFrame | None = None) -> DataFr
         .alias("average_precision"))
 
 
-def roc_curve(scores: DataFrame) -> DataFrame:
+def roc_curve(scores: DataFrame, cum: DataFrame | None = None) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, from (0, 0) at an infinite threshold."""
-    c = cumulative(scores)
-    start = scores.select(*GROUP).distinct().select(*GROUP, F.lit(float("inf")).alias("threshold"),
+    c = cum if cum is not None else cumulative(scores)
+    start = c.select(*GROUP).distinct().select(*GROUP, F.lit(float("inf")).alias("threshold"),
                                                     F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return start.unionByName(c.select(*GROUP, F.col("prob").alias("threshold"),
                     _div(F.col("fp_at"), F.col("neg_total")).alias("fpr"),
                     _div(F.col("tp_at"), F.col("pos_total")).alias("tpr")))
 
 
-def pr_curve(scores: DataFrame) -> DataFrame:
+def pr_curve(scores: DataFrame, cum: DataFrame | None = None) -> DataFrame:
     """(threshold, precision, recall) at every distinct score, to precision 1 at recall 0."""
-    c = cumulative(scores)
-    end = scores.select(*GROUP).distinct().select(*GROUP, F.lit(float("inf")).alias("threshold"),
+    c = cum if cum is not None else cumulative(scores)
+    end = c.select(*GROUP).distinct().select(*GROUP, F.lit(float("inf")).alias("threshold"),
                                                   F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return end.unionByName(c.select(*GROUP, F.col("prob").alias("threshold"),
                     _div(F.col("tp_at"), F.col("tp_at") + F.col("fp_at")).alias("precision"),
@@ -139,9 +139,9 @@ def classification_report(scores: DataFrame, cutoff: float = 0.5) -> DataFrame:
     return out.withColumn("support", F.col("support").cast("long"))
 
 
-def summary_metrics(scores: DataFrame, cutoff: float = 0.5) -> DataFrame:
+def summary_metrics(scores: DataFrame, cutoff: float = 0.5, cum: DataFrame | None = None) -> DataFrame:
     """(model, split) -> accuracy, precision, recall, f1, roc_auc, average_precision."""
-    cum = cumulative(scores)
+    cum = cum if cum is not None else cumulative(scores)
     m = threshold_metrics(scores, cutoff).select(*GROUP, "accuracy", "precision", "recall", "f1")
     return m.join(roc_auc(scores, cum), GROUP).join(average_precision(scores, cum), GROUP)
 

@@ -26,6 +26,7 @@ class FittedStats:
     modes: DataFrame        # one row: <col>__mode
     iqr: DataFrame          # one row: <col>__lower/<col>__upper
     features: DataFrame     # one row: dosage_median, ratio_* (see features.feature_stats)
+    row: DataFrame          # all of them as one row, which apply() attaches once
 
 
 def validate_predictors(df: DataFrame, extra_ok=("patient_id",)) -> DataFrame:
@@ -106,14 +107,23 @@ def fit(train: DataFrame) -> FittedStats:
     fstats = FE.feature_stats(clipped)                    # T04
     # Materialize the four one-row frames once: every later apply() (validation, test,
     # each streaming micro-batch) then reads a tiny file instead of re-deriving them.
-    return FittedStats(*[cut_lineage(x) for x in (med, mode, lim_row, fstats)])
+    kept = [cut_lineage(x) for x in (med, mode, lim_row, fstats)]
+    row = kept[0]
+    for x in kept[1:]:
+        row = attach_row(row, x)
+    return FittedStats(*kept, cut_lineage(row))
 
 
 def apply(df: DataFrame, st: FittedStats, extra_ok=("patient_id",)) -> DataFrame:
     """Normalize -> impute -> cap -> 7 engineered features (33 predictors + key)."""
     base = normalize(validate_predictors(df, extra_ok))
-    clipped = _clip(_impute(base, st.medians, st.modes), st.iqr)
-    return FE.apply_features(clipped, st.features)
+    j = attach_row(base, st.row)                               # one row for all steps
+    kept = [F.col(c) for c in st.row.columns]
+    filled = j.select(*[F.coalesce(F.col(c), F.col(f"{c}__med" if c in V.NUMERIC_COLUMNS else f"{c}__mode")).alias(c)
+                        if c in V.NUMERIC_COLUMNS or c in V.CATEGORICAL_COLUMNS else F.col(c) for c in base.columns], *kept)
+    clipped = filled.select(*[clip(c, F.col(f"{c}__lower"), F.col(f"{c}__upper")).alias(c) if c in V.IQR_COLUMNS else F.col(c)
+                              for c in base.columns], *kept)
+    return FE.with_features(clipped, base.columns)
 
 
 def iqr_table(st: FittedStats) -> DataFrame:

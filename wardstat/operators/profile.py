@@ -42,16 +42,16 @@ def _unpivot_row(row: DataFrame, names: list[str], fields: list[str]) -> DataFra
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """Column, role, non_null, n_distinct (exact)."""
+    """Column, dtype, role, non_null, n_distinct (exact)."""
     cols = df.columns
     lv = stats.long_values(df, cols, cast="string")
     distinct = lv.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c")).groupBy("column").agg(
         F.count(F.lit(1)).cast("long").alias("n_distinct"), F.sum("c").cast("long").alias("non_null"))
     spark = df.sparkSession
-    meta = spark.createDataFrame([(f.name, role(f.dataType), i) for i, f in enumerate(df.schema.fields)],
-                                 "column string, role string, position int")
+    meta = spark.createDataFrame([(f.name, f.dataType.simpleString(), role(f.dataType), i) for i, f in enumerate(df.schema.fields)],
+                                 "column string, dtype string, role string, position int")
     return (meta.join(F.broadcast(distinct), "column", "left")   # one row per column on both sides
-            .select("column", "role", F.coalesce("non_null", F.lit(0)).cast("long").alias("non_null"),
+            .select("column", "dtype", "role", F.coalesce("non_null", F.lit(0)).cast("long").alias("non_null"),
                     F.coalesce("n_distinct", F.lit(0)).cast("long").alias("n_distinct")))
 
 
@@ -159,13 +159,43 @@ def pearson(a: str, b: str):
 
 
 def corr_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Pearson r for every pair i<j in one aggregate, mirrored, diagonal 1.0.
-    Rows where either side is NULL do not count (pairwise-complete)."""
+    """Pearson r for every pair of columns, mirrored, diagonal 1.0. Rows where either side is
+    NULL or not finite do not count (pairwise-complete); a constant side gives NULL.
+
+    One pass after the means: a batch of rows is a matrix, and the sums of all pairs are four matrix
+    products (numpy in Arrow batches); a task passes on columns x columns sums. Values are
+    centred first, so the sums do not cancel."""
     cols = cols or numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    structs = ", ".join(f"named_struct('col_a', '{a}', 'col_b', '{b}', 'r', `{a}|{b}`)" for a, b in pairs)
-    upper = row.select(F.expr(f"inline(array({structs}))"))
+    k = len(cols)
+    ids = [f"x{i}" for i in range(k)]
+    x = df.select(*[F.when(~F.isnan(c) & ~c.isin(float("inf"), float("-inf")), c).alias(i)
+                    for i, c in zip(ids, (F.col(f"`{c}`").cast("double") for c in cols))])
+    means = [m or 0.0 for m in x.agg(*[F.avg(i) for i in ids]).first()]          # one row
+
+    def sums(batches):
+        import numpy as np
+        import pyarrow as pa
+        total = np.zeros((4, k, k))
+        for batch in batches:
+            v = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) if batch.num_rows else np.zeros((0, k))
+            there = ~np.isnan(v)
+            v = np.where(there, v - np.array(means), 0.0)
+            there = there.astype(float)
+            total += np.stack([there.T @ there, v.T @ there, (v * v).T @ there, v.T @ v])
+        i, j = np.triu_indices(k, 1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(z) for z in (i, j, total[0][i, j], total[1][i, j], total[1][j, i], total[2][i, j], total[2][j, i], total[3][i, j])],
+            ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+    part = x.mapInArrow(sums, "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double")
+    g = part.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n = F.col("n")
+    sx, sy = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n), F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
+    sxy = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
+    # a constant side leaves rounding only
+    flat = (sx <= 1e-14 * F.col("sxx")) | (sy <= 1e-14 * F.col("syy"))
+    names = F.array(*[F.lit(c) for c in cols])
+    upper = g.select(names[F.col("i").cast("int")].alias("col_a"), names[F.col("j").cast("int")].alias("col_b"),
+                     F.when(~flat, F.try_divide(sxy, F.sqrt(F.greatest(sx, F.lit(0.0))) * F.sqrt(F.greatest(sy, F.lit(0.0))))).alias("r"))
     lower = upper.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r")
     spark = df.sparkSession
     diag = spark.createDataFrame([(c, c, 1.0) for c in cols], "col_a string, col_b string, r double")

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
+from ..functions.ordering import global_prefix
+from ..session import write_table
 from .cleaning import attach_row
 from .validate import _checks as checks
 
@@ -43,7 +45,7 @@ def split_hash(key_col: str, seed: int, stage: str):
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(stage), F.col(key_col).cast("string")))
 
 
-def class_quotas(spark, counts: dict, fraction: float) -> DataFrame:
+def class_quotas(counts: dict, fraction: float) -> dict:
     """Exact per-class quotas from per-class counts (a handful of numbers)."""
     n = sum(counts.values())
     total = math.ceil(fraction * n) if n else 0
@@ -61,12 +63,13 @@ def class_quotas(spark, counts: dict, fraction: float) -> DataFrame:
 def stratified_select(df: DataFrame, key: str, label: str, fraction: float, seed: int, stage: str) -> DataFrame:
     """Adds boolean ``selected``: exactly the class quotas, first in hash order."""
     spark = df.sparkSession
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # one row per class
-    quotas = class_quotas(spark, counts, fraction)
+    # hashed once; counts, buckets and both arms below read the stored slim rows
+    df_columns, hashed = df.columns, write_table(df.withColumn("__h", split_hash(key, seed, stage)), "split_hash")
+    counts = {r[0]: r[1] for r in hashed.groupBy(label).count().collect()}   # one row per class
+    quotas = class_quotas(counts, fraction)
     n = max(sum(counts.values()), 1)
     digits = int(max(1, round(math.log(math.sqrt(n), 16))))      # 16^L ~ sqrt(N) buckets
-    h = split_hash(key, seed, stage)
-    tagged = df.withColumn("__h", h).withColumn("__b", F.substring("__h", 1, digits))
+    tagged = hashed.withColumn("__b", F.substring("__h", 1, digits))
     qdf = spark.createDataFrame([(k, int(v)) for k, v in quotas.items()],
                                 f"__label {df.schema[label].dataType.simpleString()}, __quota long")
     buckets = tagged.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__n"))
@@ -85,7 +88,7 @@ def stratified_select(df: DataFrame, key: str, label: str, fraction: float, seed
     wb = Window.partitionBy(label).orderBy("__h")
     edge = (j.where(F.col("__b") == F.col("__bb"))
             .withColumn("selected", F.row_number().over(wb) <= F.col("__take")))
-    cols = df.columns + ["selected"]
+    cols = df_columns + ["selected"]
     return plain.select(*cols).unionByName(edge.select(*cols))
 
 
@@ -97,7 +100,7 @@ def stratified_split_2(df: DataFrame, key: str, label: str, test_fraction: float
 
 def stratified_split_3(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
     """20 % test, then 25 % of the rest as validation (60/20/20)."""
-    s1 = stratified_select(df.select(key, label), key, label, 0.2, seed, "test")
+    s1 = write_table(stratified_select(df.select(key, label), key, label, 0.2, seed, "test"), "split_stage")
     test = s1.where("selected").select(key, label, F.lit("test").alias("split"))
     rest = s1.where(~F.col("selected")).select(key, label)
     s2 = stratified_select(rest, key, label, 0.25, seed, "validation")
@@ -107,7 +110,7 @@ def stratified_split_3(df: DataFrame, key: str, label: str, seed: int = 42) -> D
 
 def stratified_split_3b(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
     """40 % holdout, then the holdout halved into validation / test."""
-    s1 = stratified_select(df.select(key, label), key, label, 0.4, seed, "holdout")
+    s1 = write_table(stratified_select(df.select(key, label), key, label, 0.4, seed, "holdout"), "split_stage")
     train = s1.where(~F.col("selected")).select(key, label, F.lit("train").alias("split"))
     hold = s1.where("selected").select(key, label)
     s2 = stratified_select(hold, key, label, 0.5, seed, "halve")
@@ -129,12 +132,19 @@ def assert_unique(df: DataFrame, key, what: str) -> None:
         raise ValueError(f"{what}: duplicate keys in {key}")
 
 
+def with_assignment_order(assign: DataFrame, order: list[str]) -> DataFrame:
+    """Numbers the assignments (0-based) in the order of ``order``, by distributed prefix sums."""
+    return global_prefix(assign, order, index_col="assignment_order")
+
+
 def join_one_to_one(assign: DataFrame, base: DataFrame, key: str, target: str = V.TARGET) -> DataFrame:
-    """Assignments JOIN base on key; fail on duplicates either side; keep labelled rows.
-    The equi-join is left to AQE (broadcast if small at runtime, else sort-merge)."""
+    """Assignments JOIN base on key; fail on duplicates either side; keep labelled rows. The
+    equi-join is left to AQE (broadcast if small at runtime, else sort-merge). Numbered assignments
+    (``assignment_order``) come back in their order, by a distributed sort."""
     assert_unique(assign, key, "assignments")
     assert_unique(base, key, "base")
-    return assign.join(base, key).where(F.col(target).isNotNull())
+    out = assign.join(base, key).where(F.col(target).isNotNull())
+    return out.orderBy("assignment_order") if "assignment_order" in assign.columns else out
 
 
 def join_left_check(reference: DataFrame, new: DataFrame, key: str, col: str) -> DataFrame:

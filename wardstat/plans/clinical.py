@@ -173,8 +173,10 @@ def binary_from_any(spark, sf):
 @register("range_to_null")
 def range_to_null(spark, sf):
     r = raw(spark, sf)
-    return r.select(ORDER_COL, *[X.in_range_or_null(X.finite_or_null(rc), *V.RANGES[c]).alias(c)
-                                 for rc, c in RAW_TO_CANON.items()])
+    from_text = {"dosage_mg": X.extract_dosage(X.placeholder_to_null("Dosage")),
+                 "duration_days": X.duration_days(X.placeholder_to_null("Duration_Days"))}
+    number = {c: X.finite_or_null(rc) for rc, c in RAW_TO_CANON.items()} | from_text
+    return r.select(ORDER_COL, *[X.in_range_or_null(x, *V.RANGES[c]).alias(c) for c, x in number.items() if c in V.RANGES])
 
 
 @register("recompute_bmi")

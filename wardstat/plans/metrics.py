@@ -40,6 +40,11 @@ def scores(spark, sf):
     return _memo(spark, sf, "scores", build)
 
 
+def cumulative(spark, sf):
+    """The distinct scores with their running counts: written once, read by AUC, AP, curves and summary."""
+    return _memo(spark, sf, "cumulative", lambda: M.cumulative(scores(spark, sf)))
+
+
 def model_order(spark):
     return spark.createDataFrame(MODEL_ORDER, "model string, position int")
 
@@ -62,22 +67,22 @@ def tuning_report(spark, sf):
 
 @register("roc_auc")
 def roc_auc(spark, sf):
-    return M.roc_auc(scores(spark, sf))
+    return M.roc_auc(scores(spark, sf), cumulative(spark, sf))
 
 
 @register("average_precision")
 def average_precision(spark, sf):
-    return M.average_precision(scores(spark, sf))
+    return M.average_precision(scores(spark, sf), cumulative(spark, sf))
 
 
 @register("roc_curve")
 def roc_curve(spark, sf):
-    return M.roc_curve(scores(spark, sf))
+    return M.roc_curve(scores(spark, sf), cumulative(spark, sf))
 
 
 @register("pr_curve")
 def pr_curve(spark, sf):
-    return M.pr_curve(scores(spark, sf))
+    return M.pr_curve(scores(spark, sf), cumulative(spark, sf))
 
 
 @register("classification_report")
@@ -86,7 +91,7 @@ def classification_report(spark, sf):
 
 
 def summary(spark, sf):
-    return _memo(spark, sf, "summary", lambda: M.summary_metrics(scores(spark, sf)))
+    return _memo(spark, sf, "summary", lambda: M.summary_metrics(scores(spark, sf), cum=cumulative(spark, sf)))
 
 
 @register("generalization_gap")

@@ -86,9 +86,15 @@ def head_n(spark, sf):
 
 
 # ------------------------------------------------------------------ profiling
+def raw_numeric(r):
+    return [c for c in P.numeric_columns(r) if c not in (ORDER_COL, "Patient_ID")]
+
+
 @register("column_profile")
 def column_profile(spark, sf):
-    return P.column_profile(T.table(spark, sf, "lineitem"))
+    """``lineitem`` and the raw patient table."""
+    line, r = T.table(spark, sf, "lineitem"), raw(spark, sf).drop(ORDER_COL)
+    return P.column_profile(line).unionByName(P.column_profile(r))
 
 
 @register("null_profile")
@@ -103,7 +109,9 @@ def exact_dup_count(spark, sf):
 
 @register("numeric_describe")
 def numeric_describe(spark, sf):
-    return P.numeric_describe(T.table(spark, sf, "lineitem"), LINEITEM_NUM)
+    """The measures of ``lineitem`` and all numeric columns of the raw patient table, infinities included."""
+    r = raw(spark, sf)
+    return P.numeric_describe(T.table(spark, sf, "lineitem"), LINEITEM_NUM).unionByName(P.numeric_describe(r, raw_numeric(r)))
 
 
 @register("value_counts")
@@ -114,7 +122,7 @@ def value_counts(spark, sf):
 @register("inf_profile")
 def inf_profile(spark, sf):
     r = raw(spark, sf)
-    return P.inf_profile(r, [c for c in P.numeric_columns(r) if c not in (ORDER_COL, "Patient_ID")])
+    return P.inf_profile(r, raw_numeric(r))
 
 
 @register("seeded_sample")
@@ -124,12 +132,15 @@ def seeded_sample(spark, sf):
 
 @register("histogram")
 def histogram(spark, sf):
-    return P.histogram(T.table(spark, sf, "lineitem"), LINEITEM_NUM)
+    r = raw(spark, sf)
+    return P.histogram(T.table(spark, sf, "lineitem"), LINEITEM_NUM).unionByName(P.histogram(r, raw_numeric(r)))
 
 
 @register("corr_matrix")
 def corr_matrix(spark, sf):
-    return P.corr_matrix(T.table(spark, sf, "lineitem"), LINEITEM_NUM)
+    """Infinities of the raw table count as missing."""
+    r = raw(spark, sf)
+    return P.corr_matrix(T.table(spark, sf, "lineitem"), LINEITEM_NUM).unionByName(P.corr_matrix(r, raw_numeric(r)))
 
 
 @register("key_profile")

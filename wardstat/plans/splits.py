@@ -62,7 +62,7 @@ def split_assignments(spark, sf):
 
 @register("join_one_to_one")
 def join_one_to_one(spark, sf):
-    a = assignments(spark, sf).select("patient_id", "split")
+    a = SP.with_assignment_order(assignments(spark, sf).select("patient_id", "split"), ["split", "patient_id"])
     return SP.join_one_to_one(a, patients(spark, sf), "patient_id")
 
 
