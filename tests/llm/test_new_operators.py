@@ -295,6 +295,39 @@ def test_trie_accepts_its_phrases_only():
     trie = collocations.build_trie(rows)
     text = rng.integers(0, 42, 20000).astype(np.int64)
     codes = np.where(text > 0, text * 7919 - 90000, 0)
-    got = {(int(i), k) for k, pos, state in collocations.advance(trie, codes, 4) for i in pos[trie.accept[state]]}
+    got = {(int(i), k) for k, pos, state in collocations.advance(trie, codes, 4) for i in pos[trie.number[state] >= 0]}
     want = {(i, k) for i in range(len(text)) for k in range(1, 5) if tuple(text[i:i + k]) in phrases and i + k <= len(text)}
     assert got == want
+
+
+def test_tokenizer_windows():
+    """Codes do not depend on where windows and batches end, nor on neighbours."""
+    import pyarrow as pa
+    rng = random.Random(2)
+    texts = ["", "a", "A.b", " é É\t\x00 x", "!", "w" * 700] + ["".join(rng.choices("aBé .,\n\t", k=rng.randint(0, 90))) for _ in range(300)]
+    langs = [rng.choice(["en", "de", "und"]) for _ in texts]
+
+    def tokens(text, lang):
+        out = []
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", "".join(c.lower() if "A" <= c <= "Z" else c for c in text)):
+            out += [0] + [(lang, w) for w in re.findall(r"[^\x20\x09]+", piece)]
+        return out
+    want = sum((tokens(t, n) for t, n in zip(texts, langs)), [])
+    want = [x for x, y in zip(want, [None] + want) if x or y]
+    for size in (1, 7, 64, 1 << 20):
+        tok, got, names = collocations.Tokenizer(0), [], {}
+        for i in range(0, len(texts), 50):
+            b = pa.RecordBatch.from_arrays([pa.array(texts[i:i + 50]), pa.array(langs[i:i + 50])], ["text", "lang"])
+            for codes, code, rest, lang, (x, starts, ends) in tok.windows(b, size):
+                got += codes.tolist()
+                for c, n, s, e in zip(code.tolist(), lang.tolist(), starts, ends):
+                    assert names.setdefault(c, (tok.langs[n], x[s:e].tobytes().decode())) == (tok.langs[n], x[s:e].tobytes().decode())
+        assert [names.get(x, 0) for x, y in zip(got, [None] + got) if x or y] == want, size
+        rows = []
+        for i in range(0, len(texts), 50):
+            b = pa.RecordBatch.from_arrays([pa.array(texts[i:i + 50]), pa.array(langs[i:i + 50])], ["text", "lang"])
+            rows += [r.tolist() for r in collocations.whole_pieces(w[0] for w in tok.windows(b, size))]
+        assert all(r[-1] == 0 for r in rows)
+        got = [0] + [names.get(x, 0) for r in rows for x in r]
+        got = [x for x, y in zip(got, [None] + got) if x or y]
+        assert got == (want if want[-1] == 0 else want + [0]), size

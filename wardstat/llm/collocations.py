@@ -6,7 +6,8 @@ reads those.
 
 Counting goes up by length. The frequent words are counted by an aggregate. For each further
 length a pass finds the Apriori-safe candidates: phrases whose first words are a candidate, whose
-next word is frequent and whose last words are a candidate, seen at least ``min_count`` times.
+next word is frequent and whose last words are a candidate, seen at least ``min_count`` times
+(the last condition is checked before counting where one trie holds all shorter candidates).
 Then all candidates of 2 to 4 words are counted: their double-array trie is broadcast, numpy
 advances the states of all text positions at once, level by level (next = base[state] + symbol,
 valid where check[next] = state), bincount adds up the accepting states, and the tasks' counts
@@ -14,7 +15,8 @@ are summed. Tries are built in shards of about SHARD candidates (by a hash), one
 so a broadcast is bounded whatever the corpus; next words are looked up in slices of about SHARD
 codes in the same way.
 
-Codes are checked: if two words of the corpus share one, all are made again with another seed.
+Codes are checked: every word has 64 further hash bits, and if two words of the corpus share a code,
+all codes are made again with another seed.
 
 Results: scores are integer divisions in decimals (exact beyond 64 bits). A candidate is dropped
 if a longer candidate that holds it contiguously has 100 f(longer) >= 80 f. The first ``top`` of a
@@ -27,6 +29,7 @@ on partitions or order.
 """
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,56 +37,211 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BATCH_BYTES, BATCH_ROWS, lower_ascii, stored, take
+from .common import BATCH_BYTES, BATCH_ROWS, stored, take
 
 MIN_COUNT = 30
 LONGEST = 4
 COVERED = 80                       # percent of a phrase's places at which a longer one covers it
 TOP = 2000
-SHARD = 1 << 20                    # candidates of a broadcast trie; codes of a word slice
-HELD = 1 << 21                     # distinct keys that a task holds before it passes counts on
+SHARD = 1 << 19                    # candidates of a broadcast trie; codes of a word slice
+WINDOW = 1 << 18                   # bytes of text that are tokenized at once
+HELD = 1 << 18                     # distinct keys that a task holds before it passes counts on
 SALTS = 64
 DEC = "decimal(38,0)"
+SEEDS = 8
+CODE_BYTES = 1 << 20               # of a batch of codes
 
 
 # ------------------------------------------------------------------ codes
-def tokens(text: Column) -> Column:
-    """Words and '' or '.' for borders of pieces ('.' can't be a word's character)."""
-    t = F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), r"[.,;:!?\x0A-\x0D]+", " . ")
-    return F.split(t, r"[\x20\x09]+")
-
-
-def _is_word(t: Column) -> Column:
-    return ~t.isin("", ".")
-
-
-def tokenized(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
+_CLASS = np.zeros(256, np.uint8)                       # 0 word, 1 blank, 2 border of a piece
+_CLASS[[0x20, 0x09]] = 1
+_CLASS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = 2
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)      # odd multipliers of the two word hashes
+_MASK = (1 << 64) - 1
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finalizer."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Tokenizer:
+    """Words of a batch of texts as 64-bit codes and 64 further bits, by polynomial hashes over
+    prefix sums: numpy on the batch's bytes, no loop over words."""
+
+    def __init__(self, seed: int):
+        self.seed, self.size, self.tables = seed, 0, []
+        self.langs: list[str] = []
+        self.lang_ids: dict[str, int] = {}
+
+    def _powers(self, size: int):
+        if size > self.size:
+            self.size, self.tables = size, []
+            for base in _BASES:
+                base = (base * (2 * self.seed + 1)) & _MASK
+                steps = [np.full(size + 1, x, np.uint64) for x in (base, pow(base, -1, 1 << 64))]
+                for t in steps:
+                    t[0] = 1
+                self.tables.append([np.cumprod(t, dtype=np.uint64) for t in steps])
+        return self.tables
+
+    def windows(self, batch: pa.RecordBatch, size: int = 0):
+        """Yields (codes, rest, langs, words): per window the codes of words and 0 at borders; for
+        its words 64 further bits, numbers of languages, and their texts as (bytes, starts, ends).
+        A window ends between words or texts, after about ``size`` bytes."""
+        size = size or WINDOW
+        col = batch.column("text").cast(pa.large_binary())
+        if not len(col):
+            return
+        _, offsets, data = col.buffers()
+        at = np.frombuffer(offsets, np.int64)[col.offset:col.offset + len(col) + 1]
+        raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        named = []
+        for lang in batch.column("lang").to_pylist():
+            if lang not in self.lang_ids:
+                self.lang_ids[lang] = len(self.langs)
+                self.langs.append(lang)
+            named.append(self.lang_ids[lang])
+        named = np.array(named, np.int64)
+        salt = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in self.langs], np.uint64)
+        full = np.flatnonzero(at[1:] > at[:-1])               # texts with a byte
+        first, named = at[:-1][full], named[full]
+        low, stop = (int(at[0]), int(at[-1]))
+        while low < stop:
+            high = min(low + size, stop)
+            if high < stop:                                # back to the last border of words or texts, or on to the next
+                gap = np.flatnonzero(_CLASS[raw[low:high]])
+                text = first[np.searchsorted(first, low, side="right"):np.searchsorted(first, high, side="right")]
+                cut = max(low + int(gap[-1]) + 1 if len(gap) else low, int(text[-1]) if len(text) else low)
+                while cut == low:
+                    gap = np.flatnonzero(_CLASS[raw[high:high + size]])
+                    k = np.searchsorted(first, high)
+                    ends = [int(gap[0]) + high + 1] if len(gap) else []
+                    ends += [int(first[k])] if k < len(first) else []
+                    high = min(high + size, stop)
+                    cut = min(ends) if ends and min(ends) <= high else stop if high == stop else low
+                high = cut
+            yield self._window(raw, low, high, first, named, salt)
+            low = high
+
+    def _window(self, raw, low, high, first, named, salt):
+        x = _LOWER[raw[low:high]]
+        kind = _CLASS[x]
+        heads = first[np.searchsorted(first, low):np.searchsorted(first, high)] - low     # texts that begin here
+        word = kind == 0
+        begin = word.copy()
+        begin[1:] &= ~word[:-1]
+        begin[heads] = word[heads]
+        end = word.copy()
+        end[:-1] &= ~word[1:]
+        inner = heads[heads > 0] - 1
+        end[inner] = word[inner]
+        starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
+        lang = named[np.searchsorted(first, starts + low, side="right") - 1]
+        hashes = []
+        value = x.astype(np.uint64) + np.uint64(1)
+        for powers, inverse in self._powers(len(x)):
+            total = np.zeros(len(x) + 1, np.uint64)
+            np.cumsum(value * powers[:len(x)], out=total[1:])
+            hashes.append((total[ends] - total[starts]) * inverse[starts])
+        own = salt[lang]
+        code = _mix(hashes[0] ^ _mix(own + hashes[1] * np.uint64(0x2545F4914F6CDD1D))).view(np.int64)
+        rest = _mix(hashes[1] + _mix(own ^ hashes[0]) * np.uint64(0x9FB21C651E98DF25)).view(np.int64)
+        # borders: punctuation and beginnings of texts; one 0 for neighbours
+        border = np.unique(np.concatenate([np.flatnonzero(kind == 2), heads]))
+        places = np.concatenate([border * 2, starts * 2 + 1])
+        order = np.argsort(places, kind="stable")
+        codes = np.concatenate([np.zeros(len(border), np.int64), code])[order]
+        keep = np.ones(len(codes), bool)
+        keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
+        return codes[keep], code, rest, lang, (x, starts, ends)
+
+
+def texts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     d = take(docs, text=text_col, lang=lang_col)
     return d.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-                    tokens(F.col("text").cast("string")).alias("tokens"))
+                    F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def code(lang: Column, word: Column, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), lang, word)
+def count_words(docs: DataFrame, seed: int) -> DataFrame:
+    """(code, lang, word, f) of all words."""
+    names = ["code", "rest", "lang", "word", "n"]
 
+    def run(batches):
+        tok = Tokenizer(seed)
+        held, size = [], 0
 
-def count_words(docs: DataFrame, seeds=range(8)) -> tuple[DataFrame, int]:
-    """((lang, word, code, f) of all words, the seed under which their codes are distinct)."""
-    counted = stored(docs.select("lang", F.explode("tokens").alias("word")).where(_is_word(F.col("word")))
-                     .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f")), "words")
-    for seed in seeds:
-        coded = counted.withColumn("code", code(F.col("lang"), F.col("word"), seed))
-        # 0 stands for a border
-        clash = coded.select("code").groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR code = 0")
-        if clash.limit(1).count() == 0:
-            return coded, seed
-    raise RuntimeError("collocations: no seed gives distinct codes")
+        def merged():
+            code, rest, lang, n = (np.concatenate([h[j] for h in held]) for j in (0, 1, 2, 4))
+            # a clash inside a task stays two rows
+            order = np.lexsort((rest, code))
+            new = np.ones(len(order), bool)
+            new[1:] = (code[order][1:] != code[order][:-1]) | (rest[order][1:] != rest[order][:-1])
+            at = np.flatnonzero(new)
+            one = order[at]
+            return [code[one], rest[one], lang[one], pa.concat_arrays([h[3] for h in held]).take(pa.array(one)), np.add.reduceat(n[order], at)]
+
+        def rows(h):
+            known = pa.array(tok.langs, pa.string())
+            for i in range(0, len(h[0]), 1 << 14):
+                s = slice(i, i + (1 << 14))
+                yield pa.RecordBatch.from_arrays([pa.array(h[0][s]), pa.array(h[1][s]), known.take(pa.array(h[2][s])),
+                                                  h[3].slice(i, 1 << 14).cast(pa.string()), pa.array(h[4][s])], names)
+        for b in batches:
+            for _, code, rest, lang, (x, starts, ends) in tok.windows(b):
+                order = np.lexsort((rest, code))
+                new = np.ones(len(order), bool)
+                new[1:] = (code[order][1:] != code[order][:-1]) | (rest[order][1:] != rest[order][:-1])
+                at = np.flatnonzero(new)
+                if not len(at):
+                    continue
+                one = order[at]
+                many = np.diff(np.append(at, len(order)))
+                text = x.tobytes()
+                words = pa.array([text[i:j] for i, j in zip(starts[one].tolist(), ends[one].tolist())], pa.large_binary())
+                held.append([code[one], rest[one], lang[one], words, many])
+                size += len(one)
+                if size > HELD // 2:
+                    held = [merged()]
+                    size = len(held[0][0])
+                    if size > HELD // 4:
+                        yield from rows(held[0])
+                        held, size = [], 0
+        if size:
+            yield from rows(merged())
+    part = _pass(docs, run, "code long, rest long, lang string, word string, n long")
+    return part.groupBy("code", "lang", "word").agg(F.sum("n").alias("f"))
+
+
+def whole_pieces(windows):
+    """The windows' codes cut at borders only: no piece is divided, every row ends with 0."""
+    held: list[np.ndarray] = []
+    for codes in windows:
+        borders = np.flatnonzero(codes == 0)
+        if len(borders):
+            cut = int(borders[-1]) + 1
+            yield np.concatenate([*held, codes[:cut]])
+            held = []
+            codes = codes[cut:]
+        if len(codes):
+            held.append(codes)
+    if held:
+        yield np.concatenate([*held, np.zeros(1, np.int64)])
 
 
 def encode(docs: DataFrame, seed: int) -> DataFrame:
-    """(codes): per document, with a border at the end."""
-    one = F.transform("tokens", lambda t: F.when(_is_word(t), code(F.col("lang"), t, seed)).otherwise(F.lit(0)))
-    return docs.select(F.concat(one, F.array(F.lit(0).cast("bigint"))).alias("codes"))
+    """(codes): rows of whole pieces, each with a 0 at its end."""
+    def run(batches):
+        tok = Tokenizer(seed)
+        for b in batches:
+            for codes in whole_pieces(w[0] for w in tok.windows(b)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.ListArray.from_arrays(pa.array([0, len(codes)], pa.int32()), pa.array(codes))], ["codes"])
+    return _pass(docs, run, "codes array<bigint>")
 
 
 # ------------------------------------------------------------------ tries
@@ -94,7 +252,8 @@ class Trie:
     symbols: np.ndarray
     base: np.ndarray
     check: np.ndarray
-    accept: np.ndarray
+    number: np.ndarray                 # of the phrase that ends in a state, else -1
+    phrases: int
 
     def symbols_of(self, codes: np.ndarray) -> np.ndarray:
         if not len(self.symbols):
@@ -137,23 +296,27 @@ def build_trie(phrases: np.ndarray) -> Trie:
     used = np.zeros(size, bool)
     used[0] = True
     place, base = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    low = 1
+    low = last = 1
     for k in np.argsort(-many, kind="stable"):
         if many[k] == 1:
             break
         kids = order[first[k]:first[k] + many[k]]
         c = letter[kids]
-        while used[low]:
-            low += 1
+        # from the first block so empty that one of its slots is likely to leave all others free
+        if many[k] != last:
+            last, low = many[k], 1
+        block = 256 if many[k] < 4 else 4096
+        full = block * (1 - block ** (-1 / (many[k] + 1)))
+        while low + block < size and np.count_nonzero(used[low:low + block]) > full:
+            low += block
         start = low
         while True:
-            if start + c[-1] - c[0] + 4096 >= size:
-                grown = np.zeros(max(2 * size, int(start + c[-1] - c[0] + 8192)), bool)
+            if start + c[-1] - c[0] + block >= size:
+                grown = np.zeros(max(2 * size, int(start + c[-1] - c[0] + 2 * block)), bool)
                 grown[:size] = used
                 used, size = grown, len(grown)
-            free = start + np.flatnonzero(~used[start:start + 4096])
             # the slots of the first child that leave all other slots free
-            fit = free
+            fit = start + np.flatnonzero(~used[start:start + block])
             for x in c[1:] - c[0]:
                 fit = fit[~used[fit + x]]
                 if not len(fit):
@@ -163,7 +326,7 @@ def build_trie(phrases: np.ndarray) -> Trie:
                 place[kids + 1] = base[children[k]] + c
                 used[place[kids + 1]] = True
                 break
-            start += 4096
+            start += block
     single = np.flatnonzero(many == 1)
     kids = order[first[single]]
     free = np.flatnonzero(~used)
@@ -173,10 +336,10 @@ def build_trie(phrases: np.ndarray) -> Trie:
     place[kids + 1] = free[:len(kids)]
     base[children[single]] = place[kids + 1] - letter[kids]
     size = int(place.max()) + 1
-    out = Trie(symbols, np.zeros(size, np.int64), np.full(size, -1, np.int64), np.zeros(size, bool))
+    out = Trie(symbols, np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32), int(end.sum()))
     out.base[place] = base
     out.check[place[1:]] = place[parent]
-    out.accept[place] = end
+    out.number[place[end]] = np.arange(out.phrases)
     return out
 
 
@@ -205,28 +368,34 @@ def _flat(batch: pa.RecordBatch) -> np.ndarray:
     return c.flatten().to_numpy(zero_copy_only=False)
 
 
-def _pass(codes: DataFrame, run, schema: str) -> DataFrame:
-    conf = codes.sparkSession.conf
+def _pass(df: DataFrame, run, schema: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    conf = df.sparkSession.conf
     rows = conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     if int(rows) > BATCH_ROWS or int(rows) <= 0:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return codes.mapInArrow(run, schema)
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
+
+    def lean(batches):                 # a worker gives back what a batch took
+        for b in batches:
+            yield b
+            pa.default_memory_pool().release_unused()
+    return df.mapInArrow(lambda batches: run(lean(batches)), schema)
 
 
 def _columns(length: int) -> list[str]:
     return [f"c{i}" for i in range(1, length + 1)]
 
 
-def _extensions(codes: DataFrame, trie, words, length: int) -> DataFrame:
+def _extensions(codes: DataFrame, trie, words, length: int, whole: bool) -> DataFrame:
     """(c1 .. c<length>, n): places where an accepted phrase of length - 1 words is followed by
-    one of ``words`` (sorted codes); partial counts of the tasks. ``trie``, ``words``: broadcasts."""
+    one of ``words`` (sorted codes); partial counts of the tasks. ``trie``, ``words``: broadcasts.
+    ``whole``: the trie has all phrases of length - 1, so one must stand at the next word too."""
     names = [*_columns(length), "n"]
 
     def run(batches):
         t, known = trie.value, words.value
         wide = len(known) + 1
-        phrase = np.zeros((len(t.base), length - 1), np.int64)     # the phrase of each state met
+        phrase = np.zeros((t.phrases, length - 1), np.int64)       # the phrases met
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         fresh, size = [], 0
 
@@ -239,18 +408,23 @@ def _extensions(codes: DataFrame, trie, words, length: int) -> DataFrame:
             return every[at], np.add.reduceat(n[order], at)
 
         def rows():
-            for i in range(0, len(keys), 1 << 16):
-                state, word = np.divmod(keys[i:i + (1 << 16)], wide)
+            for i in range(0, len(keys), 1 << 14):
+                state, word = np.divmod(keys[i:i + (1 << 14)], wide)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(phrase[state, j]) for j in range(length - 1)] + [pa.array(known[word]),
-                                                                              pa.array(counts[i:i + (1 << 16)])], names)
+                                                                              pa.array(counts[i:i + (1 << 14)])], names)
         for b in batches:
             x = _flat(b)
             for _, pos, state in advance(t, x, length - 1):
                 pass
             # a phrase is never the last code: a border follows
-            ok = t.accept[state]
+            state = t.number[state].astype(np.int64)
+            ok = state >= 0
             pos, state = pos[ok], state[ok]
+            if whole:
+                ok = np.zeros(len(pos), bool)
+                ok[:-1] = pos[1:] == pos[:-1] + 1
+                pos, state = pos[ok], state[ok]
             after = x[pos + length - 1]
             at = np.minimum(np.searchsorted(known, after), len(known) - 1)
             ok = known[at] == after
@@ -269,7 +443,7 @@ def _extensions(codes: DataFrame, trie, words, length: int) -> DataFrame:
             if size:
                 keys, counts = merged()
             yield from rows()
-    return _pass(codes, run, ", ".join(f"{n} long" for n in names))
+    return _pass(codes, run, ", ".join(f"{n} long" for n in names), CODE_BYTES)
 
 
 def _counts(codes: DataFrame, trie) -> DataFrame:
@@ -278,21 +452,22 @@ def _counts(codes: DataFrame, trie) -> DataFrame:
 
     def run(batches):
         t = trie.value
-        total = np.zeros(len(t.base), np.int64)
-        phrase = np.zeros((len(t.base), LONGEST), np.int64)
+        total = np.zeros(t.phrases, np.int64)
+        phrase = np.zeros((t.phrases, LONGEST), np.int64)
         for b in batches:
             x = _flat(b)
             for k, pos, state in advance(t, x, LONGEST):
-                hit = t.accept[state]
+                state = t.number[state]
+                hit = state >= 0
                 pos, state = pos[hit], state[hit]
-                total += np.bincount(state, minlength=len(total))
+                total += np.bincount(state, minlength=t.phrases)
                 for j in range(k):
                     phrase[state, j] = x[pos + j]
         seen = np.flatnonzero(total)
-        for i in range(0, len(seen), 1 << 16):
-            s = seen[i:i + (1 << 16)]
+        for i in range(0, len(seen), 1 << 14):
+            s = seen[i:i + (1 << 14)]
             yield pa.RecordBatch.from_arrays([pa.array(phrase[s, j].copy()) for j in range(LONGEST)] + [pa.array(total[s])], names)
-    return _pass(codes, run, ", ".join(f"{n} long" for n in names))
+    return _pass(codes, run, ", ".join(f"{n} long" for n in names), CODE_BYTES)
 
 
 def _shards(phrases: DataFrame, shard: int) -> list[DataFrame]:
@@ -317,8 +492,14 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "
     """(words, phrases): (lang, word, code, f) of all words and (c1 .. c4, len, f) of the phrases of
     2 to 4 words with at least ``min_count`` places; unused codes are 0."""
     spark = docs.sparkSession
-    docs = tokenized(docs, text_col, lang_col)
-    words, seed = count_words(docs)
+    docs = texts(docs, text_col, lang_col)
+    for seed in range(SEEDS):
+        words = stored(count_words(docs, seed), "words")
+        clash = words.groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR code = 0")
+        if clash.limit(1).count() == 0:
+            break
+    else:
+        raise RuntimeError("collocations: no seed gives distinct codes")
     codes = stored(encode(docs, seed), "codes")
     frequent = stored(words.where(F.col("f") >= min_count).select(F.col("code").alias("c1")), "frequent")
     slices = [np.sort(_fetch(p, 1)[:, 0]) for p in _shards(frequent, shard)] if frequent.count() <= shard else None
@@ -333,19 +514,20 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "
     levels = [frequent]
     for length in range(2, LONGEST + 1):
         cols, found = _columns(length), None
-        for part in _shards(levels[-1], shard):
+        parts = _shards(levels[-1], shard)
+        for part in parts:
             trie = spark.sparkContext.broadcast(build_trie(_fetch(part, length - 1)))
             for some in word_slices():
                 known = spark.sparkContext.broadcast(some)
                 # written before the broadcasts go
-                got = stored(_extensions(codes, trie, known, length).groupBy(*cols).agg(F.sum("n").alias("n"))
+                got = stored(_extensions(codes, trie, known, length, len(parts) == 1).groupBy(*cols).agg(F.sum("n").alias("n"))
                              .where(F.col("n") >= min_count).select(*cols), f"phrases-{length}")
                 found = got if found is None else found.unionByName(got)
                 known.unpersist()
             trie.unpersist()
         if found is None:
             break
-        if length > 2:                       # the last words too have to be a candidate
+        if length > 2 and len(parts) > 1:    # the last words too have to be a candidate
             tail = levels[-1].toDF(*cols[1:])
             found = found.join(tail, cols[1:], "left_semi").select(*cols)
         levels.append(stored(found, f"candidates-{length}"))
@@ -366,48 +548,40 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "
 
 
 # ------------------------------------------------------------------ scores
-def _cut(length: int, k: int, phrases: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Tables (columns of the first k words, l) and (columns of the rest, r)."""
-    def part(cols, value):
-        if len(cols) == 1:
-            return words.select(F.col("code").alias(cols[0]), F.col("f").alias(value))
-        return phrases.where(F.col("len") == len(cols)).select(*[F.col(f"c{i + 1}").alias(c) for i, c in enumerate(cols)],
-                                                              F.col("f").alias(value))
-    cols = _columns(length)
-    return part(cols[:k], "l"), part(cols[k:], "r")
-
-
 def mine(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, covered: int = COVERED,
          text_col: str = "text", lang_col: str = "lang", shard: int = SHARD) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each language's first ``top`` phrases."""
     words, phrases = phrase_counts(docs, min_count, text_col, lang_col, shard)
-    words, phrases = stored(words, "word-codes"), stored(phrases, "phrases")
-    frequent = words.where(F.col("f") >= min_count)
-    scored = inside = None
-    for length in range(2, LONGEST + 1):
-        mine_ = phrases.where(F.col("len") == length)
-        for k in range(1, length):
-            left, right = _cut(length, k, phrases, frequent)
-            one = mine_.join(left, _columns(length)[:k]).join(right, _columns(length)[k:])
-            score = F.expr(f"CAST(2000000 AS {DEC}) * CAST(f AS decimal(20,0)) div (CAST(l AS decimal(20,0)) + CAST(r AS decimal(20,0)))")
-            one = one.select(*_columns(LONGEST), "len", "f", F.lit(k).alias("k"), "l", "r", score.alias("score"))
-            scored = one if scored is None else scored.unionByName(one)
-        for sub in range(2, length):         # the phrases inside this one
-            parts = F.array(*[F.struct(*[F.col(f"c{i + j}").alias(f"c{j}") if j <= sub else F.lit(0).cast("long").alias(f"c{j}")
-                                         for j in range(1, LONGEST + 1)], F.col("f").alias("f")) for i in range(length - sub + 1)])
-            rows = mine_.select(F.inline(parts))
-            inside = rows if inside is None else inside.unionByName(rows)
-    key = _columns(LONGEST)
-    cut = F.min(F.struct("score", "k", "l", "r")).alias("cut")
-    best = scored.groupBy(*key, "f").agg(cut).select(*key, F.col("f").alias("a"), "cut.score", "cut.l", "cut.r")
-    cover = inside.groupBy(*key).agg(F.max("f").alias("longer"))
-    kept = best.join(cover, key, "left").where(
+    phrases = stored(phrases, "phrases")
+    frequent = stored(words.where(F.col("f") >= min_count), "frequent-words")
+    key, none = _columns(LONGEST), F.lit(0).cast("long")
+
+    def keys(codes: list[Column]) -> Column:
+        return F.struct(*[c.alias(k) for c, k in zip([*codes, *[none] * LONGEST], key)])
+    c = [F.col(k) for k in key]
+    # counts of all words and phrases by their codes; the two parts of every cut
+    parts = frequent.select(keys([F.col("code")]).alias("part"), "f").unionByName(phrases.select(keys(c).alias("part"), "f"))
+    cuts = F.array(*[F.when(F.col("len") > k, F.struct(F.lit(k).alias("k"), keys(c[:k]).alias("left"), keys(c[k:]).alias("right")))
+                     for k in range(1, LONGEST)])
+    cut = phrases.select(keys(c).alias("phrase"), F.col("f").alias("a"), F.inline(F.filter(cuts, lambda x: x.isNotNull())))
+    score = F.expr(f"CAST(2000000 AS {DEC}) * CAST(a AS decimal(20,0)) div (CAST(l AS decimal(20,0)) + CAST(r AS decimal(20,0)))")
+    scored = (cut.join(parts.select(F.col("part").alias("left"), F.col("f").alias("l")), "left")
+              .join(parts.select(F.col("part").alias("right"), F.col("f").alias("r")), "right").withColumn("score", score))
+    least = F.min(F.struct("score", "k", "l", "r")).alias("cut")
+    best = scored.groupBy("phrase", "a").agg(least).select("phrase", "a", "cut.score", "cut.l", "cut.r")
+    # shorter phrases inside longer ones
+    inner = F.array(*[F.when((F.col("len") >= i + m) & (F.col("len") > m), keys(c[i:i + m]))
+                      for m in range(2, LONGEST) for i in range(LONGEST - m + 1)])
+    cover = (phrases.select(F.col("f").alias("longer"), F.explode(F.filter(inner, lambda x: x.isNotNull())).alias("phrase"))
+             .groupBy("phrase").agg(F.max("longer").alias("longer")))
+    kept = best.join(cover, "phrase", "left").where(
         F.col("longer").isNull() | (F.expr("CAST(longer AS decimal(20,0)) * 100") < F.expr(f"CAST(a AS decimal(20,0)) * {int(covered)}")))
-    named = kept
-    for i, c in enumerate(key, start=1):
-        w = frequent.select(F.col("code").alias(c), F.col("word").alias(f"w{i}"), *([F.col("lang")] if i == 1 else []))
-        named = named.join(w, c, "inner" if i <= 2 else "left")
-    named = named.select("lang", F.concat_ws(" ", "w1", "w2", "w3", "w4").alias("phrase"), "a", "l", "r", "score")
+    # the words' texts
+    spelled = (kept.select("*", F.posexplode(F.array(*[F.col(f"phrase.{k}") for k in key])).alias("at", "code")).where("code <> 0")
+               .join(frequent.select("code", "lang", "word"), "code")
+               .groupBy("phrase", "a", "l", "r", "score").agg(F.first("lang").alias("lang"),
+                                                              F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words")))
+    named = spelled.select("lang", F.array_join("words.word", " ").alias("phrase"), "a", "l", "r", "score")
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
     first = Window.partitionBy("lang", "salt").orderBy(*order)
     few = (named.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS))).withColumn("rank", F.row_number().over(first))
