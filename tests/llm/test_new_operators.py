@@ -292,9 +292,14 @@ def test_trie_accepts_its_phrases_only():
     for i, p in enumerate(phrases):
         rows[i, :len(p)] = p
     rows[rows > 0] = rows[rows > 0] * 7919 - 90000          # codes of either sign
-    trie = collocations.build_trie(rows)
+    trie, spelled = collocations.build_trie(rows)
+    assert sorted(map(tuple, spelled.tolist())) == sorted(map(tuple, rows.tolist()))
     text = rng.integers(0, 42, 20000).astype(np.int64)
     codes = np.where(text > 0, text * 7919 - 90000, 0)
+    for k, pos, state in collocations.advance(trie, codes, 4):
+        for i, s in zip(pos, state):
+            if trie.number[s] >= 0:
+                assert spelled[trie.number[s]].tolist()[:k] == codes[i:i + k].tolist()
     got = {(int(i), k) for k, pos, state in collocations.advance(trie, codes, 4) for i in pos[trie.number[state] >= 0]}
     want = {(i, k) for i in range(len(text)) for k in range(1, 5) if tuple(text[i:i + k]) in phrases and i + k <= len(text)}
     assert got == want

@@ -49,7 +49,7 @@ HELD = 1 << 18                     # distinct keys that a task holds before it p
 SALTS = 64
 DEC = "decimal(38,0)"
 SEEDS = 8
-CODE_BYTES = 1 << 20               # of a batch of codes
+CODE_BYTES = 1 << 19               # of a batch of codes
 
 
 # ------------------------------------------------------------------ codes
@@ -262,11 +262,12 @@ class Trie:
         return np.where(self.symbols[at] == codes, at + 1, 0)
 
 
-def build_trie(phrases: np.ndarray) -> Trie:
-    """phrases: distinct rows of LONGEST codes, 0 after the last word."""
+def build_trie(phrases: np.ndarray) -> tuple[Trie, np.ndarray]:
+    """The trie of distinct rows of LONGEST codes (0 after the last word), and the rows by number."""
     symbols = np.unique(phrases[phrases != 0])
     sym = np.where(phrases != 0, np.searchsorted(symbols, phrases) + 1, 0).astype(np.int64)
-    sym = sym[np.lexsort(sym.T[::-1])]
+    by = np.lexsort(sym.T[::-1])
+    sym, whose = sym[by], []
     # trie nodes level by level: a node is a distinct prefix; parent and symbol of each
     parent_of_row = np.zeros(len(sym), np.int64)
     parents, letters, ends, n = [], [], [np.zeros(1, bool)], 1
@@ -284,6 +285,7 @@ def build_trie(phrases: np.ndarray) -> Trie:
         last = np.ones(len(alive), bool) if level + 1 == phrases.shape[1] else sym[alive, level + 1] == 0
         end = np.zeros(int(new.sum()), bool)
         end[ids[last] - n] = True
+        whose.append(alive[last])
         ends.append(end)
         parent_of_row[alive] = ids
         n += len(end)
@@ -340,7 +342,7 @@ def build_trie(phrases: np.ndarray) -> Trie:
     out.base[place] = base
     out.check[place[1:]] = place[parent]
     out.number[place[end]] = np.arange(out.phrases)
-    return out
+    return out, phrases[by][np.concatenate(whose)] if whose else phrases[:0]
 
 
 def advance(trie: Trie, codes: np.ndarray, depth: int):
@@ -387,15 +389,13 @@ def _columns(length: int) -> list[str]:
 
 
 def _extensions(codes: DataFrame, trie, words, length: int, whole: bool) -> DataFrame:
-    """(c1 .. c<length>, n): places where an accepted phrase of length - 1 words is followed by
-    one of ``words`` (sorted codes); partial counts of the tasks. ``trie``, ``words``: broadcasts.
-    ``whole``: the trie has all phrases of length - 1, so one must stand at the next word too."""
-    names = [*_columns(length), "n"]
-
+    """(key, n): places where a phrase of length - 1 words is followed by one of ``words`` (sorted
+    codes), as partial counts of the tasks; key: number of the phrase and place of the word in one
+    (see _spelled). ``trie``, ``words``: broadcasts. ``whole``: the trie has all phrases of
+    length - 1, so one must stand at the next word too."""
     def run(batches):
         t, known = trie.value, words.value
         wide = len(known) + 1
-        phrase = np.zeros((t.phrases, length - 1), np.int64)       # the phrases met
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         fresh, size = [], 0
 
@@ -409,65 +409,65 @@ def _extensions(codes: DataFrame, trie, words, length: int, whole: bool) -> Data
 
         def rows():
             for i in range(0, len(keys), 1 << 14):
-                state, word = np.divmod(keys[i:i + (1 << 14)], wide)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(phrase[state, j]) for j in range(length - 1)] + [pa.array(known[word]),
-                                                                              pa.array(counts[i:i + (1 << 14)])], names)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + (1 << 14)]), pa.array(counts[i:i + (1 << 14)])], ["key", "n"])
         for b in batches:
             x = _flat(b)
             for _, pos, state in advance(t, x, length - 1):
                 pass
             # a phrase is never the last code: a border follows
-            state = t.number[state].astype(np.int64)
-            ok = state >= 0
-            pos, state = pos[ok], state[ok]
+            phrase = t.number[state].astype(np.int64)
+            ok = phrase >= 0
+            pos, phrase = pos[ok], phrase[ok]
             if whole:
                 ok = np.zeros(len(pos), bool)
                 ok[:-1] = pos[1:] == pos[:-1] + 1
-                pos, state = pos[ok], state[ok]
+                pos, phrase = pos[ok], phrase[ok]
             after = x[pos + length - 1]
             at = np.minimum(np.searchsorted(known, after), len(known) - 1)
             ok = known[at] == after
-            pos, state, at = pos[ok], state[ok], at[ok]
-            for j in range(length - 1):
-                phrase[state, j] = x[pos + j]
-            fresh.append(state * wide + at)
-            size += len(at)
+            fresh.append(phrase[ok] * wide + at[ok])
+            size += len(fresh[-1])
             if size > HELD:
                 keys, counts = merged()
                 fresh, size = [], 0
                 if len(keys) > HELD:
                     yield from rows()
                     keys, counts = keys[:0], counts[:0]
-        if size or len(keys):
-            if size:
-                keys, counts = merged()
-            yield from rows()
-    return _pass(codes, run, ", ".join(f"{n} long" for n in names), CODE_BYTES)
+        if size:
+            keys, counts = merged()
+        yield from rows()
+    return _pass(codes, run, "key long, n long", CODE_BYTES)
 
 
 def _counts(codes: DataFrame, trie) -> DataFrame:
-    """(c1 .. c4, n): a task's bincount of the accepting states, with the phrase of each state."""
-    names = [*_columns(LONGEST), "n"]
-
+    """(key, n): a task's bincount of the accepting states; key: number of the phrase."""
     def run(batches):
         t = trie.value
         total = np.zeros(t.phrases, np.int64)
-        phrase = np.zeros((t.phrases, LONGEST), np.int64)
         for b in batches:
-            x = _flat(b)
-            for k, pos, state in advance(t, x, LONGEST):
-                state = t.number[state]
-                hit = state >= 0
-                pos, state = pos[hit], state[hit]
-                total += np.bincount(state, minlength=t.phrases)
-                for j in range(k):
-                    phrase[state, j] = x[pos + j]
+            for _, _, state in advance(t, _flat(b), LONGEST):
+                phrase = t.number[state]
+                total += np.bincount(phrase[phrase >= 0], minlength=len(total))
         seen = np.flatnonzero(total)
         for i in range(0, len(seen), 1 << 14):
             s = seen[i:i + (1 << 14)]
-            yield pa.RecordBatch.from_arrays([pa.array(phrase[s, j].copy()) for j in range(LONGEST)] + [pa.array(total[s])], names)
-    return _pass(codes, run, ", ".join(f"{n} long" for n in names), CODE_BYTES)
+            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(total[s])], ["key", "n"])
+    return _pass(codes, run, "key long, n long", CODE_BYTES)
+
+
+def _spelled(counted: DataFrame, phrases, words, length: int) -> DataFrame:
+    """(c1 .. c<length>, n) of summed (key, n) rows; ``words`` None: the keys are phrases' numbers."""
+    names = [*_columns(length), "n"]
+
+    def run(batches):
+        rows = phrases.value
+        for b in batches:
+            key, last = b.column(0).to_numpy(), []
+            if words is not None:
+                key, word = np.divmod(key, len(words.value) + 1)
+                last = [pa.array(words.value[word])]
+            yield pa.RecordBatch.from_arrays([pa.array(rows[key, j]) for j in range(length - len(last))] + last + [b.column(1)], names)
+    return _pass(counted, run, ", ".join(f"{n} long" for n in names))
 
 
 def _shards(phrases: DataFrame, shard: int) -> list[DataFrame]:
@@ -516,15 +516,17 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "
         cols, found = _columns(length), None
         parts = _shards(levels[-1], shard)
         for part in parts:
-            trie = spark.sparkContext.broadcast(build_trie(_fetch(part, length - 1)))
+            trie, rows = (spark.sparkContext.broadcast(x) for x in build_trie(_fetch(part, length - 1)))
             for some in word_slices():
                 known = spark.sparkContext.broadcast(some)
                 # written before the broadcasts go
-                got = stored(_extensions(codes, trie, known, length, len(parts) == 1).groupBy(*cols).agg(F.sum("n").alias("n"))
-                             .where(F.col("n") >= min_count).select(*cols), f"phrases-{length}")
+                often = (_extensions(codes, trie, known, length, len(parts) == 1).groupBy("key").agg(F.sum("n").alias("n"))
+                         .where(F.col("n") >= min_count))
+                got = stored(_spelled(often, rows, known, length).select(*cols), f"phrases-{length}")
                 found = got if found is None else found.unionByName(got)
                 known.unpersist()
             trie.unpersist()
+            rows.unpersist()
         if found is None:
             break
         if length > 2 and len(parts) > 1:    # the last words too have to be a candidate
@@ -537,10 +539,12 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "
         padded = level.select(*_columns(length), *[F.lit(0).cast("long").alias(c) for c in _columns(LONGEST)[length:]])
         every = padded if every is None else every.unionByName(padded)
     for part in _shards(every, shard) if every is not None else []:
-        trie = spark.sparkContext.broadcast(build_trie(_fetch(part, LONGEST)))
-        got = stored(_counts(codes, trie).groupBy(*_columns(LONGEST)).agg(F.sum("n").alias("f")), "phrase-counts")
+        trie, rows = (spark.sparkContext.broadcast(x) for x in build_trie(_fetch(part, LONGEST)))
+        got = stored(_spelled(_counts(codes, trie).groupBy("key").agg(F.sum("n").alias("n")), rows, None, LONGEST)
+                     .withColumnRenamed("n", "f"), "phrase-counts")
         counted = got if counted is None else counted.unionByName(got)
         trie.unpersist()
+        rows.unpersist()
     if counted is None:
         counted = spark.createDataFrame([], ", ".join(f"{c} long" for c in [*_columns(LONGEST), "f"]))
     size = sum((F.when(F.col(c) != 0, 1).otherwise(0) for c in _columns(LONGEST)), F.lit(0))
