@@ -229,6 +229,46 @@ def test_mix(docs, edge, empty, block):
         assert sum(n != block for n in per_slot.values()) <= len(want)
     assert mixing.mix_documents(empty).count() == 0
     assert mixing.repeat_documents(docs).columns == docs.columns
+    assert mixing.repeat_documents(empty).count() == 0
+
+
+def test_every_prefix_of_the_mix_is_near_the_shares(docs):
+    rows = mixing.mix_documents(docs).where("taken > 0").collect()
+    places, pieces = mixing.mix(docs)
+    source = {r["row_index"]: (r["source"], r["target"]) for r in places.collect()}
+    goal = dict(source.values())
+    words, slots = defaultdict(Counter), defaultdict(set)
+    for r in pieces.collect():
+        words[r["slot"]][source[r["row_index"]][0]] += r["words"]
+        slots[r["doc_id"]].add(r["slot"])
+    assert all(len(c) == 1 for c in words.values())
+    got: Counter = Counter()
+    for s in sorted(words):
+        got.update(words[s])
+        n = sum(got.values())
+        for k, g in goal.items():
+            assert abs(got[k] - n * g / sum(goal.values())) <= 4 * mixing.BLOCK
+    assert {r["doc_id"]: (r["first_slot"], r["last_slot"], r["n_slots"]) for r in rows} == \
+        {i: (min(s), max(s), len(s)) for i, s in slots.items() if i in {r["doc_id"] for r in rows}}
+
+
+def test_mixed_documents_come_in_the_order_of_their_slots(docs):
+    places, pieces = mixing.mix(docs)
+    size = {r["row_index"]: r["size"] for r in places.collect()}
+    passes = defaultdict(list)
+    for r in pieces.collect():
+        passes[r["row_index"], r["doc_id"], r["pass"]].append((r["slot"], r["words"]))
+    want = sorted((min(p)[0], i) for (row, i, _), p in passes.items() if 2 * sum(n for _, n in p) >= size[row])
+    got = [r["doc_id"] for r in mixing.repeat_documents(docs).select("doc_id").collect()]
+    slot_of = defaultdict(list)
+    for s, i in want:
+        slot_of[i].append(s)
+    seen: Counter = Counter()
+    order = []
+    for i in got:
+        order.append(slot_of[i][seen[i]])
+        seen[i] += 1
+    assert order == sorted(order) and len(got) == len(want)
 
 
 def test_schedule_is_low_discrepancy_and_repeatable(spark, docs):
@@ -256,8 +296,7 @@ def brute_sigs(text):
             chain = [x for x in words[i + 1:] if x not in stop][:2]
             if len(chain) == 2:
                 spots.append((w, *chain))
-    # the last content word may itself be an anchor only in texts of anchors
-    if len(spots) * spotsigs.SPARSE >= len(words):
+    if spots:
         return frozenset(spots)
     return frozenset(zip(words, words[1:]))
 
@@ -270,6 +309,18 @@ def test_spotsigs(docs, edge):
         assert len(got) == len(raw)
         if d is edge:
             assert {r["fingerprint"] for r in got if r["doc_id"] in (5, 6)}.__len__() == 1
+            by_id = {r["doc_id"]: r for r in got if r["doc_id"] is not None}
+            none = hashlib.sha256(b"").hexdigest()
+            assert by_id[1]["fingerprint"] == by_id[2]["fingerprint"] == by_id[3]["fingerprint"] == none
+            assert by_id[1]["n_chars"] == by_id[2]["n_chars"] == 0
+            assert by_id[1]["near_next"] == by_id[2]["near_next"] == 1.0 and by_id[3]["near_next"] == 0.0
+            assert by_id[4]["fingerprint"] != none and by_id[4]["near_next"] == 0.0
+            assert by_id[6]["near_next"] == 0.0 and by_id[6]["n_chars"] == 44
+            own = {i: t or "" for i, t in raw if i is not None}
+            for i in (6, 7, 8, 9):
+                e = own[i][:len(own[i]) - len(own[i]) // 4] + own[i + 1][:len(own[i]) // 4]
+                a, b = brute_sigs(own[i]), brute_sigs(e)
+                assert by_id[i]["near_edited"] == pytest.approx(len(a & b) / len(a | b), abs=1e-9)
             continue
         raw.sort()
         nxt = {i: raw[(k + 1) % len(raw)][1] for k, (i, _) in enumerate(raw)}
@@ -313,6 +364,17 @@ def test_spotsigs_keeps_the_signatures_of_sparse_texts(spark):
         assert len(spotsigs.fingerprints(one).first()["signatures"]) == 1
 
 
+def test_spotsigs_runs_of_anchors_take_linear_time(spark):
+    import time
+    texts = ["the a " * 50 + "cat of to dog in " + "bird of the " * 3, "a " * 200_000 + "cat dog", "a " * 200_000,
+             "a " * 50_000 + "cat " + "the " * 50_000, "x " + "a " * 50_000 + "yy zz"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.time()
+    got = {r["doc_id"]: r["signatures"] for r in spotsigs.fingerprints(d).collect()}
+    assert time.time() - began < 30
+    assert [len(got[i]) for i in range(5)] == [len(brute_sigs(texts[0])), 1, 1, 4, 1]
+
+
 # ---- 5 packing
 
 def test_packing_round_trip(docs, edge, empty):

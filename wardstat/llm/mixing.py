@@ -117,12 +117,17 @@ def schedule(spark, need: list[int], goal: list[float]) -> DataFrame:
     inner = per_segment.repartition(max(1, min(n_segments, 4096)), "segment") \
         .mapInArrow(rank, "slot long, sid int, rank long")
     got = {r["sid"]: r["n"] for r in starts.groupBy("sid").agg(F.sum("n").alias("n")).collect()}
-    late = [(i, got.get(i, 0), k) for i, k in enumerate(need) if k > got.get(i, 0)]
+    late, free = [], n_slots                                   # each late block has a slot of its own
+    for i, k in enumerate(need):
+        lo = got.get(i, 0)
+        if k > lo:
+            late.append((i, lo, k, free))
+            free += k - lo
     if not late:
         return inner
-    tail = (spark.createDataFrame(late, "sid int, lo long, hi long")
-            .select("sid", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("rank"))
-            .select((F.lit(n_slots).cast("long") + F.col("rank")).alias("slot"), "sid", "rank"))
+    tail = (spark.createDataFrame(late, "sid int, lo long, hi long, free long")
+            .select("sid", "lo", "free", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("rank"))
+            .select((F.col("free") + F.col("rank") - F.col("lo")).alias("slot"), "sid", "rank"))
     return inner.unionByName(tail)
 
 
@@ -176,23 +181,31 @@ def mix(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", text_col: s
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
+    """The contract's columns, and where the schedule put the document: its first and last slot
+    of the mix and the number of its slots (null, null and 0 where nothing is taken)."""
     places, pieces = mix(docs)
-    taken = pieces.groupBy("row_index").agg(F.sum("words").alias("taken"))
+    taken = pieces.groupBy("row_index").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"),
+                                            F.max("slot").alias("last_slot"), F.count(F.lit(1)).alias("n_slots"))
     return places.join(taken, "row_index", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        "first_slot", "last_slot", F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"))
 
 
 def repeat_documents(docs: DataFrame) -> DataFrame:
-    """The documents as the mix takes them: a row for each pass that takes at least half of
-    the document's words (the ends of a source's stream are rounded to whole documents).
-    Repeated rows of one doc_id are decided together, by the most that one of them gets;
+    """The documents as the mix takes them, in the order of the mix: a row for each pass that
+    takes at least half of the document's words (the ends of a source's stream are rounded to
+    whole documents), sorted by the slot in which that pass begins. The rows are range-partitioned
+    by slot, so the files written from them follow the schedule.
+    Repeated rows of one doc_id are decided together, by the one that gets the most passes;
     a document without words is not taken."""
     places, pieces = mix(docs)
     size = places.select("row_index", "size")
-    times = (pieces.groupBy("row_index", "doc_id", "pass").agg(F.sum("words").alias("words"))
+    # one slot for each pass; a target is at most ``cap`` times its source, so there are few
+    times = (pieces.groupBy("row_index", "doc_id", "pass").agg(F.sum("words").alias("words"), F.min("slot").alias("slot"))
              .join(size, "row_index").where(F.col("words") * 2 >= F.col("size"))
-             .groupBy("row_index", "doc_id").agg(F.count(F.lit(1)).alias("times"))
-             .groupBy("doc_id").agg(F.max("times").cast("int").alias("times"))
-             .select(F.col("doc_id").alias("mixed_id"), "times"))
-    out = docs.join(times, docs["doc_id"].eqNullSafe(times["mixed_id"]))
-    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))).select(*[docs[c] for c in docs.columns])
+             .groupBy("row_index", "doc_id").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
+             .groupBy("doc_id").agg(F.max(F.struct(F.size("slots").alias("n"), "slots")).alias("most"))
+             .select(F.col("doc_id").alias("__mixed_id"), F.col("most.slots").alias("__slots")))
+    out = docs.join(times, docs["doc_id"].cast("long").eqNullSafe(times["__mixed_id"]))
+    out = out.select(*[docs[c] for c in docs.columns], F.explode("__slots").alias("__slot"))
+    return out.orderBy("__slot").drop("__slot")

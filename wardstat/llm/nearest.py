@@ -113,13 +113,11 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _vectors(m: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(np.arange(0, m.size + 1, m.shape[1] or 1, dtype=np.int32)[:len(m) + 1],
-                                    pa.array(m.astype(np.float32).ravel(), pa.float32()))
-
-
 def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    d = take(df, vec_id=id_col, v=vec_col).select(F.col("vec_id").cast("long"), F.col("v").cast("array<float>"))
+    # 32-bit vectors stay so; any other numbers are kept in double precision
+    raw = take(df, vec_id=id_col, v=vec_col)
+    kind = "array<float>" if raw.schema["v"].dataType.simpleString() == "array<float>" else "array<double>"
+    d = raw.select(F.col("vec_id").cast("long"), F.col("v").cast(kind))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     d = d.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)) \
          .where(~bad & F.exists("v", lambda x: x != 0))
@@ -133,6 +131,7 @@ def search(df: DataFrame, k: int = K, id_col: str = "vec_id",
     by ``every`` among all other rows."""
     spark = df.sparkSession
     rows = usable(df, id_col, vec_col)
+    kind = rows.schema["v"].dataType.simpleString()
     newest = Window.partitionBy("v").orderBy("vec_id")
     # equal vectors: the k + 1 smallest ids. The limit on the rank is applied before the
     # exchange too, so a hot vector sends k + 1 rows a task
@@ -155,7 +154,7 @@ def search(df: DataFrame, k: int = K, id_col: str = "vec_id",
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), t, dtype=np.int32)), pa.array(code, pa.int64()),
                                                   b["pid"], b["v"]], ["t", "code", "id", "v"])
         return run
-    hashed = stored(per_batch(points.select("pid", "v"), hash_points, "t int, code long, id long, v array<float>"),
+    hashed = stored(per_batch(points.select("pid", "v"), hash_points, f"t int, code long, id long, v {kind}"),
                     "ann-buckets")
     # at most MAX_M projections bound this table
     found = hashed.groupBy("t", "code").agg(F.count(F.lit(1)).alias("n")).orderBy("t", "code").collect()
@@ -196,7 +195,7 @@ def search(df: DataFrame, k: int = K, id_col: str = "vec_id",
                             ["t", "code", "chunk", "tag", "id", "bound", "v"])
             return run
         probes = per_batch(asking.select("pid", "bound", "v"), visit,
-                           "t int, code long, chunk int, tag int, id long, bound double, v array<float>")
+                           f"t int, code long, chunk int, tag int, id long, bound double, v {kind}")
 
         def compare(batches):
             key, held = None, []

@@ -7,6 +7,9 @@ two fingerprints are compared by the Jaccard coefficient of the sets. Sets whose
 differ by more than the wanted similarity allows are never intersected (the length
 partitions of the method).
 
+Words are matched once: a run of anchors is taken together with the chain behind it, so the work
+is linear in the text, whatever its runs of anchors.
+
 A text keeps its signatures however few they are. Only a text without any (no anchor followed
 by a whole chain: many word lists and tables, scripts without blanks) has its adjacent word
 pairs instead; against a text with signatures its likeness is 0.0.
@@ -23,7 +26,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_text
+from ..functions.ordering import global_prefix
+from .common import id_text, stored
 
 # Common words used as anchors, by language; code has its keywords.
 ANCHORS = list(dict.fromkeys((
@@ -49,9 +53,9 @@ ANCHORS = list(dict.fromkeys((
     "של את על לא הוא "                                                                # Hebrew
     "if else return int new def var import").split()))                                # code
 CHAIN = 2
-SPARSE = 1 << 30                   # words for each of which one signature is enough: any text's
 BUCKET_BYTES = 16 << 20            # text bytes aimed at in a bucket of neighbouring documents
 MAX_CUTS = 256                     # quantiles of the ids that the driver computes
+MAX_TASKS = 20_000                 # tasks of the exchange; beyond, a task has several buckets
 _MIN = -(1 << 62)                  # order of a null id
 
 
@@ -64,13 +68,12 @@ def _any_of(words: list[str]) -> str:
     return "(?:" + "|".join(f"{c}(?:{'|'.join(e)})" for c, e in sorted(ends.items())) + ")"
 
 
-def _chain_pattern(anchors: list[str], chain: int) -> str:
-    stop = _any_of(anchors)
-    return rf"(?<= )(?=({stop}(?: (?:{stop} )*+[^ ]+){{{chain}}}) )"
-
-
-def _inner_pattern(anchors: list[str]) -> str:
-    return rf"(?<= ){_any_of(anchors)} "
+def _run_pattern(anchors: list[str], chain: int) -> str:
+    """A whole run of anchors; group 1 is the run and, where one follows, the chain with the
+    anchors in between. The next match starts behind the run, so an anchor is read as part of
+    its own run and of the ``chain - 1`` chains at most that pass over it."""
+    run = rf"(?:{_any_of(anchors)} )"
+    return rf"(?<= )(?=({run}++(?:[^ ]++ (?:{run}*+[^ ]++ ){{{chain - 1}}})?)){run}++"
 
 
 def normalized(text: Column) -> Column:
@@ -82,19 +85,26 @@ def normalized(text: Column) -> Column:
 def with_signatures(df: DataFrame, text: Column, out: str, anchors: list[str] = ANCHORS,
                     chain: int = CHAIN) -> DataFrame:
     """Adds ``out``: the sorted, distinct 64-bit hashes of the signatures of ``text``."""
-    n, s = f"{out}__norm", f"{out}__spots"
+    n, s, c = f"{out}__norm", f"{out}__runs", f"{out}__chains"
     words = F.length(n) - F.length(F.replace(F.col(n), F.lit(" "), F.lit(""))) - 1
-    chains = F.transform(F.col(s), lambda x: F.xxhash64(F.regexp_replace(x, _inner_pattern(anchors), "")))
+    parts = F.transform(F.col(s), lambda x: F.split(F.rtrim(x), " "))
+    parts = F.transform(parts, lambda p: F.struct(p.alias("words"), F.filter(p, lambda x: ~x.isin(anchors)).alias("chain")))
+    parts = F.transform(F.filter(parts, lambda p: F.size(p["chain"]) == chain), lambda p: F.struct(
+        F.array_distinct(F.slice(p["words"], 1, F.array_position(p["words"], F.get(p["chain"], 0)) - 1)).alias("run"),
+        F.array_join(p["chain"], " ").alias("chain")))
+    chains = F.flatten(F.transform(parts, lambda p: F.transform(
+        p["run"], lambda x: F.xxhash64(F.concat(x, F.lit(" "), p["chain"])))))
     every = F.transform(F.regexp_extract_all(F.col(n), F.lit(r"(?<= )(?=([^ ]+ [^ ]+) )"), F.lit(1)),
                         lambda x: F.xxhash64(x))
     return (df.withColumn(n, normalized(text))
-            .withColumn(s, F.regexp_extract_all(F.col(n), F.lit(_chain_pattern(anchors, chain)), F.lit(1)))
+            .withColumn(s, F.regexp_extract_all(F.col(n), F.lit(_run_pattern(anchors, chain)), F.lit(1)))
+            .withColumn(c, chains)
             .withColumn(out, F.array_sort(F.array_distinct(
                 F.when(F.trim(n) == "", F.array().cast("array<bigint>"))
                 .when(words == 1, F.array(F.xxhash64(n)))
-                .when(F.size(s).cast("long") * SPARSE >= words, chains)
+                .when(F.size(c) > 0, F.col(c))
                 .otherwise(every))))
-            .drop(n, s))
+            .drop(n, s, c))
 
 
 def digest(sigs: Column) -> Column:
@@ -121,11 +131,11 @@ def with_next(df: DataFrame) -> DataFrame:
     the last with the first.
 
     Rows move once, to buckets of neighbouring ids; the first row of each bucket is copied to
-    the bucket before it. The driver sees the bucket bounds only (one per BUCKET_BYTES).
+    the bucket before it. The buckets' first keys are a small table of their own (one row per
+    BUCKET_BYTES), joined by bucket and key; the driver sees at most MAX_CUTS quantiles.
     """
     base = id_text(df).withColumn("text", F.coalesce("text", F.lit(""))) \
                       .withColumn("d", F.coalesce("doc_id", F.lit(_MIN).cast("long")))
-    spark = df.sparkSession
     size, lowest, highest = base.agg(F.sum(F.octet_length("text")), F.min("d"), F.max("d")).first()
     n = int(max(1, math.ceil((size or 0) / BUCKET_BYTES)))
     pieces = min(n, MAX_CUTS)
@@ -144,19 +154,23 @@ def with_next(df: DataFrame) -> DataFrame:
         base = base.withColumn("bucket", F.lit(0))
     # the order inside a bucket; the first row of a bucket is its smallest key
     base = base.withColumn("key", F.struct("d", F.xxhash64("text").alias("t")))
-    firsts = base.groupBy("bucket").agg(F.min("key").alias("first")).orderBy("bucket").collect()
-    heads = [(r["first"]["d"], r["first"]["t"], firsts[i - 1]["bucket"]) for i, r in enumerate(firsts)]
-    head = spark.createDataFrame(heads, "hd long, ht long, to int") if heads else None
+    firsts = stored(global_prefix(base.groupBy("bucket").agg(F.min("key").alias("first")), ["bucket"])
+                    .select("row_index", F.col("bucket").cast("int").alias("bucket"), "first.d", "first.t"), "spot-heads")
+    total = firsts.count()
+    before = firsts.select(F.pmod(F.col("row_index") + 1, F.lit(max(1, total))).alias("row_index"),
+                           F.col("bucket").alias("to"))
+    head = firsts.join(before, "row_index").select(F.col("bucket").alias("hb"), F.col("d").alias("hd"),
+                                                   F.col("t").alias("ht"), "to")
     base = base.withColumn("copy", F.lit(False))
-    if head is not None:
-        # one copy of a head, also where equal rows repeat it
-        extra = (base.join(F.broadcast(head), (F.col("key.d") == F.col("hd")) & (F.col("key.t") == F.col("ht")))
-                 .groupBy("hd", "ht", "to").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
-                 .select("doc_id", "text", F.col("hd").alias("d"), F.col("to").alias("bucket"),
-                         F.struct(F.col("hd").alias("d"), F.col("ht").alias("t")).alias("key"),
-                         F.lit(True).alias("copy")))
-        base = base.unionByName(extra)
-    signed = with_signatures(base.repartition("bucket"), F.col("text"), "sigs")
+    # one copy of a head, also where equal rows repeat it
+    extra = (base.join(head, (F.col("bucket") == F.col("hb")) & (F.col("key.d") == F.col("hd"))
+                       & (F.col("key.t") == F.col("ht")))
+             .groupBy("hd", "ht", "to").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+             .select("doc_id", "text", F.col("hd").alias("d"), F.col("to").alias("bucket"),
+                     F.struct(F.col("hd").alias("d"), F.col("ht").alias("t")).alias("key"),
+                     F.lit(True).alias("copy")))
+    moved = base.unionByName(extra).repartitionById(max(1, min(total, MAX_TASKS)), F.col("bucket").cast("int"))
+    signed = with_signatures(moved, F.col("text"), "sigs")
     # a copy comes last in its bucket whatever its key: the bucket of the last document holds
     # the very first one
     w = Window.partitionBy("bucket").orderBy("copy", "key")

@@ -164,6 +164,11 @@ def solve_lambda(scores: list[float], shares: list[float], gap: float = GAP) ->
     return hi
 
 
+def _among(ids: pa.Array, known: np.ndarray) -> np.ndarray:
+    """Which ids are known; compared as 64-bit integers also beside null ids."""
+    return pc.is_in(ids, pa.array(known)).to_numpy(zero_copy_only=False)
+
+
 def _labelled(labels: DataFrame, max_labelled: int) -> DataFrame:
     """(doc_id, toxic) of at most about ``max_labelled`` rows."""
     one = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
@@ -188,11 +193,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
         return Model(base=min(base, 0.05))
 
     def toxic_counts():
-        ids = pa.array(toxic_ids)
+        ids = toxic_ids
 
         def run(b):
             c: Counter = Counter()
-            for t in b.filter(pc.is_in(b["doc_id"], ids))["text"].to_pylist():
+            for t in b.filter(pa.array(_among(b["doc_id"], ids)))["text"].to_pylist():
                 c.update(features(words_of(t)))
             yield pa.RecordBatch.from_arrays([pa.array(list(c.keys()), pa.string()),
                                               pa.array(list(c.values()), pa.int64())], ["feature", "n"])
@@ -213,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
         def run(b):
             every, clean = Counter(), Counter()
             n_all = n_clean = 0
-            known = np.isin(b["doc_id"].to_numpy(zero_copy_only=False), ids)
+            known = _among(b["doc_id"], ids)
             for t, is_clean in zip(b["text"].to_pylist(), known):
                 f = features(words_of(t))
                 n_all += len(f)
@@ -248,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
 
         def run(b):
             c: Counter = Counter()
-            known = np.isin(b["doc_id"].to_numpy(zero_copy_only=False), ids)
+            known = _among(b["doc_id"], ids)
             for t in b.filter(pa.array(known))["text"].to_pylist():
                 words = words_of(t)
                 hits = model.hits(words)
@@ -271,8 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
         tox, cl = toxic_ids, clean_ids
 
         def run(b):
-            ids = b["doc_id"].to_numpy(zero_copy_only=False)
-            is_t, is_c = np.isin(ids, tox), np.isin(ids, cl)
+            is_t, is_c = _among(b["doc_id"], tox), _among(b["doc_id"], cl)
             part = b.filter(pa.array(is_t | is_c))
             weight, n_c, none_t, none = 0.0, 0, 0, 0
             for t, toxic in zip(part["text"].to_pylist(), is_t[is_t | is_c]):
