@@ -342,6 +342,9 @@ def test_spotsigs_many_buckets(docs, monkeypatch):
     one = {tuple(r) for r in spotsigs.compare_with_edits(docs).collect()}
     monkeypatch.setattr(spotsigs, "BUCKET_BYTES", 20_000)
     assert {tuple(r) for r in spotsigs.compare_with_edits(docs).collect()} == one
+    monkeypatch.setattr(spotsigs, "MAX_BROADCAST_HEADS", 0)
+    monkeypatch.setattr(spotsigs, "MAX_TASKS", 3)
+    assert {tuple(r) for r in spotsigs.compare_with_edits(docs).collect()} == one
     monkeypatch.setattr(spotsigs, "MAX_CUTS", 4)
     assert {tuple(r) for r in spotsigs.compare_with_edits(docs).collect()} == one
     assert spotsigs.compare_with_edits(docs.where("false")).count() == 0

@@ -55,6 +55,7 @@ ANCHORS = list(dict.fromkeys((
 CHAIN = 2
 BUCKET_BYTES = 16 << 20            # text bytes aimed at in a bucket of neighbouring documents
 MAX_CUTS = 256                     # quantiles of the ids that the driver computes
+MAX_BROADCAST_HEADS = 500_000      # first keys (28 bytes each) that are broadcast; more: a shuffle join
 MAX_TASKS = 20_000                 # tasks of the exchange; beyond, a task has several buckets
 _MIN = -(1 << 62)                  # order of a null id
 
@@ -161,6 +162,8 @@ def with_next(df: DataFrame) -> DataFrame:
                            F.col("bucket").alias("to"))
     head = firsts.join(before, "row_index").select(F.col("bucket").alias("hb"), F.col("d").alias("hd"),
                                                    F.col("t").alias("ht"), "to")
+    # their number is known here: beyond the bound the join shuffles, with the same rows
+    head = F.broadcast(head) if total <= MAX_BROADCAST_HEADS else head
     base = base.withColumn("copy", F.lit(False))
     # one copy of a head, also where equal rows repeat it
     extra = (base.join(head, (F.col("bucket") == F.col("hb")) & (F.col("key.d") == F.col("hd"))
