@@ -102,3 +102,39 @@ _NNZ = " + ".join([f"CASE WHEN t.{c} <> 0 THEN 1 ELSE 0 END" for c in _FN] +
                   [f"CASE WHEN t.{c} IN (SELECT DISTINCT {c} FROM trfeat) THEN 1 ELSE 0 END" for c in _FC])
 add("assemble_features", tq(f"SELECT t.patient_id, CAST({_NFEAT} AS INTEGER) AS n_features, "
                             f"CAST({_NNZ} AS INTEGER) AS nnz FROM tefeat t"))
+
+# position = numeric features first, then each column's train categories in order.
+_SLOTS = " UNION ALL ".join(
+    [f"SELECT {i} AS position, '{c}' AS name, '{c}' AS col, NULL AS category" for i, c in enumerate(_FN)]
+    + [f"SELECT CAST({len(_FN)} + " + "".join(f"(SELECT count(DISTINCT {b}) FROM trfeat) + " for b in _FC[:i])
+       + f"row_number() OVER (ORDER BY {c}) - 1 AS INTEGER), '{c}__ohe_' || {c}, '{c}', {c} FROM (SELECT DISTINCT {c} FROM trfeat WHERE {c} IS NOT NULL)"
+       for i, c in enumerate(_FC)])
+_ENTRIES = " UNION ALL ".join(
+    [f"SELECT patient_id, '{c}' AS col, NULL AS category, CAST({c} AS DOUBLE) AS value FROM tefeat WHERE {c} <> 0" for c in _FN]
+    + [f"SELECT patient_id, '{c}', {c}, 1.0 FROM tefeat" for c in _FC])
+add("assemble_feature_values", tq(
+    f"SELECT e.patient_id, s.position, s.name, e.value FROM ({_ENTRIES}) e JOIN ({_SLOTS}) s "
+    "ON e.col = s.col AND e.category IS NOT DISTINCT FROM s.category"))
+# A reloaded model gives every test row the same probability.
+add("save_load_model", tq("SELECT count(*) AS joined_rows, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, "
+                          "CAST(0 AS DOUBLE) AS max_abs_diff, 1 AS all_close FROM te"))
+_CONTRIB = """
+WITH c AS (
+  SELECT o_orderkey AS key, 'f1' AS feature, ((o_orderkey % 41) - 20) / CAST(64 AS DOUBLE) AS value FROM orders
+  UNION ALL SELECT o_orderkey, 'f2', ((o_orderkey * 3) % 41 - 20) / CAST(64 AS DOUBLE) FROM orders
+  UNION ALL SELECT o_orderkey, 'f3', ((o_orderkey * 7) % 41 - 20) / CAST(64 AS DOUBLE) FROM orders
+  UNION ALL SELECT o_orderkey, 'f4', ((o_orderkey * 11) % 41 - 20) / CAST(64 AS DOUBLE) FROM orders
+  UNION ALL SELECT o_orderkey, 'f5', ((o_orderkey * 19) % 41 - 20) / CAST(64 AS DOUBLE) FROM orders
+  UNION ALL SELECT o_orderkey, 'price', (CAST(floor(o_totalprice) AS BIGINT) % 97 - 48) / CAST(128 AS DOUBLE) FROM orders
+  UNION ALL SELECT o_orderkey, '__base__', CAST(0.25 AS DOUBLE) FROM orders)
+"""
+add("additivity_check_orders", _CONTRIB + """,
+ t AS (SELECT key, sum(value) AS total, sum(value) + (key % 5) / CAST(64 AS DOUBLE) AS margin FROM c GROUP BY key)
+SELECT count(*) AS rows, max(abs(total - margin)) AS max_margin_diff,
+       max(abs(1 / (1 + exp(-2 * total)) - 1 / (1 + exp(-2 * margin)))) AS max_probability_diff FROM t""")
+add("mean_abs_contribution_orders", _CONTRIB + """
+SELECT feature, avg(abs(value)) AS mean_abs_contribution FROM c WHERE feature <> '__base__'
+GROUP BY feature ORDER BY 2 DESC, 1 LIMIT 4""")
+add("row_contributions_orders", _CONTRIB + """
+SELECT key, feature, value FROM c WHERE key = (SELECT min(o_orderkey) FROM orders) AND feature <> '__base__'
+ORDER BY abs(value) DESC, feature LIMIT 3""")

@@ -203,6 +203,10 @@ UNION ALL SELECT 'below_zero', CAST(sum(CASE WHEN p < 0 THEN 1 ELSE 0 END) AS BI
 UNION ALL SELECT 'above_one', CAST(sum(CASE WHEN p > 1 THEN 1 ELSE 0 END) AS BIGINT), 0, CAST(sum(CASE WHEN p > 1 THEN 1 ELSE 0 END) = 0 AS INTEGER) FROM s
 UNION ALL SELECT 'row_count', count(*), (SELECT count(*) FROM orders), 1 FROM s""")
 add("score_alignment", """
-SELECT count(*) AS joined_rows, max(abs(round(o_totalprice / 500000.0, 2) - o_totalprice * 0.000002)) AS max_abs_diff,
-       CAST(min(CASE WHEN abs(round(o_totalprice / 500000.0, 2) - o_totalprice * 0.000002) <= 0.005 THEN 1 ELSE 0 END) AS INTEGER) AS all_close
-FROM orders""")
+WITH a AS (SELECT o_orderkey AS k, o_orderkey % 3 = 0 AS y, round(o_totalprice / 500000.0, 2) AS p FROM orders),
+     b AS (SELECT o_orderkey AS k, o_orderkey % 3 = 0 AS y, o_totalprice * 0.000002 AS q FROM orders),
+     j AS (SELECT a.k AS ka, b.k AS kb, abs(p - q) AS d FROM a FULL JOIN b ON a.k = b.k AND a.y = b.y)
+SELECT count(*) FILTER (WHERE ka IS NOT NULL AND kb IS NOT NULL) AS joined_rows, count(*) FILTER (WHERE kb IS NULL) AS only_left,
+       count(*) FILTER (WHERE ka IS NULL) AS only_right, max(d) AS max_abs_diff,
+       CAST(min(CASE WHEN d <= 0.005 THEN 1 ELSE 0 END) AS INTEGER) AS all_close
+FROM j""")

@@ -125,3 +125,14 @@ def test_assignment_order_is_restored(spark):
     base = spark.createDataFrame([(1, 0), (2, 1), (5, None), (9, 1)], "patient_id long, treatment_outcome int")
     rows = SP.join_one_to_one(SP.with_assignment_order(assign, ["split", "patient_id"]), base, "patient_id").collect()
     assert [(r["assignment_order"], r["patient_id"]) for r in rows] == [(0, 2), (1, 9), (2, 1)]
+
+
+def test_score_alignment_counts_unmatched_keys(spark):
+    from wardstat.operators import validate as VA
+    a = spark.createDataFrame([(1, 0.5), (2, 0.25), (None, 0.1)], "k long, p double")
+    b = spark.createDataFrame([(1, 0.5), (3, 0.25), (4, 0.5)], "k long, q double")
+    r = VA.score_alignment(a, b, ["k"], "p", "q").first()
+    assert tuple(r) == (1, 2, 2, 0.0, 0)
+    assert tuple(VA.score_alignment(a.where("k = 1"), b, ["k"], "p", "q").first()) == (1, 0, 2, 0.0, 0)
+    assert tuple(VA.score_alignment(a.where("k = 1"), b.where("k = 1"), ["k"], "p", "q").first()) == (1, 0, 0, 0.0, 1)
+    assert tuple(VA.score_alignment(a.where("false"), b.where("false"), ["k"], "p", "q").first()) == (0, 0, 0, None, None)

@@ -155,6 +155,15 @@ def feature_names(df_with_features: DataFrame, col: str = "features") -> list[st
     return [a["name"] for a in sorted(attrs, key=lambda a: a["idx"])]
 
 
+def feature_values(encoded: DataFrame, key: str, names: list[str], col: str = "features") -> DataFrame:
+    """T10, long: (key, position, name, value) of every non-zero entry of the assembled vector;
+    ``names`` are the encoded names in their order (as many as the model has features)."""
+    from pyspark.ml.functions import vector_to_array
+    at = encoded.select(key, F.posexplode(vector_to_array(col)).alias("position", "value"))
+    return at.where(F.col("value") != 0).select(
+        key, "position", F.get(F.array(*[F.lit(n) for n in names]), F.col("position")).alias("name"), "value")
+
+
 def one_hot_long(encoded: DataFrame, key: str, cat_cols=V.FEATURE_CATEGORICAL, drop_first: bool = False) -> DataFrame:
     """Long form of the one-hot block: (key, feature, category) for every 1 entry.
     ``drop_first`` (T08) removes the alphabetically first train category."""

@@ -207,9 +207,14 @@ def probability_validity(scores: DataFrame, prob: str, expected_rows: DataFrame
 
 def score_alignment(a: DataFrame, b: DataFrame, keys: list[str], col_a: str, col_b: str,
                     atol: float = 1e-12, rtol: float = 0.0) -> DataFrame:
-    """Composite-key join; max abs difference; all within atol + rtol*|b|."""
-    j = a.select(*keys, F.col(col_a).alias("__a")).join(b.select(*keys, F.col(col_b).alias("__b")), keys)
+    """Composite-key full join; max abs difference of the matched rows; all within
+    atol + rtol*|b|. A key of one side only (a NULL key never matches) is counted and is not close."""
+    x = a.select(*keys, F.col(col_a).alias("__a"), F.lit(True).alias("__in_a"))
+    y = b.select(*keys, F.col(col_b).alias("__b"), F.lit(True).alias("__in_b"))
+    j = x.join(y, keys, "full")
+    left, right = F.coalesce("__in_a", F.lit(False)), F.coalesce("__in_b", F.lit(False))
     d = F.abs(F.col("__a") - F.col("__b"))
-    return j.agg(F.count(F.lit(1)).cast("long").alias("joined_rows"),
-                 F.max(d).alias("max_abs_diff"),
-                 F.min(F.when(d <= atol + rtol * F.abs(F.col("__b")), 1).otherwise(0)).cast("int").alias("all_close"))
+    return j.agg(F.count_if(left & right).alias("joined_rows"),
+                 F.count_if(left & ~right).alias("only_left"), F.count_if(right & ~left).alias("only_right"),
+                 F.max(F.when(left & right, d)).alias("max_abs_diff"),
+                 F.min(F.when(left & right & (d <= atol + rtol * F.abs(F.col("__b"))), 1).otherwise(0)).cast("int").alias("all_close"))

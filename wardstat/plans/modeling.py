@@ -10,6 +10,7 @@ from ..operators import metrics as ME
 from ..operators import models as MO
 from ..operators import preprocess as PP
 from ..operators import validate as VA
+from ..sources import tables as T
 from .clinical import _memo, patients
 from .profiling import scratch_path
 from .registry import register
@@ -129,6 +130,13 @@ def assemble_features(spark, sf):
                       F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"))
 
 
+@register("assemble_feature_values")
+def assemble_feature_values(spark, sf):
+    """Every non-zero entry of the assembled test vectors with its name."""
+    enc = encoder(spark, sf).transform(features_of(spark, sf, "test"))
+    return PP.feature_values(enc, "patient_id", PP.feature_names(enc))
+
+
 # ------------------------------------------------------------------ M01-M10
 def trained(spark, sf, name):
     k = (spark.sparkContext.applicationId, sf, f"model_{name}")
@@ -249,3 +257,42 @@ def row_contributions(spark, sf):
     from ..operators import explain as EX
     first = features_of(spark, sf, "test").agg(F.min("patient_id")).first()[0]
     return EX.row_contributions(contributions(spark, sf), first)
+
+
+# X02-X04 over contributions that SQL can check: dyadic values derived from ``orders``, so sums are exact.
+ORDER_FACTORS = {"f1": 1, "f2": 3, "f3": 7, "f4": 11, "f5": 19}
+
+
+def order_contributions(spark, sf):
+    """(key, feature, value): five features from the order key, one from the price, one base row."""
+    o = T.table(spark, sf, "orders")
+    values = [F.struct(F.lit(f).alias("feature"), ((F.pmod(F.col("o_orderkey") * m, F.lit(41)) - 20) / F.lit(64.0)).alias("value"))
+              for f, m in ORDER_FACTORS.items()]
+    values.append(F.struct(F.lit("price").alias("feature"),
+                           ((F.floor("o_totalprice").cast("long") % 97 - 48) / F.lit(128.0)).alias("value")))
+    values.append(F.struct(F.lit("__base__").alias("feature"), F.lit(0.25).alias("value")))
+    return o.select(F.col("o_orderkey").alias("key"), F.inline(F.array(*values)))
+
+
+@register("additivity_check_orders")
+def additivity_check_orders(spark, sf):
+    """Margins that are off by up to 4/64, so the two differences are not zero."""
+    from ..operators import explain as EX
+    contrib = order_contributions(spark, sf)
+    margin = F.sum("value") + F.pmod(F.col("key"), F.lit(5)) / F.lit(64.0)
+    scored = contrib.groupBy("key").agg(margin.alias("margin")) \
+        .withColumn("probability", 1.0 / (1.0 + F.exp(-2.0 * F.col("margin"))))
+    return EX.additivity_check(contrib, scored)
+
+
+@register("mean_abs_contribution_orders")
+def mean_abs_contribution_orders(spark, sf):
+    from ..operators import explain as EX
+    return EX.mean_abs_contribution(order_contributions(spark, sf), top=4)
+
+
+@register("row_contributions_orders")
+def row_contributions_orders(spark, sf):
+    from ..operators import explain as EX
+    first = T.table(spark, sf, "orders").agg(F.min("o_orderkey")).first()[0]
+    return EX.row_contributions(order_contributions(spark, sf), first, top=3)
