@@ -46,6 +46,7 @@ TOP = 2000
 SHARD = 1 << 19                    # candidates of a broadcast trie; codes of a word slice
 WINDOW = 1 << 18                   # bytes of text that are tokenized at once
 HELD = 1 << 18                     # distinct keys that a task holds before it passes counts on
+FILTER_BITS = 26                   # 2^26 places: 8 MB, however many the candidates
 SALTS = 64
 DEC = "decimal(38,0)"
 SEEDS = 8
@@ -388,11 +389,27 @@ def _columns(length: int) -> list[str]:
     return [f"c{i}" for i in range(1, length + 1)]
 
 
-def _extensions(codes: DataFrame, trie, words, length: int, whole: bool) -> DataFrame:
+def _places(columns: list[np.ndarray]) -> np.ndarray:
+    """The places of phrases, given word by word, in the candidates' bitmap."""
+    h = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        h = _mix((h ^ c.view(np.uint64)) + np.uint64(_BASES[0]))
+    return (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _bitmap(shards, length: int) -> np.ndarray:
+    """Bits set at the places of the shards' phrases (arrays of rows, one shard at a time)."""
+    marked = np.zeros(1 << FILTER_BITS, bool)
+    for rows in shards:
+        marked[_places([np.ascontiguousarray(rows[:, j]) for j in range(length)])] = True
+    return np.packbits(marked, bitorder="little")
+
+
+def _extensions(codes: DataFrame, trie, words, tails, length: int) -> DataFrame:
     """(key, n): places where a phrase of length - 1 words is followed by one of ``words`` (sorted
-    codes), as partial counts of the tasks; key: number of the phrase and place of the word in one
-    (see _spelled). ``trie``, ``words``: broadcasts. ``whole``: the trie has all phrases of
-    length - 1, so one must stand at the next word too."""
+    codes) and the last length - 1 words may be a candidate too, as partial counts of the tasks; key:
+    number of the phrase and place of the word in one (see _spelled). ``trie``, ``words``, ``tails``
+    (bitmap; None for pairs): broadcasts."""
     def run(batches):
         t, known = trie.value, words.value
         wide = len(known) + 1
@@ -418,9 +435,9 @@ def _extensions(codes: DataFrame, trie, words, length: int, whole: bool) -> Data
             phrase = t.number[state].astype(np.int64)
             ok = phrase >= 0
             pos, phrase = pos[ok], phrase[ok]
-            if whole:
-                ok = np.zeros(len(pos), bool)
-                ok[:-1] = pos[1:] == pos[:-1] + 1
+            if tails is not None:
+                place = _places([x[pos + j] for j in range(1, length)])
+                ok = (tails.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
                 pos, phrase = pos[ok], phrase[ok]
             after = x[pos + length - 1]
             at = np.minimum(np.searchsorted(known, after), len(known) - 1)
@@ -515,24 +532,25 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "
     for length in range(2, LONGEST + 1):
         cols, found = _columns(length), None
         parts = _shards(levels[-1], shard)
+        # pairs need none: their last word is looked up itself
+        tails = spark.sparkContext.broadcast(_bitmap((_fetch(p, length - 1) for p in parts), length - 1)) if length > 2 and parts else None
         for part in parts:
             trie, rows = (spark.sparkContext.broadcast(x) for x in build_trie(_fetch(part, length - 1)))
             for some in word_slices():
                 known = spark.sparkContext.broadcast(some)
                 # written before the broadcasts go
-                often = (_extensions(codes, trie, known, length, len(parts) == 1).groupBy("key").agg(F.sum("n").alias("n"))
+                often = (_extensions(codes, trie, known, tails, length).groupBy("key").agg(F.sum("n").alias("n"))
                          .where(F.col("n") >= min_count))
                 got = stored(_spelled(often, rows, known, length).select(*cols), f"phrases-{length}")
                 found = got if found is None else found.unionByName(got)
                 known.unpersist()
             trie.unpersist()
             rows.unpersist()
+        if tails is not None:
+            tails.unpersist()
         if found is None:
             break
-        if length > 2 and len(parts) > 1:    # the last words too have to be a candidate
-            tail = levels[-1].toDF(*cols[1:])
-            found = found.join(tail, cols[1:], "left_semi").select(*cols)
-        levels.append(stored(found, f"candidates-{length}"))
+        levels.append(found)
     counted = None
     every = None
     for length, level in enumerate(levels[1:], start=2):
