@@ -46,6 +46,7 @@ TOP = 2000
 SHARD = 1 << 19                    # candidates of a broadcast trie; codes of a word slice
 WINDOW = 1 << 18                   # bytes of text that are tokenized at once
 HELD = 1 << 18                     # distinct keys that a task holds before it passes counts on
+#                                    (summed there, so they go to their key's task as they are)
 FILTER_BITS = 26                   # 2^26 places: 8 MB, however many the candidates
 SALTS = 64
 DEC = "decimal(38,0)"
@@ -215,7 +216,7 @@ def count_words(docs: DataFrame, seed: int) -> DataFrame:
         if size:
             yield from rows(merged())
     part = _pass(docs, run, "code long, rest long, lang string, word string, n long")
-    return part.groupBy("code", "lang", "word").agg(F.sum("n").alias("f"))
+    return part.repartition("code").groupBy("code", "lang", "word").agg(F.sum("n").alias("f"))
 
 
 def whole_pieces(windows):
@@ -539,7 +540,7 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "
             for some in word_slices():
                 known = spark.sparkContext.broadcast(some)
                 # written before the broadcasts go
-                often = (_extensions(codes, trie, known, tails, length).groupBy("key").agg(F.sum("n").alias("n"))
+                often = (_extensions(codes, trie, known, tails, length).repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
                          .where(F.col("n") >= min_count))
                 got = stored(_spelled(often, rows, known, length).select(*cols), f"phrases-{length}")
                 found = got if found is None else found.unionByName(got)
@@ -558,7 +559,7 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "
         every = padded if every is None else every.unionByName(padded)
     for part in _shards(every, shard) if every is not None else []:
         trie, rows = (spark.sparkContext.broadcast(x) for x in build_trie(_fetch(part, LONGEST)))
-        got = stored(_spelled(_counts(codes, trie).groupBy("key").agg(F.sum("n").alias("n")), rows, None, LONGEST)
+        got = stored(_spelled(_counts(codes, trie).repartition("key").groupBy("key").agg(F.sum("n").alias("n")), rows, None, LONGEST)
                      .withColumnRenamed("n", "f"), "phrase-counts")
         counted = got if counted is None else counted.unionByName(got)
         trie.unpersist()
