@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_path
 from .common import BATCH_BYTES, BATCH_ROWS, stored, take
 
 MIN_COUNT = 30
@@ -52,6 +53,7 @@ SALTS = 64
 DEC = "decimal(38,0)"
 SEEDS = 8
 CODE_BYTES = 1 << 19               # of a batch of codes
+CODE_GROUP = 4 << 20               # bytes of a row group of the code table: a scan holds a group's codes at once
 
 
 # ------------------------------------------------------------------ codes
@@ -246,6 +248,14 @@ def encode(docs: DataFrame, seed: int) -> DataFrame:
     return _pass(docs, run, "codes array<bigint>")
 
 
+def _stored_codes(codes: DataFrame) -> DataFrame:
+    """Written to the shared folder in small row groups: rows are long arrays, and a columnar scan
+    would hold thousands of them."""
+    path = shared_path(codes.sparkSession, "tables/llm-codes")
+    codes.write.option("parquet.block.size", CODE_GROUP).option("parquet.page.size.row.check.min", 4).parquet(path)
+    return codes.sparkSession.read.parquet(path)
+
+
 # ------------------------------------------------------------------ tries
 @dataclass
 class Trie:
@@ -518,7 +528,7 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "
             break
     else:
         raise RuntimeError("collocations: no seed gives distinct codes")
-    codes = stored(encode(docs, seed), "codes")
+    codes = _stored_codes(encode(docs, seed))
     frequent = stored(words.where(F.col("f") >= min_count).select(F.col("code").alias("c1")), "frequent")
     slices = [np.sort(_fetch(p, 1)[:, 0]) for p in _shards(frequent, shard)] if frequent.count() <= shard else None
 
