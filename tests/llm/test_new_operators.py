@@ -285,6 +285,21 @@ def test_collocations_edges(spark):
     check_collocations(df.where("lang = 'xx'"))
 
 
+def test_bitmap_holds_every_candidate_of_all_shards():
+    rng = np.random.default_rng(11)
+    rows = rng.integers(-(1 << 62), 1 << 62, (5000, 4))
+    rows[:, 3] = 0
+    bits = collocations._bitmap([rows[:1000], rows[1000:4000]], 3)
+
+    def held(x):
+        place = collocations._places([np.ascontiguousarray(x[:, j]) for j in range(3)])
+        return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+    assert len(bits) == 1 << (collocations.FILTER_BITS - 3)
+    assert held(rows[:4000]).all() and held(rows[4000:]).mean() < 0.05
+    assert held(rows[:4000, [1, 0, 2]]).mean() < 0.05            # the order of the words counts
+    assert not collocations._bitmap([], 3).any()
+
+
 def test_trie_accepts_its_phrases_only():
     rng = np.random.default_rng(7)
     phrases = {tuple(rng.integers(1, 40, int(rng.integers(1, 5)))) for _ in range(900)}
