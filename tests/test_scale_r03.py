@@ -59,3 +59,18 @@ def test_dates_by_their_separators(spark, text, day):
     df = spark.createDataFrame([(text,)], "d string")
     plan = df.select(X.parse_mixed_date("d").alias("d"))
     assert plan.first()[0] == (datetime.date(*day) if day else None)
+
+
+def test_quantiles_do_not_unpivot_the_rows(spark, monkeypatch):
+    """Every row of a round's aggregation is a task's count, not a value; results stay exact."""
+    import numpy as np
+    from wardstat.functions import stats
+    monkeypatch.setattr(stats, "long_values", lambda *a, **k: pytest.fail("rows unpivoted"))
+    n = 20000
+    df = spark.range(0, n, 1, 4).select((F.col("id") % 97).alias("a"), F.when(F.col("id") % 3 > 0, F.sqrt("id")).alias("b`c"),
+                                        F.lit(None).cast("double").alias("none"))
+    got = {(r[0], r[1]): r[2] for r in stats.exact_quantiles(df, ["a", "none"], [0.25, 0.5]).collect()}
+    ids = np.arange(n)
+    assert got == {("a", 0.25): np.quantile(ids % 97, 0.25), ("a", 0.5): np.quantile(ids % 97, 0.5), ("none", 0.25): None, ("none", 0.5): None}
+    b = df.select(F.col("`b``c`").alias("b"))
+    assert stats.exact_quantiles(b, ["b"], [0.9]).first()[2] == pytest.approx(np.quantile(np.sqrt(ids[ids % 3 > 0]), 0.9), rel=1e-12)
