@@ -74,3 +74,63 @@ def test_quantiles_do_not_unpivot_the_rows(spark, monkeypatch):
     assert got == {("a", 0.25): np.quantile(ids % 97, 0.25), ("a", 0.5): np.quantile(ids % 97, 0.5), ("none", 0.25): None, ("none", 0.5): None}
     b = df.select(F.col("`b``c`").alias("b"))
     assert stats.exact_quantiles(b, ["b"], [0.9]).first()[2] == pytest.approx(np.quantile(np.sqrt(ids[ids % 3 > 0]), 0.9), rel=1e-12)
+
+
+def _random_trees(rng, n_trees, depth, features):
+    import pandas as pd
+    from wardstat.operators import explain as EX
+    rows = []
+
+    def add(tree, level, cover, ids):
+        my = len(ids)
+        ids.append(my)
+        r = {"treeID": tree, "id": my, "prediction": float(rng.normal()), "cover": cover, "left": -1, "right": -1,
+             "feature": -1, "cats": [0.0], "num_categories": -1}
+        rows.append(r)
+        if level < depth and (level < 1 or rng.random() < 0.9):
+            r["feature"], share = int(rng.integers(0, features)), rng.uniform(0.2, 0.8)
+            if r["feature"] == 0:                            # a categorical feature of four values
+                r["cats"], r["num_categories"] = [0.0, 2.0], 4
+            else:
+                r["cats"] = [float(rng.normal())]
+            r["left"] = add(tree, level + 1, cover * share, ids)
+            r["right"] = add(tree, level + 1, cover * (1 - share), ids)
+        return my
+    for t in range(n_trees):
+        add(t, 0, 100.0, [])
+    return EX.compile_trees(pd.DataFrame(rows), pd.DataFrame({"treeID": range(n_trees), "weights": rng.uniform(0.1, 1, n_trees)}))
+
+
+def test_contributions_are_computed_once_a_pattern(monkeypatch):
+    """The Shapley sums run over the 2^d patterns of a leaf, whatever the number of rows; paths too deep
+    for a table give the same values row by row."""
+    import numpy as np
+    from wardstat.operators import explain as EX
+    rng = np.random.default_rng(5)
+    trees = _random_trees(rng, 6, 5, 4)
+    X = np.column_stack([rng.integers(0, 4, 500), rng.normal(size=(500, 3))]).astype(float)
+    wide, slot_values = [], EX._slot_values
+    monkeypatch.setattr(EX, "_slot_values", lambda t, a: wide.append(a.shape[2]) or slot_values(t, a))
+    phi, base = EX.tree_contributions_batch(X, trees)
+    assert max(wide) <= 2 ** 5
+    monkeypatch.setattr(EX, "PATTERN_BITS", 0)
+    by_row, base_by_row = EX.tree_contributions_batch(X, trees)
+    assert wide[-1] == 500 and base == pytest.approx(base_by_row)
+    assert np.allclose(phi, by_row, atol=1e-12)
+
+
+def test_contributions_of_a_frame(spark, monkeypatch):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+    from wardstat.operators import explain as EX
+    monkeypatch.setattr(EX, "ROWS_AT_ONCE", 3)
+    rng = np.random.default_rng(8)
+    trees = _random_trees(rng, 3, 4, 2)
+    X = np.column_stack([rng.integers(0, 4, 10), rng.normal(size=10)]).astype(float)
+    keys = [1, 1, None, *range(4, 11)]                       # repeated and missing keys keep their rows
+    df = spark.createDataFrame([(k, Vectors.dense(x)) for k, x in zip(keys, X)], ["k", "f"])
+    got = EX.tree_contributions(df, "k", "f", trees, ["c", "x"]).collect()
+    phi, base = EX.tree_contributions_batch(X, trees)
+    want = [(k, f, v) for k, p in zip(keys, phi) for f, v in (("c", p[0]), ("x", p[1]), ("__base__", base))]
+    order = lambda rows: sorted(((-1 if k is None else k), f, round(v, 9)) for k, f, v in rows)     # noqa: E731
+    assert order(got) == order(want)
