@@ -39,9 +39,15 @@ TUNING_CONFIGS = [
 ]
 
 
+def assigned(spark, sf):
+    """The labelled patients with their split, joined once for all splits. The assignments grow with the
+    patients, and their files are far smaller than their rows, so they are never broadcast."""
+    return _memo(spark, sf, "assigned", lambda: patients(spark, sf).join(
+        assignments(spark, sf).select("patient_id", "split").hint("merge"), "patient_id"))
+
+
 def split_frame(spark, sf, split):
-    a = assignments(spark, sf).where(F.col("split") == split).select("patient_id")
-    return patients(spark, sf).join(a, "patient_id")
+    return assigned(spark, sf).where(F.col("split") == split).drop("split")
 
 
 def predictors(df):
@@ -57,11 +63,11 @@ def fitted(spark, sf):
 
 
 def features_of(spark, sf, split):
-    """T05 output for a split, with the target re-attached for training / scoring."""
+    """T05 output for a split, with the target carried along for training / scoring."""
     def build():
-        df = split_frame(spark, sf, split)
-        f = PP.apply(predictors(df), fitted(spark, sf))
-        return f.join(df.select("patient_id", V.TARGET), "patient_id")
+        df = split_frame(spark, sf, split).select("patient_id", V.TARGET, *V.PREDICTORS)
+        f = PP.apply(df, fitted(spark, sf), extra_ok=("patient_id", V.TARGET))
+        return f.select(*[c for c in f.columns if c != V.TARGET], V.TARGET)
     return _memo(spark, sf, f"features_{split}", build)
 
 
