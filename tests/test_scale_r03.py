@@ -160,3 +160,35 @@ def test_splits_are_joined_once_and_never_broadcast(spark, monkeypatch):
     assert got == {i: i % 2 for i in range(0, 290, 5)} and f.columns[-1] == V.TARGET
     want = PP.apply(rows.where("patient_id % 5 = 0 and patient_id < 290").select("patient_id", *V.PREDICTORS), modeling.fitted(spark, "none"))
     assert sorted(map(tuple, f.drop(V.TARGET).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_fill_looks_at_distinct_demands_only(monkeypatch):
+    """The same sequences as with every example a candidate, over as many candidates as there are demands."""
+    import numpy as np
+    from wardstat.llm import packing as P
+
+    def plain(demand, limits):
+        rel = demand / limits
+        weighted = rel * rel.mean(axis=0)
+        order = list(np.lexsort((np.arange(len(rel)), -weighted.sum(axis=1))))
+        seq, pos, current, k, room = {}, {}, 0, 0, np.ones(3)
+        while order:
+            fit = [i for i in order if (rel[i] <= room + 1e-9).all()]
+            if not fit:
+                current, k, room = current + 1, 0, np.ones(3)
+                continue
+            i = fit[int(np.argmax(weighted[fit] @ room))]
+            seq[i], pos[i], room, k = current, k, room - rel[i], k + 1
+            order.remove(i)
+        return [seq[i] for i in range(len(rel))], [pos[i] for i in range(len(rel))]
+    limits = np.array([2048.0, 128.0, 2048.0])
+    rng = np.random.default_rng(2)
+    length = rng.integers(1, 40, 400) * rng.choice([1, 50], 400)
+    demand = np.column_stack([length, np.ones(400), length - 1]).astype(float)
+    widest, flat = [], np.flatnonzero
+    monkeypatch.setattr(P.np, "flatnonzero", lambda x: widest.append(len(x)) or flat(x))
+    seq, pos = P.fill(demand, limits)
+    assert max(widest) <= len(np.unique(length)) < 100
+    monkeypatch.setattr(P.np, "flatnonzero", flat)
+    assert (list(seq), list(pos)) == plain(demand, limits)
+    assert [len(x) for x in P.fill(demand[:0], limits)] == [0, 0]

@@ -139,27 +139,41 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
 def fill(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(sequence, position in it) of each example; ``demand`` (n, d) within ``limits`` (d)."""
     n = len(demand)
+    if not n:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     rel = demand / limits
     if (rel > 1).any():
         raise ValueError("pack: an example exceeds a limit by itself")
     weighted = rel * rel.mean(axis=0)                             # mean demand weighs the dimensions
     order = np.lexsort((np.arange(n), -weighted.sum(axis=1)))     # heaviest first; ties: input order
-    rel, weighted = rel[order], weighted[order]
+    # examples of one demand are interchangeable, so candidates are the first of each distinct demand
+    kinds, kind = np.unique(demand[order], axis=0, return_inverse=True)
+    queue = np.argsort(kind, kind="stable")                       # positions in ``order``, by kind
+    ends = np.cumsum(np.bincount(kind, minlength=len(kinds)))
+    head = np.concatenate([[0], ends[:-1]])
+    by_head = np.argsort(queue[head], kind="stable")
+    # kinds in the order of their first example; those of one weight stand together
+    rel_k, weighted_k = rel[order][queue[head]][by_head], weighted[order][queue[head]][by_head]
+    head, ends = head[by_head], ends[by_head]
     seq, pos = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
-    rest = np.arange(n)
     current, k, room = 0, 0, np.ones(demand.shape[1])
-    while len(rest):
-        fits = (rel[rest] <= room + 1e-9).all(axis=1)
+    while len(head):
+        fits = (rel_k <= room + 1e-9).all(axis=1)
         if not fits.any():
             current, k, room = current + 1, 0, np.ones(demand.shape[1])
             continue
         at = np.flatnonzero(fits)
-        best = at[int(np.argmax(weighted[rest[at]] @ room))]
-        i = rest[best]
-        seq[order[i]], pos[order[i]] = current, k
-        room = room - rel[i]
+        likeness = weighted_k[at] @ room
+        ties = at[likeness == likeness.max()]
+        best = ties[int(np.argmin(queue[head[ties]]))]            # ties: the earliest example
+        i = order[queue[head[best]]]
+        seq[i], pos[i] = current, k
+        room = room - rel_k[best]
         k += 1
-        rest = np.delete(rest, best)
+        head[best] += 1
+        if head[best] == ends[best]:
+            keep = np.arange(len(head)) != best
+            head, ends, rel_k, weighted_k = head[keep], ends[keep], rel_k[keep], weighted_k[keep]
     return seq, pos
 
 
