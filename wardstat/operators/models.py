@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
+from .perceptron import fit_perceptron
 from .preprocess import feature_names, one_hot_pipeline
 from .splits import class_weights
 
@@ -103,15 +104,21 @@ def dealt(df: DataFrame) -> DataFrame:
 
 def fit_pipeline(train_feats: DataFrame, estimator, weight_scheme: str = "none") -> PipelineModel:
     """Encoder (fit on train) + estimator (or a list of stages), trained on the train split only. The
-    encoded rows of the trees are stored, as they are read several times before the first tree."""
+    encoded rows of the trees are stored, as they are read several times before the first tree; a
+    perceptron caches its own."""
     from ..session import write_table
+    stages = estimator if isinstance(estimator, list) else [estimator]
     if weight_scheme == "oversample":
-        data, enc = oversample_balanced(with_label(train_feats)), one_hot_pipeline()
-        return Pipeline(stages=enc.getStages() + (estimator if isinstance(estimator, list) else [estimator])).fit(data)
+        data = oversample_balanced(with_label(train_feats))
+        *before, last = stages
+        if not isinstance(last, MultilayerPerceptronClassifier):
+            return Pipeline(stages=one_hot_pipeline().getStages() + stages).fit(data)
+        ready = Pipeline(stages=one_hot_pipeline().getStages() + before).fit(data)
+        return PipelineModel(stages=[*ready.stages, fit_perceptron(last, ready.transform(dealt(data)))])
     data = add_weights(with_label(train_feats), weight_scheme)
     enc = one_hot_pipeline().fit(data)
     matrix = write_table(enc.transform(dealt(data)).select(LABEL, "weight", "features"), "fit_matrix")
-    fitted = Pipeline(stages=estimator if isinstance(estimator, list) else [estimator]).fit(matrix)
+    fitted = Pipeline(stages=stages).fit(matrix)
     return PipelineModel(stages=enc.stages + fitted.stages)
 
 
