@@ -44,7 +44,7 @@ MIN_COUNT = 30
 LONGEST = 4
 COVERED = 80                       # percent of a phrase's places at which a longer one covers it
 TOP = 2000
-SHARD = 1 << 19                    # candidates of a broadcast trie; codes of a word slice
+SHARD = 1 << 21                    # candidates of a broadcast trie (some 50 bytes each); codes of a word slice
 WINDOW = 1 << 18                   # bytes of text that are tokenized at once
 HELD = 1 << 18                     # distinct keys that a task holds before it passes counts on
 #                                    (summed there, so they go to their key's task as they are)
@@ -274,6 +274,46 @@ class Trie:
         return np.where(self.symbols[at] == codes, at + 1, 0)
 
 
+class _Slots:
+    """The slots of a double array, as bits: the r-th of eight rows begins at slot r, so the slots from any
+    offset on are a run of whole bytes of one row, and all places of a window are tested at once."""
+
+    def __init__(self, size: int):
+        self.rows = np.zeros((8, 0), np.uint8)
+        self.grow(size)
+        self.take(np.zeros(1, np.int64))
+
+    def grow(self, size: int):
+        self.rows = np.hstack([self.rows, np.zeros((8, size // 8 + 1), np.uint8)])
+
+    def take(self, slots: np.ndarray):
+        for r in range(8):
+            at = slots[slots >= r] - r
+            np.bitwise_or.at(self.rows[r], at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+
+    def room(self, offsets: np.ndarray, start: int) -> tuple[int, int]:
+        """(window, slot): the first slot from window ``start`` (a byte) on that leaves all ``offsets`` free."""
+        wide = 512 if len(offsets) < 16 else 8192
+        shift, skip = (offsets & 7).tolist(), (offsets >> 3).tolist()
+        while True:
+            need = start + wide + skip[-1] + 1
+            if need > self.rows.shape[1]:
+                self.grow(8 * max(need - self.rows.shape[1], self.rows.shape[1] // 4))
+            taken = self.rows[0, start:start + wide].copy()
+            for i, (r, x) in enumerate(zip(shift, skip)):
+                np.bitwise_or(taken, self.rows[r, start + x:start + x + wide], out=taken)
+                if i % 32 == 31 and taken.min() == 255:
+                    break
+            free = np.flatnonzero(taken != 255)
+            if len(free):
+                low = ~int(taken[free[0]])
+                return start, 8 * (start + int(free[0])) + (low & -low).bit_length() - 1
+            start += wide
+
+    def used(self) -> np.ndarray:
+        return np.unpackbits(self.rows[0], bitorder="little").astype(bool)
+
+
 def build_trie(phrases: np.ndarray) -> tuple[Trie, np.ndarray]:
     """The trie of distinct rows of LONGEST codes (0 after the last word), and the rows by number."""
     symbols = np.unique(phrases[phrases != 0])
@@ -306,41 +346,22 @@ def build_trie(phrases: np.ndarray) -> tuple[Trie, np.ndarray]:
     # the children of a node are consecutive; places are dealt to the nodes with most children first
     order = np.argsort(parent, kind="stable")
     children, first, many = np.unique(parent[order], return_index=True, return_counts=True)
-    size = int(len(symbols) + 2 * n + 16)
-    used = np.zeros(size, bool)
-    used[0] = True
+    slots = _Slots(len(symbols) + 2 * n + 16)
     place, base = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    low = last = 1
+    start = width = 0
     for k in np.argsort(-many, kind="stable"):
         if many[k] == 1:
             break
         kids = order[first[k]:first[k] + many[k]]
         c = letter[kids]
-        # from the first block so empty that one of its slots is likely to leave all others free
-        if many[k] != last:
-            last, low = many[k], 1
-        block = 256 if many[k] < 4 else 4096
-        full = block * (1 - block ** (-1 / (many[k] + 1)))
-        while low + block < size and np.count_nonzero(used[low:low + block]) > full:
-            low += block
-        start = low
-        while True:
-            if start + c[-1] - c[0] + block >= size:
-                grown = np.zeros(max(2 * size, int(start + c[-1] - c[0] + 2 * block)), bool)
-                grown[:size] = used
-                used, size = grown, len(grown)
-            # the slots of the first child that leave all other slots free
-            fit = start + np.flatnonzero(~used[start:start + block])
-            for x in c[1:] - c[0]:
-                fit = fit[~used[fit + x]]
-                if not len(fit):
-                    break
-            if len(fit):
-                base[children[k]] = fit[0] - c[0]
-                place[kids + 1] = base[children[k]] + c
-                used[place[kids + 1]] = True
-                break
-            start += block
+        # windows that had no room are tried again by nodes of half as many children
+        if int(many[k]).bit_length() != width:
+            start, width = 0, int(many[k]).bit_length()
+        start, slot = slots.room(c - c[0], start)
+        base[children[k]] = slot - c[0]
+        place[kids + 1] = slot + (c - c[0])
+        slots.take(place[kids + 1])
+    used = slots.used()
     single = np.flatnonzero(many == 1)
     kids = order[first[single]]
     free = np.flatnonzero(~used)
