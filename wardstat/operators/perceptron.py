@@ -3,9 +3,8 @@
 The estimator, its starting weights, objective, optimiser and model are Spark ML's: the mean over stacks of
 ``blockSize`` rows of a task of the stack's mean cross entropy, minimised by L-BFGS (10 corrections, strong Wolfe
 line search, the estimator's ``maxIter`` and ``tol``). Only the passes differ. The rows are cached once as
-blocks of doubles, and a task computes the loss and gradient of its blocks as numpy matrix products, some seven
-times as fast as Spark's own (sigmoid and matrix products in the JVM). The driver holds the weights and a
-gradient a task, never rows.
+blocks of doubles, and a task computes the loss and gradient of its blocks as numpy matrix products (README has
+the figures). The driver holds the weights and a gradient a task, never rows.
 """
 from __future__ import annotations
 
